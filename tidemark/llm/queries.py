@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, mixing, simhash, toxicity
+from . import ann, exact_dedup, langid, mixing, simhash, toxicity
 from .bpe import bpe_digests
 from .common import read
 
@@ -41,6 +41,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op3_langid, op4_mixing, op5_bpe, op7_toxicity)}
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op3_langid, op4_mixing, op5_bpe, op7_toxicity, op9_ann)}
 
 ORACLES: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE, "op4_mixing": mixing.ORACLE}

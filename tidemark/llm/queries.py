@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, exact_dedup, langid, mixing, simhash, toxicity
+from . import ann, exact_dedup, langid, mixing, pii, simhash, toxicity
 from .bpe import bpe_digests
 from .common import read
 
@@ -45,6 +45,10 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op3_langid, op4_mixing, op5_bpe, op7_toxicity, op9_ann)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op3_langid, op4_mixing, op5_bpe, op7_toxicity, op9_ann, op10_pii)}
 
 ORACLES: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE, "op4_mixing": mixing.ORACLE}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, exact_dedup, langid, mixing, pii, simhash, toxicity
+from . import ann, exact_dedup, langid, mixing, pii, recurrent_lm, simhash, toxicity
 from .bpe import bpe_digests
 from .common import read
 
@@ -37,6 +37,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -49,6 +53,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op3_langid, op4_mixing, op5_bpe, op7_toxicity, op9_ann, op10_pii)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op3_langid, op4_mixing, op5_bpe, op6_lm_score, op7_toxicity, op9_ann, op10_pii)}
 
 ORACLES: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE, "op4_mixing": mixing.ORACLE}

@@ -12,8 +12,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3
 #: Tokens in a block: total / BLOCKS, within these bounds.
 BLOCKS, LEAST_BLOCK, MOST_BLOCK = 1 << 16, 16, 2048
-#: Rows that one ordering task is meant to hold.
-RUN = 1 << 14
+#: Slots, and rows of a table, that one ordering group is meant to hold.
+RUN, BUCKET = 1 << 14, 1 << 10
 #: Golden-ratio points: slot * GOLD modulo POINTS, over POINTS. GOLD is the odd number next to POINTS / 1.618...
 POINTS, GOLD = 1 << 31, 1327217885
 
@@ -97,7 +97,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sized = docs.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("source"), n_words(text_col).alias("size"))
     rows, total = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     block = max(LEAST_BLOCK, min(MOST_BLOCK, total // BLOCKS))
-    buckets = max(1, rows // RUN)
+    buckets = max(1, rows // BUCKET)
     order = F.md5(F.coalesce(F.col("_id").cast("string"), F.lit("")))
     drawn = sized.withColumn("_order", order).withColumn("_bucket", F.pmod(F.conv(F.substring("_order", 1, 8), 16, 10).cast("long"), F.lit(buckets)))
     sums = drawn.groupBy("source", "_bucket").agg(F.sum("size").alias("_n"))
@@ -141,7 +141,7 @@ WITH w AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
 ), tot AS (
   SELECT sum(size)::BIGINT AS total, count(*) AS n, greatest({LEAST_BLOCK}, least({MOST_BLOCK}, sum(size)::BIGINT // {BLOCKS})) AS b,
-    greatest(1, count(*) // {RUN}) AS buckets FROM w
+    greatest(1, count(*) // {BUCKET}) AS buckets FROM w
 ), s AS (SELECT source, sum(size)::BIGINT AS source_size FROM w GROUP BY source
 ), n AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM s
 ), q AS (SELECT *, CASE k % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0 ELSE 1.0 END AS weight, {MOST_EPOCHS}.0::DOUBLE * source_size AS lim FROM n

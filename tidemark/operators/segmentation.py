@@ -302,8 +302,13 @@ def segment(obs: DataFrame, s: Series, p: Params | None = None) -> DataFrame:
 
 def breaks_of(segments: DataFrame, s: Series, features: tuple[str, ...] = ("NBR", "NDVI")) -> DataFrame:
     """keys, t_break, drop, rise, break_class: the largest fall and gain of the gated residual over some features."""
+    def one(name: str, sign: int):
+        own = F.transform(F.filter("feat", lambda f: f["name"] == F.lit(name)), lambda f: sign * f["resid_magnitude"])
+        return F.coalesce(F.get(own, F.lit(0)), F.lit(0.0))
+
     def change(sign: int):
-        return F.greatest(*[F.coalesce(F.get(F.transform(F.filter("feat", lambda f, n=n: f["name"] == n), lambda f: sign * f["resid_magnitude"]), F.lit(0)), F.lit(0.0)) for n in features])
+        sides = [one(name, sign) for name in features]
+        return F.greatest(*sides) if len(sides) > 1 else sides[0]
 
     return segments.where(F.col("t_break").isNotNull()).select(*s.keys, "t_break", change(-1).alias("drop"), change(1).alias("rise"), "break_class")
 

@@ -132,7 +132,7 @@ def repeat_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Ids are expected to be unique, as after deduplication; where they repeat, an id's rows share its mean.
     """
     columns = docs.columns
-    taken = mix(docs, id_col, text_col, source_col).groupBy(F.col(id_col).alias("_k")).agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_times")).where("_times > 0")
+    taken = mix(docs, id_col, text_col, source_col).groupBy(F.col(id_col).alias("_k")).agg(F.round(F.try_divide(F.sum("taken"), F.sum("size"))).cast("int").alias("_times")).where("_times > 0")
     return docs.join(taken, docs[id_col].eqNullSafe(taken["_k"])).withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in columns])
 
 

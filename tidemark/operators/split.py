@@ -78,3 +78,40 @@ def labelled_patches(labels: DataFrame, scene: list[str], row: str, col: str, la
     """scene, patch row and column, labelled share of patches with at least `least` labelled cells."""
     g = labels.groupBy(*scene, F.floor(F.col(row) / size).cast("int").alias("patch_row"), F.floor(F.col(col) / size).cast("int").alias("patch_col"))
     return g.agg((F.count(label) / F.lit(float(size * size))).alias("labelled")).where(F.col("labelled") >= least)
+
+
+def anneal(counts: list[tuple[str, int, int]], parts: dict[str, str], ratios: dict[str, float], steps: int = 60_000, hot: float = 0.3, cold: float = 0.002, seed: int = 0) -> dict[str, str]:
+    """Swaps of tiles between splits that bring every class's shares nearer to the ratios, by simulated annealing.
+
+    counts: (tile, class, n), an aggregate with a row for each tile and class, on the driver. Sizes of splits stay.
+    The energy is the sum over classes and splits of squared distance of shares; a swap changes two columns of it.
+    """
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    tiles, classes, names = sorted(parts), sorted({c for _, c, _ in counts}), list(ratios)
+    at = {t: i for i, t in enumerate(tiles)}
+    table = np.zeros((len(tiles), len(classes)))
+    for t, c, n in counts:
+        table[at[t], classes.index(c)] += n
+    table /= np.maximum(table.sum(axis=0), 1)
+    own = np.array([names.index(parts[t]) for t in tiles])
+    share = np.stack([table[own == k].sum(axis=0) for k in range(len(names))])
+    goal = np.array([ratios[n] for n in names])[:, None]
+    energy = ((share - goal) ** 2).sum()
+    best, kept = energy, own.copy()
+    for step in range(steps if len(tiles) > 1 else 0):
+        i, j = rng.integers(len(tiles), size=2)
+        if own[i] == own[j]:
+            continue
+        d = table[i] - table[j]
+        new = share.copy()
+        new[own[i]] -= d
+        new[own[j]] += d
+        after = ((new - goal) ** 2).sum()
+        heat = hot * (cold / hot) ** (step / steps) * 0.01
+        if after <= energy or rng.random() < np.exp((energy - after) / heat):
+            own[i], own[j], share, energy = own[j], own[i], new, after
+            if energy < best:
+                best, kept = energy, own.copy()
+    return {t: names[k] for t, k in zip(tiles, kept)}

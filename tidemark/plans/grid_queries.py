@@ -160,3 +160,40 @@ def resample_bilinear(spark, sf):
 def object_refinement(spark, sf):
     e = cells(spark, sf).select("tile", "row", "col", F.make_date(F.lit(2000) + F.col("truth"), F.lit(7), F.lit(1)).alias("break_date"), F.when(F.col("pred") == 0, "gain").when(F.col("pred") == 1, "cutblock").otherwise("other_loss").alias("event_type"), F.col("share").alias("burned_fraction"), (F.col("share") / 2).alias("dnbr"))
     return events.refine_objects(e, ["tile"], "row", "col", r=events.Rules(object_px=20, line_extent=4, line_width=2, line_gap=1))
+
+
+@query("tile l, row l, col l, z d, share d", f"WITH {CELLS} SELECT a.tile, a.row, a.col, b.z, b.share FROM cells a LEFT JOIN (SELECT * FROM cells WHERE truth = 2) b USING (tile, row, col)")
+def scatter_to_grid(spark, sf):
+    from ..functions.features import scatter
+
+    c = cells(spark, sf)
+    return scatter(c, c.where("truth = 2").select("tile", "row", "col", "z", "share"), ["tile", "row", "col"])
+
+
+@query("tile l, row l, col l, x d, y d", f"WITH {CELLS} SELECT tile, row, col, 500 + (col + 0.5) * 10 AS x, 900 - (row + 0.5) * 10 AS y FROM cells")
+def cell_centres(spark, sf):
+    from ..functions.features import cell_centre
+
+    x, y = cell_centre(F.col("row"), F.col("col"), F.lit(500.0), F.lit(900.0), F.lit(10.0))
+    return cells(spark, sf).select("tile", "row", "col", x.alias("x"), y.alias("y"))
+
+
+@query("tile l, row l, col l, elevation d, slope d", f"WITH {CELLS} SELECT e.tile, e.row, e.col, t.z AS elevation, t.share AS slope FROM (SELECT * FROM cells WHERE pred = 1) e LEFT JOIN (SELECT * FROM cells WHERE truth <> 1) t USING (tile, row, col)")
+def event_terrain(spark, sf):
+    c = cells(spark, sf)
+    terrain = c.where("truth <> 1").select("tile", "row", "col", F.col("z").alias("elevation"), F.col("share").alias("slope"))
+    return c.where("pred = 1").select("tile", "row", "col").join(terrain, ["tile", "row", "col"], "left")
+
+
+@query("tile l, row l, col l")
+def cropland_patches(spark, sf):
+    """Cells whose stand-in series is open throughout, in wide patches."""
+    import datetime
+
+    from ..keys import Series
+
+    c = cells(spark, sf)
+    months = [datetime.date(y, m, 1) for y in range(2000, 2009) for m in (6, 7, 8)]
+    obs = c.withColumn("month", F.explode(F.array(*[F.lit(d) for d in months]))).withColumn("cls", F.when(F.col("truth") >= 1, 1).otherwise(0))
+    s = Series(keys=("tile", "row", "col"), time="month", label="cls")
+    return events.cropland(obs, s, ["tile"], "row", "col", 1, 9, r=events.Rules(crop_width=2, crop_patch=3))

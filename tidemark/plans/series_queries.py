@@ -349,3 +349,11 @@ def latest_event(spark, sf):
 @query("px l, start_year l, end_year l, years l, closed_share d, bare_share d, bare_years l")
 def open_land_runs(spark, sf):
     return events.open_runs(monthly_cls(spark, sf), MONTHS, 1, 0, r=events.Rules(crop_years=3))
+
+
+@query("px l, event_type s, break_date s")
+def cropland_membership(spark, sf):
+    """Events of series with an open run, retyped."""
+    named = events.name_events(_seasons(spark, sf), MONTHS, LADDER)
+    fields = events.open_runs(monthly_cls(spark, sf), MONTHS, 1, 0, r=events.Rules(crop_years=5))
+    return events.in_cropland(named, fields, MONTHS)

@@ -191,3 +191,29 @@ def classified_scenes(spark, sf):
 def json_report(spark, sf):
     n = table(spark, sf, "nation")
     return n.select("n_nationkey", F.to_json(F.struct("n_nationkey", "n_name")).alias("report"))
+
+
+@query(KEY + ", r d, g d, b d", f"WITH {OBS}, m AS (SELECT px, avg(red) AS r0, avg(green) AS g0, avg(blue) AS b0 FROM obs GROUP BY px), k AS (SELECT *, (r0 + g0 + b0) / 3 AS k FROM m) SELECT ok, ln, red * k / r0 AS r, green * k / g0 AS g, blue * k / b0 AS b FROM obs JOIN k USING (px)")
+def gray_world_balance(spark, sf):
+    from ..functions.features import gray_world
+
+    return gray_world(sales(spark, sf), ["px"], ["red", "green", "blue"]).select("ok", "ln", F.col("red").alias("r"), F.col("green").alias("g"), F.col("blue").alias("b"))
+
+
+@query(KEY + ", n l, c0 d, c1 d, c2 d, c3 d, f0 d, f1 d", f"WITH {OBS} SELECT ok, ln, 5 AS n, list_position(['l5','l7','l8','l9','s2'], sensor) - 1 AS c0, sin(2 * pi() * dayofyear(obs_date) / 365.25) AS c1, cos(2 * pi() * dayofyear(obs_date) / 365.25) AS c2, nir * 60 / 90 AS c3, red AS f0, nir AS f1 FROM obs")
+def scene_context_vector(spark, sf):
+    from ..functions.features import feature_stack, scene_context
+
+    d = feature_stack(sales(spark, sf), ["red", "nir"], "f").withColumn("c", scene_context(F.col("sensor"), F.col("obs_date"), F.col("nir") * 60, F.col("red")))
+    return d.select("ok", "ln", F.size("c").alias("n"), *[F.get("c", F.lit(i)).alias(f"c{i}") for i in range(4)], *[F.get("f", F.lit(i)).alias(f"f{i}") for i in range(2)])
+
+
+@query("n_nationkey l, label l", "SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 0 WHEN 1 THEN 5 END AS label FROM nation")
+def mask_labels(spark, sf):
+    from ..schema import class_dim
+
+    n = table(spark, sf, "nation")
+    k = F.pmod("n_nationkey", F.lit(3))
+    pick = lambda a, b: F.when(k == 0, a).when(k == 1, b).otherwise(1)
+    mask = n.select("n_nationkey", pick(34, 40).alias("r"), pick(94, 96).alias("g"), pick(42, 191).alias("b"), F.lit(255).alias("a"))
+    return products.mask_labels(mask, class_dim(spark))

@@ -341,3 +341,18 @@ def test_empty_tables_give_empty_results(spark):
     obs = spark.createDataFrame([], "px int, month date, cls int, v double, year int")
     for df in (composite.monthly_class(obs, [], S), series.trend(obs, "v", S), intervals.intervals(obs, 1, S), series.climatology(obs, "v", S), recovery.dominant_class(obs, S)):
         assert df.count() == 0
+
+
+def test_annealing_keeps_sizes_and_nears_the_ratios():
+    rng = random.Random(0)
+    tiles = [f"t{i}" for i in range(40)]
+    counts = [(t, c, rng.randrange(1, 100) ** 2 % 997) for t in tiles for c in range(3)]
+    parts = {t: ("train" if i < 28 else "val" if i < 34 else "test") for i, t in enumerate(tiles)}
+    ratios = {"train": 0.7, "val": 0.15, "test": 0.15}
+
+    def energy(p):
+        total = {c: sum(n for _, k, n in counts if k == c) for c in range(3)}
+        return sum((sum(n for t, k, n in counts if k == c and p[t] == s) / total[c] - r) ** 2 for c in range(3) for s, r in ratios.items())
+
+    after = split.anneal(counts, parts, ratios, steps=4000)
+    assert Counter(after.values()) == Counter(parts.values()) and energy(after) < 0.5 * energy(parts)

@@ -124,16 +124,31 @@ def opening(cells: DataFrame, by: list[str], k: int, row: str = "row", col: str
 
 
 def cast_shadow(dem: DataFrame, by: list[str], res: float, sun_elevation: float, sun_azimuth: float, reach: float = 2500.0, row: str = "row", col: str = "col", z: str = "elevation") -> DataFrame:
-    """dem with shaded: whether a cell toward the sun rises above the ray, up to reach. Cells at the distinct whole steps along the
-    azimuth are sent to the cell that they may shade, and their needed height is a maximum: one join on cell numbers."""
+    """dem with shaded: whether a cell toward the sun rises above the ray, up to reach.
+
+    A tile at a time: the ray crosses some hundred cells, and shifting a tile's array by each step costs far less than
+    sending each cell to all those that it may shade. Tiles are of bounded size; cells outside the tile shade nothing.
+    """
     if sun_elevation <= 0.5:
         return dem.withColumn("shaded", F.col(z).isNotNull())
     east, north, rise = np.sin(np.radians(sun_azimuth)), np.cos(np.radians(sun_azimuth)), np.tan(np.radians(sun_elevation))
     steps = list(dict.fromkeys(s for k in range(1, int(reach / res) + 1) if (s := (int(round(k * east)), int(round(-k * north)))) != (0, 0)))
-    rays = F.array(*[F.struct(F.lit(dx).alias("_dx"), F.lit(dy).alias("_dy"), F.lit(float(np.hypot(dx, dy) * res * rise)).alias("_h")) for dx, dy in steps])
-    sent = dem.where(F.col(z).isNotNull()).select(*by, row, col, F.col(z).alias("_z"), F.inline(rays))
-    needed = sent.groupBy(*by, (F.col(row) - F.col("_dy")).alias(row), (F.col(col) - F.col("_dx")).alias(col)).agg(F.max(F.col("_z") - F.col("_h")).alias("_over"))
-    return dem.join(needed, [*by, row, col], "left").withColumn("shaded", F.coalesce(F.col("_over") > F.col(z), F.lit(False))).drop("_over")
+    schema = ", ".join(f"`{n}` {t}" for n, t in dem.dtypes)
+
+    def one(part: pd.DataFrame) -> pd.DataFrame:
+        r, c = (part[n].to_numpy() - part[n].min() for n in (row, col))
+        high, wide = int(r.max()) + 1, int(c.max()) + 1
+        land = np.full((high, wide), -np.inf)
+        land[r, c] = part[z].astype(float).fillna(-np.inf)
+        needed = np.full((high, wide), -np.inf)
+        for dx, dy in steps:
+            if abs(dx) < wide and abs(dy) < high:
+                to = needed[max(0, -dy) : high - max(0, dy), max(0, -dx) : wide - max(0, dx)]
+                np.maximum(to, land[max(0, dy) : high + min(0, dy), max(0, dx) : wide + min(0, dx)] - np.hypot(dx, dy) * res * rise, out=to)
+        own = land[r, c]
+        return part.assign(shaded=(needed[r, c] > own) & np.isfinite(own))
+
+    return dem.groupBy(*by).applyInPandas(one, f"{schema}, shaded boolean")
 
 
 def fill_gaps(base: DataFrame, other: DataFrame, by: list[str], value: str, least: int = 100) -> DataFrame:

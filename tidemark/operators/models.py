@@ -108,16 +108,17 @@ def directional_penalty(probs: Column, truth: Column, true_class: int, predicted
     return F.when(truth == true_class, beta * F.element_at(probs, predicted_class + 1)).otherwise(0.0)
 
 
-def permuted(df: DataFrame, features: str, places: list[int], key: list[str], seed: int = 0) -> DataFrame:
-    """features with some places taken together from another row, in digest order; rows are numbered by ranges, then joined."""
+def permuted(df: DataFrame, features: str, places: list[int], key: list[str], seed: int = 0, group_rows: int = 100_000) -> DataFrame:
+    """features with some places taken together from another row: rows are dealt by hash to groups of about group_rows, and inside a
+    group the rows in key order take them from the rows in digest order."""
     from .split import draw
 
-    order = W.orderBy(draw(seed, *key), *key)
-    other = W.orderBy(*key)
-    a = df.withColumn("_n", F.row_number().over(other))
-    b = df.select(F.col(features).alias("_f"), F.row_number().over(order).alias("_n"))
+    groups = max(1, df.count() // group_rows)
+    own = df.withColumn("_g", F.pmod(F.xxhash64(*key), F.lit(groups)))
+    a = own.withColumn("_n", F.row_number().over(W.partitionBy("_g").orderBy(*key)))
+    b = own.select("_g", F.col(features).alias("_f"), F.row_number().over(W.partitionBy("_g").orderBy(draw(seed, *key), *key)).alias("_n"))
     mixed = F.transform(F.col(features), lambda x, i: F.when(i.isin(*places), F.get("_f", i)).otherwise(x))
-    return a.join(b, "_n").withColumn(features, mixed).drop("_n", "_f")
+    return a.join(b, ["_g", "_n"]).withColumn(features, mixed).drop("_g", "_n", "_f")
 
 
 def permutation_importance(df: DataFrame, features: str, truth: str, groups: dict[str, list[int]], predict: Callable[[Column], Column], key: list[str], seed: int = 0) -> DataFrame:

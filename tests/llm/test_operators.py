@@ -524,6 +524,15 @@ def test_ann_small_and_empty(spark):
     assert ann.nearest(few.limit(0)).count() == 0
 
 
+def test_ann_scores_floats_in_double_precision(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=32).astype(np.float32).tolist()) for i in range(300)]
+    vectors = {i: np.array(v, np.float32).astype(np.float64) for i, v in rows}
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect():
+        a, b = vectors[r["query_id"]], vectors[r["vec_id"]]
+        assert r["score"] == pytest.approx(a @ b / np.linalg.norm(a) / np.linalg.norm(b), rel=1e-13)
+
+
 def test_hilbert_keys_are_neighbours():
     side = np.arange(8)
     cells = np.stack([x.ravel() for x in np.meshgrid(side, side, side)], axis=1)

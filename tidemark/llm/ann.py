@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -105,9 +107,16 @@ def closest(a: np.ndarray, b: np.ndarray, keep: int) -> tuple[np.ndarray, np.nda
     return best, np.take_along_axis(s, best, axis=1)
 
 
+def some(rows: DataFrame, wanted: int, n: int) -> DataFrame:
+    """About `wanted` of n rows, drawn by a hash of the entry; each partition gives its share alone."""
+    drawn = F.pmod(F.xxhash64("entry"), F.lit(1 << 30)) < math.ceil((1 << 30) * min(1.0, wanted / max(1, n)))
+    return rows.where(drawn | (F.lit(n <= wanted)))
+
+
 def block_size(entries: DataFrame, ranks: DataFrame, asked: DataFrame, k: int, n: int) -> int:
     """The smallest doubling of BLOCK by which the orderings hold RECALL of the probes' true neighbours."""
-    probes = asked.select("entry").distinct().orderBy(F.xxhash64("entry")).limit(PROBES).join(entries, "entry").select("entry", "v").collect()
+    own_queries = asked.select("entry").distinct()
+    probes = some(own_queries, PROBES, own_queries.count()).join(entries, "entry").select("entry", "v").collect()
     if not probes or n <= BLOCK:
         return BLOCK
     own, a = np.array([r["entry"] for r in probes]), np.array([r["v"] for r in probes], np.float64)
@@ -160,7 +169,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = K, id_col: str = "vec_
     entries = written(own.join(few, "v").select("entry", "v", "ids"), "ann-entries")
     asked = rows.where(F.col("id") % every == 0).join(entries.select("v", "entry"), "v").select(F.col("id").alias("query_id"), "entry")
     n = entries.count()
-    sample = entries.orderBy(F.xxhash64("entry")).limit(SAMPLE).select("v").toPandas()["v"]
+    sample = some(entries, SAMPLE, n).select("v").toPandas()["v"]
     curves = spark.sparkContext.broadcast(Curves(matrix(sample)))
 
     def keyed(batches):
@@ -198,7 +207,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = K, id_col: str = "vec_
     order = W.partitionBy("q").orderBy(F.desc("near"), "entry")
     top = pairs.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= 2 * (k + 1))
     qv, ev = entries.select(F.col("entry").alias("q"), F.col("v").alias("a")), entries.select("entry", F.col("v").alias("b"), "ids")
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda s, t: s * t), F.lit(0.0), lambda s, t: s + t)
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda s, t: s.cast("double") * t.cast("double")), F.lit(0.0), lambda s, t: s + t)
     scored = top.join(qv, "q").join(ev, "entry").withColumn("score", dot(F.col("a"), F.col("b")) / (F.sqrt(dot(F.col("a"), F.col("a"))) * F.sqrt(dot(F.col("b"), F.col("b")))))
     found = scored.select("q", "score", F.explode("ids").alias("vec_id"))
     hits = asked.join(found, asked["entry"] == found["q"]).where("vec_id <> query_id")

@@ -67,3 +67,23 @@ def test_export(spark, tmp_path):
     products.write_product(scene(spark, "a"), root, "observation")
     status = {r["product"]: r["status"] for r in products.export_all(spark, root, str(tmp_path / "csv"), ["observation", "event"]).collect()}
     assert status == {"observation": "ok", "event": "skipped"}
+
+
+def test_stream_alerts_follow_runs_over_batches(spark, tmp_path):
+    from tidemark.keys import Series
+    from tidemark.streaming import monitor
+
+    s = Series(keys=("px",), time="d")
+    src = str(tmp_path / "obs")
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    first = [(px, day(16 * i), 0.2 if px == 1 and i >= 8 else 0.6) for px in (1, 2) for i in range(10)]
+    second = [(px, day(16 * i), 0.2 if px == 1 else 0.6 if i != 12 else 0.1) for px in (1, 2) for i in range(10, 16)]
+    models = spark.createDataFrame([(px, day(0), 0.6, 0.0, 0.0, 0.0, 0.03) for px in (1, 2)], "px int, t_start date, level double, slope double, amplitude double, peak_doy double, rmse double")
+    for n, rows in enumerate((first, second)):
+        spark.createDataFrame(rows, "px int, d date, v double").coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema("px int, d date, v double").parquet(src)
+        out = monitor.alerts(stream, models, s, "v")
+        q = out.writeStream.foreachBatch(lambda b, _: b.write.mode("append").parquet(str(tmp_path / "out"))).outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        q.awaitTermination()
+    got = [(r["px"], r["t_break"], r["n_obs"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert got == [(1, day(128), 4)]

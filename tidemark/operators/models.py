@@ -127,12 +127,11 @@ def permutation_importance(df: DataFrame, features: str, truth: str, groups: dic
     def miou(d: DataFrame) -> DataFrame:
         return class_metrics(confusion(d.withColumn("_p", predict(F.col(features))), truth, "_p")).agg(F.avg("iou").alias("miou"))
 
-    out = None
-    base = miou(df).withColumnRenamed("miou", "base_miou")
+    out = miou(df).withColumn("group", F.lit(None).cast("string"))
     for name, places in groups.items():
-        one = miou(permuted(df, features, places, key, seed)).withColumn("group", F.lit(name))
-        out = one if out is None else out.unionByName(one)
-    return out.crossJoin(F.broadcast(base)).select("group", "base_miou", "miou", (F.col("base_miou") - F.col("miou")).alias("importance"))
+        out = out.unionByName(miou(permuted(df, features, places, key, seed)).withColumn("group", F.lit(name)))
+    base = F.max(F.when(F.col("group").isNull(), F.col("miou"))).over(W.partitionBy())  # over a row for each group
+    return out.withColumn("base_miou", base).where("group is not null").select("group", "base_miou", "miou", (F.col("base_miou") - F.col("miou")).alias("importance"))
 
 
 def random_forest(df: DataFrame, features: str, label: str, trees: int = 20, depth: int = 8, seed: int = 7):

@@ -54,12 +54,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that exact_dedup keeps, with all their columns; one row of each repeated row."""
     columns = docs.columns
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_k_id"), F.col("text_sha256").alias("_k_sha"))
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))  # never null, so that window and join share one partitioning
+    kept = exact_dedup(docs, id_col, text_col).where("kept").select(name.alias("_k_id"), F.col("text_sha256").alias("_k_sha"))
     once = W.partitionBy("_k_id", "_k_sha").orderBy("_k_id")
-    keyed = docs.withColumn("_k_id", F.col(id_col)).withColumn("_k_sha", F.sha2(normal_text(text_col), 256))
+    keyed = docs.withColumn("_k_id", name).withColumn("_k_sha", F.sha2(normal_text(text_col), 256))
     first = keyed.withColumn("_k_no", F.row_number().over(once)).where("_k_no = 1")
-    same = [F.col("a._k_id").eqNullSafe(F.col("b._k_id")), F.col("a._k_sha") == F.col("b._k_sha")]
-    return first.alias("a").join(kept.alias("b"), same, "left_semi").select(*[F.col(f"a.`{c}`") for c in columns])
+    return first.join(kept, ["_k_id", "_k_sha"], "left_semi").select(*[F.col(f"`{c}`") for c in columns])
 
 
 ORACLE = r"""

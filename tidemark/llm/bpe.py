@@ -9,10 +9,13 @@ from collections import deque
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .common import slices
+
 #: Stands after a word's last character, where the vocabulary writes the word-end suffix.
 END = "\n"
 #: Words whose encoding a worker keeps in each of two generations; when one is full, the older goes.
@@ -311,10 +314,12 @@ def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     and the digest of nothing. Very long texts are worked through in pieces; repeated rows each return.
     """
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = loaded(path)
-        for texts in batches:
-            yield pd.DataFrame([own.digest(t or "") for t in texts], columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        for batch in batches:
+            found = [own.digest(t or "") for texts in slices(batch) for t in texts]
+            columns = [pa.array([r[k] for r in found], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
+            yield pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col(id_col), digests(F.col(text_col)).alias("_d")).select(id_col, "_d.*")

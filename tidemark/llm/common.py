@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +52,9 @@ def crc_mod(column: str, n: int) -> Column:
 
 def text_of(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def slices(batch: pa.Array, rows: int = 500) -> Iterator[list[str | None]]:
+    """The texts of an Arrow batch as Python strings, some rows at a time: a batch may hold many megabytes."""
+    for at in range(0, len(batch), rows):
+        yield batch.slice(at, rows).to_pylist()

@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, slices
 
 #: Hashed n-gram features, n from 1 to 3.
 DIM = 1 << 13
@@ -111,16 +112,17 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
 def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
     """How many of all texts with letters have each feature, and how many texts those are."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have, n = np.zeros(DIM, np.int64), 0
         for batch in batches:
-            for text in batch["t"]:
-                if text and (counts := gram_counts(text)) is not None:
-                    have += counts > 0
-                    n += 1
-        yield pd.DataFrame({"feature": np.r_[np.arange(DIM), -1], "n": np.r_[have, n]})
-
-    sums = docs.select(F.col(text_col).alias("t")).mapInPandas(count, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
+            for texts in slices(batch.column(0)):
+                for text in texts:
+                    if text and (counts := gram_counts(text)) is not None:
+                        have += counts > 0
+                        n += 1
+        yield pa.RecordBatch.from_pydict({"feature": pa.array(np.r_[np.arange(DIM), -1], pa.int32()), "n": pa.array(np.r_[have, n], pa.int64())})
+
+    sums = docs.select(F.col(text_col).alias("t")).mapInArrow(count, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
     out, total = np.zeros(DIM), 0
     for feature, n in sums:
         if feature < 0:
@@ -174,11 +176,12 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
     """docs with a column _lang: struct(lang_pred, score)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def language(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
-        for texts in batches:
-            yield pd.DataFrame([own.predict(t) for t in texts], columns=["lang_pred", "score"])
+        for batch in batches:
+            found = [own.predict(t) for texts in slices(batch) for t in texts]
+            yield pa.StructArray.from_arrays([pa.array([r[0] for r in found], pa.string()), pa.array([r[1] for r in found], pa.float64())], ["lang_pred", "score"])
 
     return docs.withColumn("_lang", language(F.col(text_col)))
 

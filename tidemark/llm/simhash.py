@@ -8,11 +8,12 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import slices, written
 from .components import components
 
 WORDS = 4
@@ -57,10 +58,10 @@ def fingerprint(text: str | None) -> int:
 def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, fp): fp as a signed long with the fingerprint's 64 bits."""
 
-    @F.pandas_udf("long")
-    def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))
+    @F.arrow_udf("long")
+    def simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array(np.array([fingerprint(t) for texts in slices(batch) for t in texts], np.uint64).view(np.int64))
 
     return docs.select(F.col(id_col).alias("id"), simhash(F.col(text_col)).alias("fp"))
 

@@ -82,6 +82,23 @@ def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.col(text_col).alias("t")).mapInPandas(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def least_common(counts: DataFrame) -> int:
+    """The smallest count by which a word is among the commonest, so that at most TOP are.
+
+    From a histogram over 64 classes of counts for each doubling: some thousand rows at most reach the driver, and then the
+    commonest words alone, whatever the number of words and partitions.
+    """
+    step = 64.0
+    table = counts.groupBy(F.floor(F.log2("c") * step).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total, least = 0, None
+    for b, n in sorted(((r["bin"], r["n"]) for r in table), reverse=True):
+        total += n
+        if total > TOP:
+            break
+        least = b
+    return (1 << 62) if least is None else math.ceil(2 ** (least / step) - 1e-9)
+
+
 class RecurrentModel:
     """P(word | what came before) = P(class | state) * P(word | class); the state reads the classes of the words so far.
 
@@ -301,7 +318,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     train = docs.where(~held)
     counts = written(token_counts(train, text_col), "lm-counts")
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("c"), "h").limit(TOP).toPandas()
+    top = counts.where(F.col("c") >= least_common(counts)).toPandas()
     n_train = (counts.where(F.col("h") == int(END)).first() or {"c": 0})["c"]
     model = RecurrentModel(top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), tokens, distinct)
 

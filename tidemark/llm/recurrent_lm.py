@@ -27,7 +27,7 @@ HIDDEN = 24
 SAMPLE, SPAN = 1000, 8192
 EPOCHS, LANES, WINDOW, RATE = 2, 64, 24, 0.01
 #: Texts scored side by side, in steps of so many positions; bytes of text laid out at once.
-WIDE, STEPS, BYTES = 512, 32, 24 << 20
+WIDE, STEPS, BYTES = 512, 32, 12 << 20
 #: Tokens counted before they are sent on.
 CHUNK = 1 << 22
 #: Hash that stands for the end of a text.

@@ -398,6 +398,30 @@ def test_lm_is_a_distribution_and_carries_its_state():
     assert alone[2] == pytest.approx(total / math.log(10), rel=1e-3)
 
 
+def test_lm_learns_from_all_texts(spark, monkeypatch):
+    """Of one sampled text, and three tokens of it, nothing is learned: what the score gains comes from all the others."""
+    monkeypatch.setattr(recurrent_lm, "TOP", 40)
+    monkeypatch.setattr(recurrent_lm, "SAMPLE", 1)
+    monkeypatch.setattr(recurrent_lm, "SPAN", 3)
+    rng = random.Random(4)
+    halves = WORDS[:11], WORDS[11:]
+    rows = [(i, " ".join(rng.choice(halves[i % 2]) for _ in range(60)), "en", "a") for i in range(600)]
+    held = [r for r in recurrent_lm.score_documents(documents(spark, rows).repartition(2, "doc_id")).collect() if r["held_out"]]
+    assert sum(r["score"] - r["base_score"] for r in held) > 15
+
+
+def test_lm_contexts_are_of_all_tokens_however_dealt(spark):
+    rows = [(i, " ".join(WORDS[(i * 7 + k * k) % len(WORDS)] for k in range(9000 if i == 0 else 20)), "en", "a") for i in range(50)]
+    owner, h = recurrent_lm.token_hashes([t for _, t, _, _ in rows])
+    known, n = np.unique(h, return_counts=True)
+    m = recurrent_lm.RecurrentModel(known, n, len(h), len(known))
+    whole = m.no_contexts()
+    m.add_contexts(owner, h, whole)
+    shared = spark.sparkContext.broadcast(m)
+    for parts in (1, 5):
+        assert (recurrent_lm.context_sums(documents(spark, rows).repartition(parts, "doc_id"), "text", m, shared) == whole).all() and whole.any()
+
+
 def test_lm_empty(spark, empty):
     assert recurrent_lm.score_documents(empty).count() == 0
     only_held = documents(spark, [(i, "some words", "en", "a") for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0])

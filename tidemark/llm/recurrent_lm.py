@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import copy
 import heapq
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +25,15 @@ TOP = 1 << 17
 ALONE, CLUSTERS = 64, 60
 CLASSES = ALONE + CLUSTERS + 3
 HIDDEN = 24
-#: Learning texts of the classes and the network, and tokens taken from each, from a place drawn by chance.
+#: Texts from which the network's first weights come, before it learns from all, and tokens taken from each, from a place drawn by chance.
 SAMPLE, SPAN = 1000, 8192
 EPOCHS, LANES, WINDOW, RATE = 2, 64, 24, 0.01
+#: When all texts are learned from: texts side by side, the rate, and tokens through which the state is carried at most.
+SHARD_LANES, SHARD_RATE, STRETCH = 256, 0.003, 2048
+#: Commonest words that count as context, directions of a context's sum, words whose sums are sent on together.
+MARKS, DIMS, SUMS = 2000, 48, 128
+#: Sums of weights are added up in so many groups of partitions.
+SLOTS = 64
 #: Texts scored side by side, in steps of so many positions; bytes of text laid out at once.
 WIDE, STEPS, BYTES = 512, 32, 12 << 20
 #: Tokens counted before they are sent on.
@@ -144,44 +152,83 @@ class RecurrentModel:
         """Learns classes and weights from the token hashes of some texts."""
         if not texts or not self.known:
             return
-        self._cluster(texts)
+        sums = self.no_contexts()
+        self.add_contexts(np.repeat(np.arange(len(texts)), [len(t) for t in texts]), np.concatenate(texts), sums)
+        self.place(sums)
+        self.start(texts)
+
+    def start(self, texts: list[np.ndarray]) -> None:
+        """The first weights, from the token hashes of some texts."""
+        if texts and self.known:
+            self._train([self.look_up(t)[0].astype(np.int64) for t in texts], LANES, [RATE if epoch == 0 else RATE * 0.3 for epoch in range(EPOCHS)], self.moments())
+
+    def no_contexts(self) -> np.ndarray:
+        return np.zeros((len(self.hashes), DIMS), np.int64)
+
+    def add_contexts(self, owner: np.ndarray, h: np.ndarray, sums: np.ndarray, rows: int = 1 << 15) -> None:
+        """Adds to sums, by rank of the word, the random directions of the common words up to two places before and after
+        each word in the same text. Directions are of -1 and 1, so sums are whole and the same in any order."""
+        # One more than the directions, as bytes that are added eight at a time: four of at most 2 don't overflow.
+        ways = np.random.default_rng(17).choice(np.array([0, 2], np.uint8), (4, MARKS + 1, DIMS))
+        ways[:, MARKS] = 1
+        ways = ways.view(np.uint64)
+        ranks = np.empty(len(self.hashes), np.int64)
+        ranks[self.rank] = np.arange(len(self.rank))
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        rank = np.where(self.hashes[at] == h, ranks[at], -1)
+        near = np.where((rank >= 0) & (rank < MARKS), rank, MARKS)
+        for first in range(0, len(h), rows):
+            own = first + np.flatnonzero(rank[first : first + rows] >= 0)
+            own = own[np.argsort(rank[own], kind="stable")]
+            if not len(own):
+                continue
+            x = np.zeros((len(own), DIMS // 8), np.uint64)
+            for way, shift in zip(ways, (-2, -1, 1, 2), strict=True):
+                beside = np.clip(own + shift, 0, len(h) - 1)
+                real = (beside == own + shift) & (owner[beside] == owner[own])
+                x += np.take(way, np.where(real, near[beside], MARKS), axis=0)
+            edges = np.flatnonzero(np.diff(rank[own], prepend=-1))
+            sums[rank[own[edges]]] += np.add.reduceat(x.view(np.uint8).astype(np.float32) - 4, edges, axis=0).astype(sums.dtype)
+
+    def place(self, sums: np.ndarray, rounds: int = 8) -> None:
+        """Words that stand beside the same common words share a class: k-means over the sums of add_contexts."""
+        rng = np.random.default_rng(17)
+        n = self.counts[self.rank]
+        placed = np.flatnonzero((n >= 2) & (np.arange(len(n)) >= ALONE) & (self.hashes[self.rank] != END) & sums.any(axis=1))
+        if len(placed) >= CLUSTERS:
+            x = sums[placed].astype(np.float32)
+            x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+            weight = np.log1p(n[placed])
+            centre = x[rng.choice(len(x), CLUSTERS, replace=False)]
+            for _ in range(rounds):
+                own = (x @ centre.T).argmax(axis=1)
+                for d in range(DIMS):
+                    centre[:, d] = np.bincount(own, x[:, d] * weight, CLUSTERS)
+                centre /= np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-9)
+            self.classes[self.rank[placed]] = ALONE + 1 + (x @ centre.T).argmax(axis=1)
         self._shares()
         self.bo = np.maximum(self.log_share, -20).astype(np.float32)
-        self._train([self.look_up(t)[0].astype(np.int64) for t in texts])
 
-    def _cluster(self, texts: list[np.ndarray], dims: int = 48, rounds: int = 8) -> None:
-        """Words that have stood beside the same common words share a class: k-means over sums of random directions."""
-        rng = np.random.default_rng(17)
-        ranks = np.empty(len(self.hashes), np.int64)
-        ranks[self.rank] = np.arange(len(self.rank))
-        line = np.concatenate(texts)
-        at = np.minimum(np.searchsorted(self.hashes, line), len(self.hashes) - 1)
-        rank = np.where(self.hashes[at] == line, ranks[at], -1)
-        marks = 2000
-        near = np.where((rank >= 0) & (rank < marks), rank, marks)
-        sums, n = np.zeros((len(self.hashes), dims)), np.bincount(rank[rank >= 0], minlength=len(self.hashes))
-        for shift in (-2, -1, 1, 2):
-            way = np.vstack([rng.normal(size=(marks, dims)), np.zeros(dims)])
-            beside = np.full(len(line), marks)
-            if shift < 0:
-                beside[-shift:] = near[:shift]
-            else:
-                beside[:-shift] = near[shift:]
-            use = (rank >= 0) & (beside < marks)
-            for d in range(dims):
-                sums[:, d] += np.bincount(rank[use], way[beside[use], d], len(self.hashes))
-        placed = np.flatnonzero((n >= 2) & (np.arange(len(n)) >= ALONE) & (self.hashes[self.rank] != END))
-        if len(placed) < CLUSTERS:
-            return
-        x = sums[placed]
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-        centre = x[rng.choice(len(x), CLUSTERS, replace=False)]
-        for _ in range(rounds):
-            own = (x @ centre.T).argmax(axis=1)
-            for d in range(dims):
-                centre[:, d] = np.bincount(own, x[:, d] * np.log1p(n[placed]), CLUSTERS)
-            centre /= np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-9)
-        self.classes[self.rank[placed]] = ALONE + 1 + (x @ centre.T).argmax(axis=1)
+    def weights(self) -> list[np.ndarray]:
+        return [self.wx, self.wh, self.wo, self.bo]
+
+    def moments(self) -> list:
+        """Adam's state before the first step."""
+        return [[np.zeros_like(w) for w in self.weights()], [np.zeros_like(w) for w in self.weights()], 0]
+
+    def own_copy(self) -> RecurrentModel:
+        """The same with weights of its own: a broadcast model serves many tasks of a worker."""
+        out = copy.copy(self)
+        out.wx, out.wh, out.wo, out.bo = (w.copy() for w in self.weights())
+        return out
+
+    def learn(self, owner: np.ndarray, h: np.ndarray, moments: list) -> None:
+        """Goes on learning from every token of the texts; in longer texts the state starts anew after every STRETCH tokens."""
+        kind = self.look_up(h)[0].astype(np.int64)
+        ends = np.r_[np.flatnonzero(np.diff(owner)) + 1, len(h)]
+        starts = np.r_[0, ends[:-1]]
+        pieces = [kind[a : min(a + STRETCH, to)] for at, to in zip(starts, ends, strict=True) for a in range(at, to, STRETCH)]
+        self._train(pieces, max(1, min(SHARD_LANES, len(h) // (4 * WINDOW))), [SHARD_RATE], moments)
 
     def _lanes(self, texts: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Texts one after another in lanes of about equal length, longest lane first: (input, target, text) by position.
@@ -205,56 +252,75 @@ class RecurrentModel:
                 at = to
         return given, target, text
 
-    def _train(self, texts: list[np.ndarray]) -> None:
-        """Backpropagation through WINDOW steps, with the state carried from window to window; Adam."""
-        given, target, _ = self._lanes(texts, min(LANES, len(texts)))
-        lanes, f, hid = given.shape[1], np.float32, HIDDEN
-        weights = [self.wx, self.wh, self.wo, self.bo]
-        first, second, step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
-        starts = range(0, len(given), WINDOW)
-        for epoch in range(EPOCHS):
-            h = np.zeros((lanes, hid), f)
-            for at in starts:
-                x, y = given[at : at + WINDOW].astype(np.int64), target[at : at + WINDOW].astype(np.int64)
-                size = int((y >= 0).sum())
-                if not size:
+    def _train(self, texts: list[np.ndarray], lanes: int, rates: list[float], moments: list) -> None:
+        """Backpropagation through WINDOW steps, with the state carried from window to window; Adam, a pass for each rate."""
+        given, target, _ = self._lanes(texts, min(lanes, len(texts)))
+        f, hid = np.float32, HIDDEN
+        weights = self.weights()
+        first, second, _ = moments
+        ones = np.ones(CLASSES, f)
+        ends = (target >= 0).sum(axis=0)
+        for rate in rates:
+            h = np.zeros((given.shape[1], hid), f)
+            for at in range(0, len(given), WINDOW):
+                lanes = int((ends > at).sum())
+                if not lanes:
                     break
-                kept = []
+                x, y = given[at : at + WINDOW, :lanes].astype(np.int64), target[at : at + WINDOW, :lanes].astype(np.int64)
+                h = h[:lanes]
+                size = int((y >= 0).sum())
+                kept, gxs = [], np.take(self.wx, x, axis=0)
+                carry = (x != CLASSES).astype(f)[:, :, None]
                 for t in range(len(x)):
-                    before = h * (x[t] != CLASSES)[:, None]
-                    gx, gh = self.wx[x[t]], before @ self.wh
-                    zr = 1 / (1 + np.exp(-(gx[:, : 2 * hid] + gh[:, : 2 * hid])))
+                    before = h * carry[t]
+                    gx, gh = gxs[t], before @ self.wh
+                    zr = gx[:, : 2 * hid] + gh[:, : 2 * hid]
+                    np.negative(zr, out=zr)
+                    np.exp(zr, out=zr)
+                    zr += 1
+                    np.reciprocal(zr, out=zr)
                     z, r = zr[:, :hid], zr[:, hid:]
-                    c = np.tanh(gx[:, 2 * hid :] + r * gh[:, 2 * hid :])
-                    h = (c + z * (before - c)).astype(f)
+                    c = r * gh[:, 2 * hid :]
+                    c += gx[:, 2 * hid :]
+                    np.tanh(c, out=c)
+                    h = c + z * (before - c)
                     kept.append((before, z, r, c, gh[:, 2 * hid :], h))
-                hs = np.stack([k[5] for k in kept])
-                logits = hs @ self.wo + self.bo
-                p = np.exp(logits - logits.max(axis=2, keepdims=True))
-                p /= p.sum(axis=2, keepdims=True)
-                i, j = np.nonzero(y >= 0)
-                d = np.zeros_like(p)
-                d[i, j] = p[i, j]
-                d[i, j, y[i, j]] -= 1
-                d /= size
-                grads = [np.zeros_like(w) for w in weights]
-                grads[2][:] = np.tensordot(hs, d, ((0, 1), (0, 1)))
-                grads[3][:] = d.sum(axis=(0, 1))
-                dh_out, dh = d @ self.wo.T, np.zeros((lanes, hid), f)
+                hs = np.stack([k[5] for k in kept]).reshape(-1, hid)
+                d = hs @ self.wo
+                d += self.bo
+                np.exp(d, out=d)
+                flat = y.ravel()
+                d *= ((flat >= 0) / (d @ ones * f(size))).astype(f)[:, None]
+                real = np.flatnonzero(flat >= 0)
+                d[real, flat[real]] -= f(1 / size)
+                # What depends on no later step is worked out for the whole window: the derivatives by c, z and r.
+                before, z, r, c, ghc = (np.concatenate([k[i] for k in kept]).reshape(len(x), lanes, hid) for i in range(5))
+                by_c = (1 - z) * (1 - c * c)
+                by_z = (before - c) * z * (1 - z)
+                by_r = by_c * ghc * r * (1 - r)
+                dh_out, dh = (d @ self.wo.T).reshape(len(x), lanes, hid), np.zeros((lanes, hid), f)
+                dgx, back = np.empty((len(x), lanes, 3 * hid), f), np.ascontiguousarray(self.wh.T)
+                dgh = np.empty_like(dgx)
+                by_c_r = by_c * r
                 for t in range(len(x) - 1, -1, -1):
-                    before, z, r, c, ghc, _ = kept[t]
-                    dh = dh + dh_out[t]
-                    dc = dh * (1 - z) * (1 - c * c)
-                    dz = dh * (before - c) * z * (1 - z)
-                    dr = dc * ghc * r * (1 - r)
-                    dgx = np.concatenate([dz, dr, dc], axis=1)
-                    dgh = np.concatenate([dz, dr, dc * r], axis=1)
-                    np.add.at(grads[0], x[t], dgx)
-                    grads[1] += before.T @ dgh
-                    dh = (dh * z + dgh @ self.wh.T) * (x[t] != CLASSES)[:, None]
+                    dh += dh_out[t]
+                    own = dgh[t]
+                    np.multiply(dh, by_z[t], out=own[:, :hid])
+                    np.multiply(dh, by_r[t], out=own[:, hid : 2 * hid])
+                    np.multiply(dh, by_c_r[t], out=own[:, 2 * hid :])
+                    np.multiply(dh, by_c[t], out=dgx[t, :, 2 * hid :])
+                    dh *= z[t]
+                    dh += own @ back
+                    dh *= carry[t]
+                dgx[:, :, : 2 * hid] = dgh[:, :, : 2 * hid]
+                order = np.argsort(x.ravel().astype(np.int16), kind="stable")
+                own = x.ravel()[order]
+                edges = np.flatnonzero(np.diff(own, prepend=-1))
+                grads = [np.zeros_like(self.wx), before.reshape(-1, hid).T @ dgh.reshape(-1, 3 * hid), hs.T @ d, d.sum(axis=0)]
+                grads[0][own[edges]] = np.add.reduceat(dgx.reshape(-1, 3 * hid)[order], edges, axis=0)
                 norm = math.sqrt(sum(float((g * g).sum()) for g in grads))
-                step += 1
-                rate = RATE * (0.3 if epoch else 1.0)
+                moments[2] += 1
+                step = moments[2]
                 for w, g, m, v in zip(weights, grads, first, second, strict=True):
                     g *= min(1.0, 1.0 / max(norm, 1e-9))
                     m += 0.1 * (g - m)
@@ -302,13 +368,77 @@ class RecurrentModel:
         return out / math.log(10)
 
 
+def context_sums(docs: DataFrame, text_col: str, model: RecurrentModel, shared: Broadcast) -> np.ndarray:
+    """RecurrentModel.add_contexts over all texts. Every task sends its sums in blocks of words, in the fewest bytes that hold
+    them; they are added up by block in Spark, and one sum for each of the commonest words reaches the driver."""
+
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = shared.value
+        sums = own.no_contexts().astype(np.int32)
+        for batch in batches:
+            texts = list(batch["t"])
+            for a, b in parts(texts):
+                own.add_contexts(*token_hashes(texts[a:b]), sums)
+        out = []
+        for block in range(0, len(sums), SUMS):
+            part = sums[block : block + SUMS]
+            if part.any():
+                kind = next(k for k in (np.int8, np.int16, np.int32) if np.abs(part).max() <= np.iinfo(k).max)
+                out.append((block, np.dtype(kind).itemsize, part.astype(kind).tobytes()))
+        if out:
+            yield pd.DataFrame(out, columns=["block", "size", "s"])
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(s, f"i{size}").astype(np.int64) for size, s in zip(group["size"], group["s"], strict=True))
+        return pd.DataFrame({"block": group["block"][:1], "s": [total.tobytes()]})
+
+    sent = docs.select(F.col(text_col).alias("t")).mapInPandas(gather, "block int, size int, s binary")
+    sums = model.no_contexts()
+    for r in sent.groupBy("block").applyInPandas(add, "block int, s binary").collect():
+        sums[r["block"] : r["block"] + SUMS] = np.frombuffer(r["s"], np.int64).reshape(-1, DIMS)
+    return sums
+
+
+def learned(docs: DataFrame, text_col: str, shared: Broadcast) -> list[np.ndarray] | None:
+    """Weights learned from all texts: every task goes on from the shared model over its own texts, and the mean of
+    the tasks' weights by their numbers of tokens is taken, added up in Spark. None without texts."""
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = shared.value.own_copy()
+        n, moments = 0, own.moments()
+        for batch in batches:
+            texts = list(batch["t"])
+            for a, b in parts(texts):
+                owner, h = token_hashes(texts[a:b])
+                own.learn(owner, h, moments)
+                n += len(h)
+        if n:
+            part = TaskContext.get().partitionId()
+            yield pd.DataFrame({"slot": [part % SLOTS], "part": [part], "n": [n], "w": [np.concatenate([w.ravel() for w in own.weights()]).tobytes()]})
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("part")
+        total = sum(n * np.frombuffer(w, np.float32).astype(np.float64) for n, w in zip(group["n"], group["w"], strict=True))
+        return pd.DataFrame({"slot": group["slot"][:1], "n": [group["n"].sum()], "w": [total.tobytes()]})
+
+    sent = docs.select(F.col(text_col).alias("t")).mapInPandas(learn, "slot int, part int, n long, w binary")
+    rows = sorted(sent.groupBy("slot").applyInPandas(add, "slot int, n long, w binary").collect(), key=lambda r: r["slot"])
+    if not rows:
+        return None
+    mean = (sum(np.frombuffer(r["w"], np.float64) for r in rows) / sum(r["n"] for r in rows)).astype(np.float32)
+    shapes = [w.shape for w in shared.value.weights()]
+    cuts = np.cumsum([math.prod(x) for x in shapes])[:-1]
+    return [w.reshape(x) for w, x in zip(np.split(mean, cuts), shapes, strict=True)]
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words of the text with A-Z in lower case, and one end; null and empty texts are an end alone. Counts
-    are of all learning texts, whose number of tokens is train_tokens. The model learns classes and weights from
-    a bounded sample of them. Without learning texts both scores are those of unknown tokens. Repeated rows each
-    return; a null id belongs to the learning part.
+    are of all learning texts, whose number of tokens is train_tokens. Classes come from the contexts of all their words, and
+    weights from all their tokens; only the weights that this starts from are of a sample. The tasks' weights are
+    averaged, so the last digits of score depend on how the input is dealt. Without learning texts both scores are those
+    of unknown tokens. Repeated rows each return; a null id belongs to the learning part.
 
     Words are told apart by 64-bit hashes. Counts of the commonest go to every worker; a text's other words
     meet their counts in a join, so common words never make a large key there.
@@ -334,7 +464,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
     sample = train.where(draw < min(1.0, SAMPLE / max(1, n_train))).select(digest.alias("o"), some(F.col(text_col)).alias("h")).collect()
-    model.fit([np.array(r["h"], np.int64).view(np.uint64) for r in sorted(sample, key=lambda r: (r["o"], r["h"]))])
+    if model.known:
+        ranked = spark.sparkContext.broadcast(model)
+        model.place(context_sums(train, text_col, model, ranked))
+        ranked.unpersist()
+        model.start([np.array(r["h"], np.int64).view(np.uint64) for r in sorted(sample, key=lambda r: (r["o"], r["h"]))])
+        started = spark.sparkContext.broadcast(model)
+        model.wx, model.wh, model.wo, model.bo = learned(train, text_col, started) or model.weights()
+        started.unpersist()
     shared = spark.sparkContext.broadcast(model)
     total = model.total
 

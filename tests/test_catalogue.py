@@ -43,3 +43,11 @@ def test_scan_reads_only_needed_columns(spark):
     plan = catalogue.QUERIES["monthly_vote_counts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert "l_extendedprice" not in schema and "l_returnflag" in schema
+
+
+def test_whole_resampling_reads_rows_past_the_tenth(spark, con):
+    """Of a grid of more than ten rows a tile, every cell is a target."""
+    sf = "/root/testdata/sf0.01"
+    for name in ("resample_nearest_whole", "resample_bilinear_whole"):
+        got, want = both(connect(sf), catalogue.QUERIES[name](spark, sf), catalogue.ORACLES[name])
+        assert got == want and len(got) == spark.read.parquet(f"{sf}/part.parquet").count(), name

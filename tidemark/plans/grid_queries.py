@@ -142,8 +142,15 @@ def tiles_of_split(spark, sf):
 TARGET = "tg AS (SELECT tile, row, col, col * 7.0 + 3.0 AS x, -row * 7.0 - 3.0 AS y FROM cells WHERE row < 10)"
 
 
+WHOLE = "tg AS (SELECT tile, row, col, col * 7.0 + 3.0 AS x, -row * 7.0 - 3.0 AS y FROM cells)"
+
+
+def _whole(spark, sf):
+    return cells(spark, sf).select("tile", "row", "col", (F.col("col") * 7.0 + 3.0).alias("x"), (-F.col("row") * 7.0 - 3.0).alias("y"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(10.0).alias("res"))
+
+
 def _target(spark, sf):
-    return cells(spark, sf).where("row < 10").select("tile", "row", "col", (F.col("col") * 7.0 + 3.0).alias("x"), (-F.col("row") * 7.0 - 3.0).alias("y"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(10.0).alias("res"))
+    return _whole(spark, sf).where("row < 10")
 
 
 @query("tile l, row l, col l, truth l", f"WITH {CELLS}, {TARGET} SELECT tg.tile, tg.row, tg.col, c.truth FROM tg LEFT JOIN cells c ON c.tile = tg.tile AND c.row = floor(-y / 10) AND c.col = floor(x / 10)")
@@ -156,6 +163,16 @@ def resample_bilinear(spark, sf):
     return tiles.resample_bilinear(cells(spark, sf), _target(spark, sf), ["tile"], "z")
 
 
+@query("tile l, row l, col l, truth l", f"WITH {CELLS}, {WHOLE} SELECT tg.tile, tg.row, tg.col, c.truth FROM tg LEFT JOIN cells c ON c.tile = tg.tile AND c.row = floor(-y / 10) AND c.col = floor(x / 10)")
+def resample_nearest_whole(spark, sf):
+    return tiles.resample_nearest(cells(spark, sf), _whole(spark, sf), ["tile"], "truth")
+
+
+@query("tile l, row l, col l, z d", f"WITH {CELLS}, {WHOLE}, f AS (SELECT *, x / 10 - 0.5 AS fx, -y / 10 - 0.5 AS fy FROM tg), k AS (SELECT f.*, floor(fx) + j AS cc, floor(fy) + i AS rr, (1 - abs(fy - floor(fy) - i)) * (1 - abs(fx - floor(fx) - j)) AS w FROM f, range(2) t(i), range(2) u(j)) SELECT k.tile, k.row, k.col, sum(w * c.z) / sum(CASE WHEN c.z IS NOT NULL THEN w END) AS z FROM k LEFT JOIN cells c ON c.tile = k.tile AND c.row = rr AND c.col = cc GROUP BY k.tile, k.row, k.col")
+def resample_bilinear_whole(spark, sf):
+    return tiles.resample_bilinear(cells(spark, sf), _whole(spark, sf), ["tile"], "z")
+
+
 @query("tile l, row l, col l, event_type s, object_px l")
 def object_refinement(spark, sf):
     e = cells(spark, sf).select("tile", "row", "col", F.make_date(F.lit(2000) + F.col("truth"), F.lit(7), F.lit(1)).alias("break_date"), F.when(F.col("pred") == 0, "gain").when(F.col("pred") == 1, "cutblock").otherwise("other_loss").alias("event_type"), F.col("share").alias("burned_fraction"), (F.col("share") / 2).alias("dnbr"))

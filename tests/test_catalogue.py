@@ -51,3 +51,8 @@ def test_whole_resampling_reads_rows_past_the_tenth(spark, con):
     for name in ("resample_nearest_whole", "resample_bilinear_whole"):
         got, want = both(connect(sf), catalogue.QUERIES[name](spark, sf), catalogue.ORACLES[name])
         assert got == want and len(got) == spark.read.parquet(f"{sf}/part.parquet").count(), name
+
+
+def test_whole_correlation_has_all_pairs(spark, con):
+    got, want = both(con, catalogue.QUERIES["feature_correlation_whole"](spark, SF), catalogue.ORACLES["feature_correlation_whole"])
+    assert got == want and max(r[1] for r in got) == 63

@@ -184,6 +184,34 @@ def feature_correlations(df: DataFrame, features: str, n: int, least: float = 0.
     return unfolded.where(F.abs("r") >= least)
 
 
+def correlation_matrix(df: DataFrame, features: str, n: int, least: float = 0.95) -> DataFrame:
+    """feature_correlations for many places: every partition sends the sums of each pair, which are added up in Spark, and
+    4 n * n numbers reach the driver. Missing values count in no pair that they are part of."""
+    kinds = 4
+
+    def sums(batches):
+        total = np.zeros((kinds, n, n))
+        for batch in batches:
+            x = np.full((len(batch), n), np.nan)
+            for row, v in zip(x, batch["x"], strict=True):
+                if v is not None:
+                    row[: min(n, len(v))] = np.asarray(v[:n], float)
+            there = ~np.isnan(x)
+            x, m = np.where(there, x, 0.0), there.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        yield pd.DataFrame({"pos": np.arange(total.size), "v": total.ravel()})
+
+    added = df.select(F.col(features).alias("x")).mapInPandas(sums, "pos int, v double").groupBy("pos").agg(F.sum("v").alias("v"))
+    flat = np.zeros(kinds * n * n)
+    for r in added.collect():
+        flat[r["pos"]] = r["v"]
+    size, s, ss, xy = flat.reshape(kinds, n, n)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        r = (size * xy - s * s.T) / np.sqrt((size * ss - s * s) * (size * ss.T - s.T * s.T))
+    out = [(a, b, float(r[a, b])) for a, b in combinations(range(n), 2) if abs(r[a, b]) >= least]
+    return df.sparkSession.createDataFrame(out, "feature_a int, feature_b int, r double")
+
+
 def majority_blocks(labels: DataFrame, by: list[str], row: str, col: str, label: str, size: int) -> DataFrame:
     """by, row, col, class of blocks of size x size cells: the commonest, with no-data competing; smallest class on ties, no-data last."""
     counts = labels.groupBy(*by, F.floor(F.col(row) / size).cast("int").alias(row), F.floor(F.col(col) / size).cast("int").alias(col), label).agg(F.count(F.lit(1)).alias("_n"))

@@ -150,6 +150,11 @@ def feature_correlation(spark, sf):
     return quality.feature_correlations(table(spark, sf, "embeddings"), "embedding", 8, 0.01)
 
 
+@query("feature_a l, feature_b l, r d", "SELECT a - 1 AS feature_a, b - 1 AS feature_b, corr(embedding[a]::DOUBLE, embedding[b]::DOUBLE) AS r FROM embeddings, range(1, 65) t(a), range(1, 65) u(b) WHERE a < b GROUP BY a, b HAVING abs(corr(embedding[a]::DOUBLE, embedding[b]::DOUBLE)) >= 0.01")
+def feature_correlation_whole(spark, sf):
+    return quality.correlation_matrix(table(spark, sf, "embeddings"), "embedding", 64, 0.01)
+
+
 @query(
     "tile l, n_scenes l, stratum l, split s",
     """WITH t AS (SELECT o_custkey AS tile, count(*) AS n FROM orders GROUP BY ALL), s AS (SELECT *, CASE WHEN n <= 1 THEN 0 WHEN n <= 4 THEN 1 ELSE 2 END AS stratum FROM t),

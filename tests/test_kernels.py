@@ -356,3 +356,28 @@ def test_annealing_keeps_sizes_and_nears_the_ratios():
 
     after = split.anneal(counts, parts, ratios, steps=4000)
     assert Counter(after.values()) == Counter(parts.values()) and energy(after) < 0.5 * energy(parts)
+
+
+def test_coverage_repair_moves_tiles(spark):
+    from tidemark.operators import split
+
+    parts = {"a": "train", "b": "train", "c": "train", "d": "train", "v": "val", "w": "val", "t": "test"}
+    counts = [("a", 1, 5, 10), ("b", 2, 5, 3), ("c", 2, 7, 4), ("d", 1, 7, 4), ("v", 1, 5, 2), ("w", 1, 9, 6), ("t", 1, 5, 1)]
+    # As the reference has it, a tile that alone has what train lacks comes back; only w stays moved, as train had no class 9.
+    own = split.repaired(parts, counts)
+    assert own == {"a": "train", "b": "train", "c": "train", "d": "train", "v": "val", "w": "train", "t": "test"}
+    few = {"a": "train", "b": "train", "c": "train", "e": "train", "v": "val", "t": "test"}
+    rest = [("e", 1, 5, 9), ("v", 1, 5, 1), ("t", 1, 5, 1)]
+    assert split.repaired(few, [("a", 2, 7, 1), ("b", 2, 7, 4), ("c", 2, 7, 4), *rest]) == few | {"a": "val", "b": "test"}
+    assert split.repaired(few, [("a", 1, 7, 4), ("b", 1, 7, 4), ("c", 1, 7, 2), *rest]) == few | {"b": "val", "a": "test"}
+    df = split.repair_coverage(spark.createDataFrame(list(parts.items()), "tile string, split string"), spark.createDataFrame(counts, "tile string, sensor int, class int, n long"), "tile")
+    assert {r["tile"]: r["split"] for r in df.collect()} == own
+
+
+def test_missing_class_donors(spark):
+    from tidemark.operators import split
+
+    parts = spark.createDataFrame([("a", "train"), ("b", "train"), ("v", "val"), ("t", "test")], "tile string, split string")
+    counts = spark.createDataFrame([("a", 1, 5), ("b", 1, 5), ("v", 2, 3), ("t", 2, 9)], "tile string, class int, n long")
+    got = {(r["class"], r["split"]): r["donor"] for r in split.missing_classes(parts, counts, "tile").collect()}
+    assert got == {(1, "val"): "b", (1, "test"): "b", (2, "train"): "v"}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -47,12 +49,77 @@ def share_warnings(parts: DataFrame, counts: DataFrame, tile: str, ratios: dict[
 
 
 def missing_classes(parts: DataFrame, counts: DataFrame, tile: str) -> DataFrame:
-    """split, class pairs without a pixel, with donor: the training tile that has most of the class, by id on ties."""
+    """split, class pairs without a pixel, with donor: the tile that has most of the class, the largest id on ties. It is of train;
+    for a class missing there, of val, or else of test. repair_coverage moves tiles by this choice."""
     own = counts.join(parts.select(tile, "split"), tile)
     every = own.select("class").distinct().withColumn("split", F.explode(F.array(F.lit("train"), F.lit("val"), F.lit("test"))))
     none = every.join(own.where("n > 0").select("class", "split").distinct(), ["class", "split"], "left_anti")
-    donors = own.where("split = 'train'").groupBy("class").agg(F.min_by(tile, F.struct(-F.col("n"), F.col(tile))).alias("donor"))
-    return none.join(donors, "class", "left")
+    most = own.where("n > 0").groupBy("class", "split").agg(F.max_by(tile, F.struct("n", tile)).alias("_d"))
+    of = lambda name: F.max(F.when(F.col("split") == name, F.col("_d")))
+    donors = most.groupBy("class").agg(of("train").alias("_train"), of("val").alias("_val"), of("test").alias("_test"))
+    donor = F.when(F.col("split") == "train", F.coalesce("_val", "_test")).otherwise(F.col("_train"))
+    return none.join(donors, "class", "left").select("class", "split", donor.alias("donor"))
+
+
+def repaired(parts: dict, counts: list[tuple], enabled: tuple[str, ...] = ("train", "val", "test")) -> dict:
+    """Splits by tile after tiles have moved so that every split sees each sensor, then each class, then each pair of them.
+
+    counts: (tile, sensor, class, n), an aggregate with a row for each tile, sensor and class, on the driver; class may be null.
+    val and test are served from train, then train from val or else test; a split never gives its last tile. Donors are, for a
+    sensor, the first tile by id; for a class, the tile that has most of it, the largest id on ties; for a pair, the tile whose
+    leaving costs its split the fewest pairs, then the one of fewest pairs, then by id, unless every tile of the split has the
+    pair and the cheapest still costs one.
+    """
+    own = dict(parts)
+    sensors: dict = {t: set() for t in own}
+    classes: dict = {t: {} for t in own}
+    pairs: dict = {t: set() for t in own}
+    for t, sensor, c, n in counts:
+        sensors[t].add(sensor)
+        if c is not None and n > 0:
+            classes[t][c] = classes[t].get(c, 0) + n
+            pairs[t].add((sensor, c))
+
+    def members(split: str) -> list:
+        return sorted(t for t, s in own.items() if s == split)
+
+    def by_sensor(donors: list, sensor):
+        return next((t for t in donors if sensor in sensors[t]), None)
+
+    def by_class(donors: list, c):
+        return max((t for t in donors if c in classes[t]), key=lambda t: (classes[t][c], t), default=None)
+
+    def by_pair(donors: list, pair):
+        able = [t for t in donors if pair in pairs[t]]
+        if not able:
+            return None
+        held = Counter(p for t in donors for p in pairs[t])
+        cost = {t: (sum(held[p] == 1 for p in pairs[t]), len(pairs[t]), t) for t in able}
+        best = min(able, key=cost.get)
+        return None if cost[best][0] > 0 and len(able) == len(donors) else best
+
+    for has, pick in ((sensors, by_sensor), (classes, by_class), (pairs, by_pair)):
+        every = sorted({x for t in own for x in has[t]})
+        for to, sources in (("val", ["train"]), ("test", ["train"]), ("train", ["val", "test"])):
+            if to not in enabled:
+                continue
+            for x in every:
+                if any(x in has[t] for t in members(to)):
+                    continue
+                for source in sources:
+                    donors = members(source)
+                    chosen = pick(donors, x) if len(donors) > 1 else None
+                    if chosen is not None:
+                        own[chosen] = to
+                        break
+    return own
+
+
+def repair_coverage(parts: DataFrame, counts: DataFrame, tile: str, enabled: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
+    """tile, split after repaired(). counts: tile, sensor, class, n."""
+    before = {r[0]: r[1] for r in parts.select(tile, "split").collect()}
+    seen = [tuple(r) for r in counts.join(parts.select(tile), tile).select(tile, "sensor", "class", "n").collect()]
+    return parts.sparkSession.createDataFrame(sorted(repaired(before, seen, enabled).items()), f"{tile} {dict(parts.dtypes)[tile]}, split string")
 
 
 def folds(scenes: DataFrame, key: str, k: int, seed: int = 0) -> DataFrame:

@@ -200,7 +200,14 @@ def split_share_warnings(spark, sf):
 def split_missing_classes(spark, sf):
     c, parts = _parts(spark, sf)
     c = c.withColumn("rare", F.pmod(F.floor(F.col("share") * 50), F.lit(50)).cast("int"))
-    return split.missing_classes(parts, quality.class_counts(c.where("row < 6"), ["blk"], "rare"), "blk")
+    return split.missing_classes(parts, quality.class_counts(c, ["blk"], "rare"), "blk")
+
+
+@query("blk s, split s")
+def split_coverage_repair(spark, sf):
+    c, parts = _parts(spark, sf)
+    c = c.withColumn("class", F.pmod(F.floor(F.col("share") * 50), F.lit(50)).cast("int"))
+    return split.repair_coverage(parts, c.groupBy("blk", F.col("pred").alias("sensor"), "class").agg(F.count(F.lit(1)).alias("n")), "blk")
 
 
 @query("truth l, pred l, n l")

@@ -381,3 +381,18 @@ def test_missing_class_donors(spark):
     counts = spark.createDataFrame([("a", 1, 5), ("b", 1, 5), ("v", 2, 3), ("t", 2, 9)], "tile string, class int, n long")
     got = {(r["class"], r["split"]): r["donor"] for r in split.missing_classes(parts, counts, "tile").collect()}
     assert got == {(1, "val"): "b", (1, "test"): "b", (2, "train"): "v"}
+
+
+def test_folds_spread_rare_classes_and_scenes(spark):
+    from tidemark.operators import split
+
+    # Twenty tiles, of which four have the rare class, and one has a third of all scenes.
+    size = {f"t{i:02}": 10 if i == 7 else 1 for i in range(20)}
+    rare = ("t01", "t02", "t03", "t12")
+    scenes = spark.createDataFrame([(t,) for t, n in size.items() for _ in range(n)], "tile string")
+    counts = spark.createDataFrame([(t, 0, 100 * n) for t, n in size.items()] + [(t, 1, 5) for t in rare], "tile string, class int, n long")
+    for seed in range(3):
+        fold = {r["tile"]: r["fold"] for r in split.balanced_folds(scenes, counts, "tile", 4, seed).collect()}
+        assert set(fold) == set(size) and {fold[t] for t in rare} == {0, 1, 2, 3}
+        loads = [sum(n for t, n in size.items() if fold[t] == k) for k in range(4)]
+        assert max(loads) <= 11 and min(loads) >= 4

@@ -128,6 +128,38 @@ def folds(scenes: DataFrame, key: str, k: int, seed: int = 0) -> DataFrame:
     return own.withColumn("fold", F.pmod(F.row_number().over(W.orderBy(draw(seed, key), key)) - 1, F.lit(k)))
 
 
+def dealt_by_rarity(groups: dict, counts: list[tuple], k: int) -> dict:
+    """Fold of each group: groups of most rare-class content first, each to the fold whose class shares and scene counts it
+    unbalances least, the first on ties. groups: scenes of each group, in the order that holds on ties; counts: (group, class, n)."""
+    import numpy as np
+
+    k = max(2, min(k, len(groups)))
+    classes = {c: i for i, c in enumerate(sorted({c for _, c, _ in counts}))}
+    table = {g: np.zeros(len(classes)) for g in groups}
+    for g, c, n in counts:
+        table[g][classes[c]] += n
+    total = sum(table.values(), np.zeros(len(classes))) + 1e-9
+    share = {g: x / total for g, x in table.items()}
+    rarity = 1.0 / (total / total.sum() + 1e-6)
+    loads, sizes, out = np.zeros((k, len(classes))), np.zeros(k), {}
+    target = sum(groups.values()) / k
+    for g in sorted(groups, key=lambda g: -float((share[g] * rarity).sum())):
+        cost = ((loads + share[g]) ** 2).sum(axis=1) + 0.05 * ((sizes + groups[g]) / target) ** 2
+        out[g] = int(cost.argmin())
+        loads[out[g]] += share[g]
+        sizes[out[g]] += groups[g]
+    return out
+
+
+def balanced_folds(scenes: DataFrame, counts: DataFrame, key: str, k: int, seed: int = 0) -> DataFrame:
+    """key, fold by dealt_by_rarity; digest order on ties. scenes: a row for each scene; counts: key, class, n, an aggregate
+    that goes to the driver, as the choice is greedy."""
+    own = scenes.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).withColumn("_o", draw(seed, key)).collect()
+    groups = {r[key]: r["_n"] for r in sorted(own, key=lambda r: (r["_o"], r[key]))}
+    seen = [tuple(r) for r in counts.where(F.col("class").isNotNull()).join(scenes.select(key).distinct(), key).select(key, "class", "n").collect()]
+    return scenes.sparkSession.createDataFrame(sorted(dealt_by_rarity(groups, seen, k).items()), f"{key} {dict(scenes.dtypes)[key]}, fold int")
+
+
 def sample_per_scene(pixels: DataFrame, scene: list[str], cell: list[str], n: int, seed: int = 0) -> DataFrame:
     """Up to n rows of each scene, drawn by digest."""
     return pixels.withColumn("_r", F.row_number().over(W.partitionBy(*scene).orderBy(draw(seed, *scene, *cell), *cell))).where(F.col("_r") <= n).drop("_r")

@@ -175,6 +175,12 @@ def cross_validation_folds(spark, sf):
     return split.folds(table(spark, sf, "customer").withColumnRenamed("c_custkey", "key"), "key", 5)
 
 
+@query("key l, fold l")
+def balanced_cross_validation_folds(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("key"), F.ascii("o_orderpriority").alias("class"))
+    return split.balanced_folds(o, o.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n")), "key", 5)
+
+
 @query("tile l, row l, col l", f"WITH {CELLS}, r AS (SELECT tile, row, col, row_number() OVER (PARTITION BY tile ORDER BY row, col) - 1 AS r, count(*) OVER (PARTITION BY tile) AS n FROM cells) SELECT tile, row, col FROM r WHERE n <= 16 OR r = 0 OR floor(r * 16 / n) <> floor((r - 1) * 16 / n)")
 def evenly_spaced_cells(spark, sf):
     return split.evenly_spaced(cells(spark, sf), ["tile"], ["row", "col"], 16)

@@ -616,6 +616,13 @@ def test_pii_uses_only_built_in_expressions_and_odd_rows(spark, odd, empty):
     assert pii.personal_data(empty).count() == 0
 
 
+def test_pii_takes_long_runs_whole(spark):
+    keys = ["a1B2" * 60, "c3D4" * 8 + "-", "e5" * 64 + "_" + "f6" * 40]
+    rows = [(i, f"api_key={k} end", "en", "a") for i, k in enumerate(keys)]
+    found = pii.candidate_spans(documents(spark, rows), "doc_id", "text").where("kind = 'secret'").collect()
+    assert {(r["_id"], r["start"], r["end"]) for r in found} == {(i, 8, 8 + len(k)) for i, k in enumerate(keys)}
+
+
 def test_label_model_finds_the_reliable_labelers():
     rng, table = random.Random(1), Counter()
     for _ in range(4000):

@@ -25,7 +25,7 @@ LOOSE = (
     r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}"
     r"|[0-9]{3}-[0-9]{2}-[0-9]{4}"
     r"|[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}"
-    r"|[A-Za-z0-9_-]{32,128}"
+    r"|[A-Za-z0-9_-]{32,}+"
     r"|(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sra?)\.?\x20[A-Z][a-z]{2,30}"
     r")(?![0-9A-Za-z])"
 )

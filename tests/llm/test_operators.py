@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tests.llm.helpers import WORDS, documents, odd_rows, sentence
+from tests.llm.helpers import CLASHES, WORDS, documents, odd_rows, sentence
 from tests.oracle import both, connect
 from tidemark.llm import ann, exact_dedup, langid, licenses, mixing, pii, recurrent_lm, simhash, toxicity
 from tidemark.llm.bpe import WordBpe, bpe_decode, bpe_digests, bpe_encode
@@ -636,6 +636,100 @@ def test_label_model_finds_the_reliable_labelers():
 # pipeline
 
 
+def stage_outputs(docs):
+    return {
+        "exact": exact_dedup.keep_first_copies(docs),
+        "near": simhash.keep_representatives(docs),
+        "language": langid.keep_identified(docs),
+        "mixture": mixing.repeat_taken(docs),
+    }
+
+
+def test_stages_keep_columns_whatever_their_names(odd, empty):
+    for name, out in stage_outputs(odd).items():
+        assert out.columns == odd.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == "mine" for r in rows for c in CLASHES), name
+    for name, out in stage_outputs(empty).items():
+        assert out.columns == odd.columns and out.count() == 0, name
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op9_ann", "op7_toxicity", "op8_licenses"}))
+def test_operators_take_clashing_columns(odd, name):
+    run = {
+        "op1_exact_dedup": exact_dedup.exact_dedup, "op2_simhash": simhash.simhash_dedup, "op3_langid": langid.identify, "op4_mixing": mixing.mix,
+        "op5_bpe": lambda d: bpe_digests(d, tokenizer_path()), "op6_lm_score": recurrent_lm.score_documents, "op10_pii": pii.personal_data,
+    }[name]
+    assert len(run(odd).collect()) == len(odd_rows())
+
+
+def test_stages_on_null_and_repeated_ids(spark):
+    """Chosen are rows, not ids: nothing vanishes that has no copy, and of copies one row stays."""
+    lone, other, more = (sentence(random.Random(n), 60) for n in (1, 2, 3))
+    rows = [(None, lone, "en", "a"), (None, lone, "en", "a"), (None, other, "en", "a"), (5, other, "en", "a"), (6, more, "en", "a"), (6, more + " ", "en", "a"), (6, other, "en", "a")]
+    docs = documents(spark, rows)
+    exact = sorted((str(r["doc_id"]), r["text"]) for r in exact_dedup.keep_first_copies(docs).collect())
+    assert exact == sorted([("None", lone), ("5", other), ("6", more), ("6", more + " ")])
+    near = sorted((str(r["doc_id"]), r["text"].strip()) for r in simhash.keep_representatives(docs).collect())
+    assert near == sorted([("None", lone), ("5", other), ("6", more)])
+
+
+def test_a_text_id_of_null_is_no_null_id(spark):
+    docs = spark.createDataFrame([("null", "one text"), (None, "another text"), (None, "one text")], "doc_id string, text string")
+    assert sorted(map(str, exact_dedup.keep_first_copies(docs).collect())) == sorted(map(str, docs.limit(2).collect()))
+
+
+def test_near_duplicates_link_through_rows_without_id(spark):
+    """A chain of fingerprints whose middle has no id is one component."""
+    prints = [(1, 0b1111), (None, 0b11111111), (2, 0b111111111111), (3, (1 << 40) - 1)]
+    table = spark.createDataFrame(prints, "id long, fp long")
+    assert {r["fp"]: r["first"] for r in simhash.linked(table).collect()} == {0b1111: 1, 0b11111111: 1, 0b111111111111: 1, (1 << 40) - 1: 3}
+
+
+def test_whole_documents_stay_near_the_targets(spark):
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, rng.choice([5, 40, 90])), "en", rng.choice("aaaaaabbc")) for i in range(3000)]
+    docs = documents(spark, rows)
+    want = {r["source"]: r["target"] for r in mixing.mix(docs).select("source", "target").distinct().collect()}
+    got, times = Counter(), Counter()
+    for r in mixing.repeat_taken(docs).collect():
+        got[r["source"]] += len(r["text"].split())
+        times[r["doc_id"]] += 1
+    assert max(times.values()) <= 3
+    for source, target in want.items():
+        assert abs(got[source] - target) <= 0.05 * target, source
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """Of more languages than whole samples, each has its part."""
+    monkeypatch.setattr(langid, "SAMPLE_ALL", 60)
+    letters = "abcdefgh"
+    rows = [(i, " ".join([letters[i % 8] * 3, letters[i % 8] * 5, "zz"] * 5), f"l{i % 8}", "a") for i in range(800)]
+    out = langid.identify(documents(spark, rows)).collect()
+    assert {r["lang_pred"] for r in out} == {f"l{n}" for n in range(8)}
+    assert all(r["lang_pred"] == f"l{r['doc_id'] % 8}" for r in out if r["held_out"])
+
+
+def test_other_tokenizer_files(tmp_path):
+    """A file of another normaliser and splitter goes whole to the library's; settings that prefixes don't give are refused."""
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, lib = WordBpe(path), Tokenizer.from_file(path)
+    for text in ["Some text, don't  split\n\nlike it", "", "  x <|endoftext|>é日", "a" * 300]:
+        ids = lib.encode(text, add_special_tokens=False).ids
+        assert own.encode(text) == ids and own.decode(ids) == lib.decode(ids, skip_special_tokens=False)
+        assert own.digest(text)[0] == len(ids)
+    spec = json.load(open(tokenizer_path(), encoding="utf-8"))
+    spec["model"]["byte_fallback"] = True
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="byte_fallback"):
+        WordBpe(str(tmp_path / "t.json"))
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
@@ -658,3 +752,12 @@ def test_pipeline_stages(spark, tmp_path):
         kept = after
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(str, whole.collect())) == sorted(map(str, kept.collect()))
+
+
+@pytest.mark.parametrize("rows", [odd_rows(), []], ids=["odd", "empty"])
+def test_pipeline_on_odd_and_empty_tables(spark, tmp_path, rows):
+    import corpus_pipeline
+
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and (out.count() > 0) == bool(rows)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -14,14 +15,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import slices
+from .common import released, slices
 
 #: Stands after a word's last character, where the vocabulary writes the word-end suffix.
 END = "\n"
-#: Words whose encoding a worker keeps in each of two generations; when one is full, the older goes.
-CACHE = 250_000
+#: Words whose encoding is kept in each of two generations; when one is full, the older goes. Some 40 MB for each generation.
+CACHE = 120_000
 #: Characters of a text that are normalised at once.
 PIECE = 1 << 20
+#: The normaliser and splitter for which the short way below holds. Of any other file, every text goes whole to the library's.
+SHORT_FORM = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
 #: Text whose normal form is its lower case and whose words PLAIN_WORDS finds; any other goes to the library's normaliser and splitter.
 PLAIN = re.compile(r"[\t-\r -~\u00c0-\u012f\u0132-\u017f]*")
 PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
@@ -67,6 +79,7 @@ class WordBpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        self._check(spec)
         self.suffix = model["end_of_word_suffix"] or ""
         self.ids: dict[str, int] = model["vocab"]
         self.text = {i: t for t, i in self.ids.items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
@@ -82,7 +95,12 @@ class WordBpe:
             if self.age[made] < 0:
                 self.age[made], self.left_half[made], self.right_half[made] = n, a, b
         self.specials = re.compile("|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) or r"(?!)")
-        self.library = Tokenizer.from_file(path)
+        #: What every added token begins with; a text without it holds none.
+        self.sign = os.path.commonprefix(list(self.added))
+        self.short = (spec["normalizer"], spec["pre_tokenizer"]) == SHORT_FORM
+        self.joined = spec["decoder"] is None
+        # Where the library only normalises and splits, its copy of the vocabulary isn't needed.
+        self.library = Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": model | {"vocab": {}, "merges": []}})) if self.joined else Tokenizer.from_file(path)
         self.letters = byte_letters()
         self._build()
         self.pairs: list[dict[int, bool]] = [{} for _ in range(max(self.text) + 1)]
@@ -90,6 +108,24 @@ class WordBpe:
         self.pieces: dict[str, list[int]] = {}
         self.known = Known(self._word)
 
+    @staticmethod
+    def _check(spec: dict) -> None:
+        """Raises where the file asks for something that the prefixes don't give."""
+        model = spec["model"]
+        odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges") if model.get(k)]
+        odd += [f"added token {t['content']!r}: {k}" for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized") if t[k]]
+        if model.get("type", "BPE") != "BPE" or odd:
+            raise ValueError(f"tokenizer files with these settings aren't supported: {model.get('type')}, {', '.join(odd)}")
+
+    def forget(self) -> None:
+        """Drops what was kept of the texts so far."""
+        self.known.clear()
+        self.known.older = {}
+        self.pieces.clear()
+        self.tested = 0
+        for some in self.pairs:
+            some.clear()
+
     def _build(self) -> None:
         """The automaton: its state after each prefix is the longest vocabulary path that is a suffix of the prefix.
 
@@ -126,14 +162,14 @@ class WordBpe:
                     self.best[to] = under
                 queue.append(to)
         self.size = [size.get(i, 0) for i in range(max(self.text) + 1)]
-        #: Steps known so far: a state's children, and what its failure links gave.
-        self.go = [dict(below) for below in self.children]
+        #: Steps known so far: a state's children, and what its failure links gave. A state that fails to another goes where that one goes.
+        self.go, self.children = self.children, []
 
     def _step(self, state: int, c: str) -> int:
         at = state
-        while at and c not in self.children[at]:
+        while at and c not in self.go[at]:
             at = self.fail[at]
-        found = self.go[state][c] = self.children[at].get(c, 0)
+        found = self.go[state][c] = self.go[at].get(c, 0)
         return found
 
     def compatible(self, left: int, right: int) -> bool:
@@ -221,6 +257,10 @@ class WordBpe:
         return " ".join(map(str, ids)), " ".join([self.text[i] for i in ids]), len(ids)
 
     def _words(self, text: str) -> list[Part]:
+        if not self.short:
+            normal = self.library.normalizer.normalize_str(text) if self.library.normalizer else text
+            spelt = self.library.pre_tokenizer.pre_tokenize_str(normal) if self.library.pre_tokenizer else [(normal, None)]
+            return [self._part(self._piece(word, True)) for word, _ in spelt if word]
         if PLAIN.fullmatch(text):
             return list(map(self.known.__getitem__, text.lower().split()))
         out: list[Part] = []
@@ -235,7 +275,7 @@ class WordBpe:
     def _pieces(self, text: str) -> Iterator[str]:
         """A long text in pieces cut before a space, where no word, composition or run of white space goes on."""
         at = 0
-        while len(text) - at > PIECE:
+        while self.short and len(text) - at > PIECE:
             cut = text.find(" ", at + PIECE)
             if cut < 0:
                 break
@@ -246,7 +286,7 @@ class WordBpe:
     def parts(self, text: str) -> Iterator[list[Part]]:
         """Ids, decoded text and count of each word and special token, in order, some at a time."""
         at = 0
-        for m in [*self.specials.finditer(text), None] if "<|" in text else [None]:
+        for m in [*self.specials.finditer(text), None] if self.sign in text else [None]:
             for piece in self._pieces(text[at : m.start()] if m else text[at:] if at else text):
                 yield self._words(piece)
             if m:
@@ -257,11 +297,16 @@ class WordBpe:
         return [int(i) for some in self.parts(text) for part in some if part[2] for i in part[0].split(" ")]
 
     def decode(self, ids: list[int]) -> str:
-        """Token texts joined by one space, as where the tokenizer file names no decoder; unknown ids are left out."""
+        """Token texts joined by one space where the tokenizer file names no decoder, else by that; unknown ids are left out."""
+        if not self.joined:
+            return self.library.decode(ids, skip_special_tokens=False)
         return " ".join(self.text[i] for i in ids if i in self.text)
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Count of ids, SHA-256 of the ids in decimal, and SHA-256 of the text that they decode to."""
+        if not self.joined:
+            own = self.encode(text)
+            return len(own), *(hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, own)), self.decode(own)))
         n, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
         for some in self.parts(text):
             if not some:
@@ -277,8 +322,9 @@ _LOADED: dict[str, WordBpe] = {}
 
 
 def loaded(path: str) -> WordBpe:
-    """The tokenizer at path, once for each Python worker."""
+    """The tokenizer at path, once for each Python worker, which keeps the one last used."""
     if path not in _LOADED:
+        _LOADED.clear()
         _LOADED[path] = WordBpe(path)
     return _LOADED[path]
 
@@ -291,6 +337,8 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         own = loaded(path)
         for texts in batches:
             yield pd.Series([own.encode(t or "") for t in texts])
+        own.forget()
+        released()
 
     return docs.select(F.col(id_col), ids(F.col(text_col)).alias("ids")).select(id_col, F.size("ids").cast("long").alias("n_tokens"), "ids")
 
@@ -321,5 +369,7 @@ def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
             found = [own.digest(t or "") for texts in slices(batch) for t in texts]
             columns = [pa.array([r[k] for r in found], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
             yield pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256"])
+        own.forget()
+        released()
 
     return docs.select(F.col(id_col), digests(F.col(text_col)).alias("_d")).select(id_col, "_d.*")

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SPACE, text_of
+from .common import SPACE, named, one_of_each, text_of
 
 
 def normal_text(text_col: str) -> Column:
@@ -52,14 +51,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with all their columns; one row of each repeated row."""
-    columns = docs.columns
-    name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))  # never null, so that window and join share one partitioning
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(name.alias("_k_id"), F.col("text_sha256").alias("_k_sha"))
-    once = W.partitionBy("_k_id", "_k_sha").orderBy("_k_id")
-    keyed = docs.withColumn("_k_id", name).withColumn("_k_sha", F.sha2(normal_text(text_col), 256))
-    first = keyed.withColumn("_k_no", F.row_number().over(once)).where("_k_no = 1")
-    return first.join(kept, ["_k_id", "_k_sha"], "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    """The rows of docs that exact_dedup keeps, with all their columns, whatever these are called.
+
+    One row of each repeated row stays, that of the smallest text before normalisation. Of equal texts that all
+    lack an id one stays. An empty table gives an empty table.
+    """
+    kept = exact_dedup(docs, id_col, text_col).where("kept").select(named(id_col).alias("k_id"), F.col("text_sha256").alias("k_text"))
+    return one_of_each(docs, id_col, F.sha2(normal_text(text_col), 256), text_col, kept)
 
 
 ORACLE = r"""

@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, slices
+from .common import crc_mod, packed, released, slices
 
 #: Hashed n-gram features, n from 1 to 3.
 DIM = 1 << 13
-#: Labelled rows that are fitted on, for each language, and languages learned, the most common ones.
-SAMPLE, MOST_LANGS = 600, 512
+#: Labelled rows that are fitted on: for each language, in all, and for each language whatever their number.
+SAMPLE, SAMPLE_ALL, SAMPLE_LEAST = 600, 300_000, 20
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.5, 1.0, 0.05, 0.1
 #: Every fifth sampled row sets the temperature instead of the weights.
 CALIBRATE = 5
@@ -121,6 +121,7 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
                         have += counts > 0
                         n += 1
         yield pa.RecordBatch.from_pydict({"feature": pa.array(np.r_[np.arange(DIM), -1], pa.int32()), "n": pa.array(np.r_[have, n], pa.int64())})
+        released()
 
     sums = docs.select(F.col(text_col).alias("t")).mapInArrow(count, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()
     out, total = np.zeros(DIM), 0
@@ -134,10 +135,14 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Learns from rows outside the held-out fold that have text and lang: document frequencies from all of them,
-    weights from at most about SAMPLE rows of each language, drawn by a digest of the id."""
+    weights from at most about SAMPLE rows of each language, drawn by a digest of the id. Every language is learned; where
+    there are over SAMPLE_ALL / SAMPLE of them, each has its even part of SAMPLE_ALL, and SAMPLE_LEAST rows at least."""
     train = docs.where((F.coalesce(crc_mod(id_col, FOLDS), F.lit(0)) != HELD_OUT) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in train.groupBy(F.col(lang_col).cast("string").alias("l")).count().orderBy(F.desc("count"), "l").limit(MOST_LANGS).collect()}
+    counts = {r[0]: r[1] for r in train.groupBy(F.col(lang_col).cast("string").alias("l")).count().collect()}
     langs = sorted(counts)
+    if not langs:
+        return LanguageModel([], np.zeros(DIM), np.zeros((DIM, 0)), 1.0)
+    each = min(SAMPLE, max(SAMPLE_LEAST, SAMPLE_ALL // len(langs)))
     have, total = document_frequencies(train, text_col)
     idf = np.log((1 + total) / (1 + have)) + 0.1
 
@@ -151,11 +156,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return pd.DataFrame(out, columns=["at", "n"])
 
     draw = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") / float(1 << 32)
-    chosen = F.lit(False)
-    for lang, n in counts.items():
-        chosen = chosen | ((F.col(lang_col).cast("string") == lang) & (draw < min(1.0, SAMPLE / n)))
-    sample = train.where(chosen).select(F.col(lang_col).cast("string").alias("l"), F.md5(F.col(id_col).cast("string")).alias("o"), features(F.col(text_col)).alias("f"))
+    shares = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, each / n))])
+    sample = train.where(draw < shares[F.col(lang_col).cast("string")]).select(F.col(lang_col).cast("string").alias("l"), F.md5(F.col(id_col).cast("string")).alias("o"), features(F.col(text_col)).alias("f"))
     rows, y, held, held_y = [], [], [], []
+    place = {lang: n for n, lang in enumerate(langs)}
     for n, r in enumerate(sorted(sample.collect(), key=lambda r: (r["o"] or "", r["l"]))):
         if not r["f"]["at"]:
             continue
@@ -164,7 +168,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         x /= max(1e-12, float(np.sqrt(x @ x)))
         first = n % CALIBRATE == CALIBRATE - 1
         (held if first else rows).append((at, x))
-        (held_y if first else y).append(langs.index(r["l"]))
+        (held_y if first else y).append(place[r["l"]])
     if not rows:
         return LanguageModel([], idf, np.zeros((DIM, 0)), 1.0)
     weights = ftrl(rows, y, len(langs))
@@ -173,7 +177,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """docs with a column _lang: struct(lang_pred, score)."""
+    """docs with a column lang_found: struct(lang_pred, score)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("lang_pred string, score double")
@@ -182,8 +186,9 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
         for batch in batches:
             found = [own.predict(t) for texts in slices(batch) for t in texts]
             yield pa.StructArray.from_arrays([pa.array([r[0] for r in found], pa.string()), pa.array([r[1] for r in found], pa.float64())], ["lang_pred", "score"])
+        released()
 
-    return docs.withColumn("_lang", language(F.col(text_col)))
+    return docs.withColumn("lang_found", language(F.col(text_col)))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -191,14 +196,22 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     A text that is null or without letters is `und` with score 0, as is every text when no row is labelled. Whole texts
     count, in blocks where very long. Only the text enters a prediction. Repeated rows each return; a null id
-    belongs to the learning part. The model broadcast is DIM x languages numbers, at most MOST_LANGS languages.
+    belongs to the learning part. The model broadcast is DIM x languages numbers.
     """
     model = fit(docs, id_col, text_col, lang_col)
     held = F.coalesce(crc_mod(id_col, FOLDS) == HELD_OUT, F.lit(False))
-    return predict(docs.select(F.col(id_col), F.col(text_col)), model, text_col).select(F.col(id_col), held.alias("held_out"), "_lang.lang_pred", "_lang.score")
+    rows = docs.select(F.col(id_col).alias("id"), held.alias("held_out"), F.col(text_col).alias("t"))
+    return predict(rows, model, "t").select(F.col("id").alias(id_col), "held_out", "lang_found.lang_pred", "lang_found.score")
 
 
-def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least_score: float = 0.3) -> DataFrame:
-    """The rows of docs that have a language, by a score of least_score or more."""
-    columns = docs.columns
-    return predict(docs, fit(docs, id_col, text_col, lang_col), text_col).where((F.col("_lang.lang_pred") != "und") & (F.col("_lang.score") >= least_score)).select(*[F.col(f"`{c}`") for c in columns])
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least_lift: float = 1.2) -> DataFrame:
+    """The rows of docs that have a language, with all their columns, whatever these are called.
+
+    A text has one if its score is at least least_lift times that of a blind guess among the languages learned. Texts that are null
+    or without letters go; without labelled rows no language is learned and all go. Repeated rows and null ids
+    are kept or go by their text alone. An empty table gives an empty table.
+    """
+    model = fit(docs, id_col, text_col, lang_col)
+    least = min(1.0, least_lift / max(1, len(model.langs)))
+    found = predict(packed(docs, t=F.col(text_col)), model, "t")
+    return found.where((F.col("lang_found.lang_pred") != "und") & (F.col("lang_found.score") >= least)).select("row.*")

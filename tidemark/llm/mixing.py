@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, named, packed
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3
@@ -127,13 +127,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def repeat_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix in whole documents: each row of docs as often as the mix takes it, rounded; rows taken less than half go.
+    """The mix in whole documents: each row of docs as often as the mix takes it, with all its columns, whatever these are called.
 
-    Ids are expected to be unique, as after deduplication; where they repeat, an id's rows share its mean.
+    A share of a document is rounded up as often as it is large, by a digest of the id, so that each source's words stay
+    near its target; no row comes more than MOST_EPOCHS times. Texts without words, null ones included, are no part
+    of a mix and go. Ids are expected to be unique, as after deduplication; where they repeat, an id's rows share its mean.
+    An empty table gives an empty table.
     """
-    columns = docs.columns
-    taken = mix(docs, id_col, text_col, source_col).groupBy(F.col(id_col).alias("_k")).agg(F.round(F.try_divide(F.sum("taken"), F.sum("size"))).cast("int").alias("_times")).where("_times > 0")
-    return docs.join(taken, docs[id_col].eqNullSafe(taken["_k"])).withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in columns])
+    up = F.conv(F.substring(F.md5(F.concat(F.lit("round"), F.col("k_id"))), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    share = F.try_divide(F.sum("taken"), F.sum("size"))
+    taken = mix(docs, id_col, text_col, source_col).groupBy(named(id_col).alias("k_id")).agg(share.alias("share")).select("k_id", F.floor(F.col("share") + up).cast("int").alias("times")).where("times > 0")
+    rows = packed(docs, k_id=named(id_col)).join(taken, "k_id")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("time")).select("row.*")
 
 
 ORACLE = rf"""

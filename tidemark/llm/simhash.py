@@ -10,10 +10,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import named, one_of_each, released, slices, text_of, written
 from .components import components
 
 WORDS = 4
@@ -21,9 +21,9 @@ SEED = 42
 BITS = 64
 RADIUS = 4
 #: Variants of fingerprints that one bucket is meant to hold; the number of buckets follows from it and the input.
-BUCKET_VARIANTS = 1 << 22
-#: Variants that a bucket holds in memory at once; a fuller one is worked through in passes over slices of the keys.
-PASS_VARIANTS = 1 << 23
+BUCKET_VARIANTS = 1 << 21
+#: Variants that a bucket holds in memory at once, some 60 MB with their order; a fuller one is worked through in passes over slices of the keys.
+PASS_VARIANTS = 1 << 21
 MOST_GROUPS = 24
 BLOCK = 1 << 16
 
@@ -55,15 +55,16 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, fp): fp as a signed long with the fingerprint's 64 bits."""
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(id, fp, more): fp as a signed long with the fingerprint's 64 bits."""
 
     @F.arrow_udf("long")
     def simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array(np.array([fingerprint(t) for texts in slices(batch) for t in texts], np.uint64).view(np.int64))
+        released()
 
-    return docs.select(F.col(id_col).alias("id"), simhash(F.col(text_col)).alias("fp"))
+    return docs.select(F.col(id_col).alias("id"), simhash(F.col(text_col)).alias("fp"), *more)
 
 
 def parity_groups(groups: int) -> list[list[int]]:
@@ -187,6 +188,7 @@ def near_links(classes: DataFrame, n: int) -> DataFrame:
 
     def link(part: pd.DataFrame) -> pd.DataFrame:
         a, b = bucket_links(part["fp"].to_numpy().view(np.uint64), part["rep"].to_numpy(), part["far"].to_numpy(), flips_of(groups))
+        released()
         return pd.DataFrame({"a": a, "b": b})
 
     dealt = classes.select("fp", "rep").mapInPandas(deal, "bucket long, far long, fp long, rep long")
@@ -207,22 +209,35 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Documents link where their fingerprints differ in at most 4 bits; component_id is the smallest id that links
     reach. Null, empty and blank texts have fingerprint zero and link like any others. Repeated rows each return.
-    A null id takes its component from the others with its fingerprint, else null. Equal fingerprints are one
+    Rows without id link like others; their component_id is null only where no id is reached. Equal fingerprints are one
     class, so copies make no pairs. The result joins classes back on the fingerprint, in narrow rows; where one
     fingerprint is very common, adaptive execution splits its rows.
     """
     prints = written(fingerprints(docs, id_col, text_col), "fingerprints")
-    classes = written(prints.groupBy("fp").agg(F.min("id").cast("long").alias("rep")).where("rep is not null"), "classes")
-    joined = components(near_links(classes, classes.count()))
-    found = classes.join(joined, classes["rep"] == joined["node"], "left").select(F.col("fp"), F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(found, "fp", "left").select(
+    return prints.join(linked(prints), "fp", "left").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.col("component_id"),
+        F.col("first").alias("component_id"),
     )
 
 
+def linked(prints: DataFrame) -> DataFrame:
+    """(fp, component, first): for every fingerprint the smallest one that links reach, as a signed long, and the smallest id among those linked."""
+    classes = written(prints.groupBy("fp").agg(F.min("id").alias("first")).withColumn("rep", F.col("fp")), "classes")
+    joined = components(near_links(classes, classes.count()))
+    found = classes.join(joined, classes["fp"] == joined["node"], "left").select("fp", F.coalesce("component", "fp").alias("component"), "first")
+    return found.drop("first").join(found.groupBy("component").agg(F.min("first").alias("first")), "component")
+
+
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of its component, with all their columns."""
-    keep = simhash_dedup(docs, id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_k"))
-    return docs.join(keep, docs[id_col] == keep["_k"], "left_semi")
+    """One row of docs for each component, with all its columns, whatever these are called.
+
+    The row of the smallest id stays; where several rows of the component have that id, the one of the smallest
+    text digest. Rows without id go where an id shares their component; a component of such rows alone keeps the row
+    of the smallest text digest. An empty table gives an empty table.
+    """
+    text_key = F.sha2(text_of(text_col), 256)
+    prints = written(fingerprints(docs, id_col, text_col, named(id_col).alias("k_id"), text_key.alias("k_text")), "fingerprints")
+    first = F.min_by(F.struct("k_id", "k_text"), F.struct(F.col("id").isNull(), F.col("id"), F.col("k_text"))).alias("k")
+    keep = prints.join(linked(prints).select("fp", "component"), "fp").groupBy("component").agg(first).select("k.*")
+    return one_of_each(docs, id_col, text_key, text_col, keep)

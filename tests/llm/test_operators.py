@@ -557,6 +557,40 @@ def test_ann_scores_floats_in_double_precision(spark):
         assert r["score"] == pytest.approx(a @ b / np.linalg.norm(a) / np.linalg.norm(b), rel=1e-13)
 
 
+def test_ann_ties_go_to_smaller_ids(spark):
+    """Far more equal cosines than neighbours, of vectors that are multiples of one another, and of whole groups of them."""
+    rows = [(i, [float(x * (1 + i % 97)) for x in (1, 2, 3, 5)]) for i in range(1, 401)]
+    rows += [(1000 + i, [float(x * (1 + i % 13)) for x in (5, 2, 1, 1)]) for i in range(300)]
+    out = defaultdict(list)
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)).orderBy("query_id", "rank").collect():
+        out[r["query_id"]].append(r["vec_id"])
+    for q, got in out.items():
+        own = range(1, 401) if q <= 400 else range(1000, 1300)
+        assert got == [i for i in own if i != q][:5], q
+    assert len(out) == 8 + 6
+
+
+def test_ann_in_chunks_and_turns(spark, monkeypatch):
+    """Chunks of some entries and queries dealt to many tasks give what one task gives."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(900)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want = slow_nearest(rows, 7, 5)
+    monkeypatch.setattr(ann, "CHUNK", 50)
+    monkeypatch.setattr(ann, "ASKED", 10)
+    hits = sum(i in {x for x, _ in want[q]} for q, _, i, _ in ann.nearest(table, every=7).collect())
+    assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_ann_lengths_and_repeated_ids(spark):
+    """Shorter vectors count as if zeros followed; rows of a repeated id are candidates and queries of their own."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (3, [1.0, 0.1, 0.0]), (4, [1.0]), (5, [0.0, 0.9, 0.1])]
+    out = defaultdict(list)
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=2).collect():
+        out[r["query_id"], r["rank"]].append(r["vec_id"])
+    assert sorted(out[0, 1]) == [0, 0, 4] and sorted(out[0, 2]) == [3, 5, 5]
+
+
 def test_hilbert_keys_are_neighbours():
     side = np.arange(8)
     cells = np.stack([x.ravel() for x in np.meshgrid(side, side, side)], axis=1)

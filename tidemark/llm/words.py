@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 
 #: Bytes of text that are hashed at once; more only where a single word is longer.
 BLOCK = 1 << 20
-_BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
-_POWERS: list[np.ndarray] = []
+#: Masks of the first so many bytes of eight.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -18,41 +18,43 @@ SPACES[[9, 10, 11, 12, 13, 32]] = True
 NON_LETTERS = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, from 0 to n."""
-    if not _POWERS or len(_POWERS[0]) <= n:
-        size = max(n, BLOCK) + 1
-        pair = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            out = np.ones(size, np.uint64)
-            out[1:] = np.uint64(base)
-            pair.append(np.multiply.accumulate(out))
-        _POWERS[:] = pair
-    return _POWERS[0], _POWERS[1]
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """A one-to-one map of 64-bit numbers that lets every bit reach every other."""
+    h ^= h >> np.uint64(30)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def hashes(data: np.ndarray, gaps: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
     """(start, 64-bit hash) of each run of bytes that aren't gaps. The hash depends on the bytes of the run alone.
 
+    Runs of at most 8 bytes are mapped one to one, of at most 16 by two mixed halves, longer ones by XXH64.
     After all runs come, for each length of prefixes, the first so many bytes of the runs that are longer.
     """
     inside = ~gaps[data]
     edges = np.flatnonzero(np.diff(np.r_[False, inside, False].view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
-    up, down = _powers(len(data))
-    sums = np.empty(len(data) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
     if prefixes:
         longer = [starts[ends - starts > n] for n in prefixes]
         ends = np.concatenate([ends, *(x + n for x, n in zip(longer, prefixes, strict=True))])
         starts = np.concatenate([starts, *longer])
-    h = (sums[ends] - sums[starts]) * down[starts]
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xC2B2AE3D27D4EB4F)
-    h ^= h >> np.uint64(32)
+    if not len(starts):
+        return starts, np.zeros(0, np.uint64)
+    size = ends - starts
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    eight = np.lib.stride_tricks.as_strided(padded, (len(data) + 9, 8), (1, 1), writeable=False)
+    h = eight[starts].view("<u8")[:, 0] & _FIRST[np.minimum(size, 8)]
+    h = _mixed(h ^ (size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    more = np.flatnonzero(size > 8)
+    second = eight[starts[more] + 8].view("<u8")[:, 0] & _FIRST[np.minimum(size[more] - 8, 8)]
+    h[more] = _mixed(h[more] + second * np.uint64(0xD6E8FEB86659FD93))
+    most = np.flatnonzero(size > 16)
+    if len(most):
+        raw = data.data
+        h[most] = [xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip(starts[most].tolist(), ends[most].tolist(), strict=True)]
     return starts, h
 
 

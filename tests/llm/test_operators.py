@@ -375,27 +375,97 @@ def test_lm_base_is_exact_and_the_model_is_better(spark, monkeypatch):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 10
 
 
-def test_lm_is_a_distribution_and_carries_its_state():
-    rng = np.random.default_rng(3)
-    h = np.unique(rng.integers(2, 1 << 60, 300, dtype=np.uint64))
-    h = np.r_[recurrent_lm.END, h]
-    counts = rng.integers(1, 50, len(h))
-    m = recurrent_lm.RecurrentModel(h, counts, int(counts.sum()) + 1000, len(h) + 500)
-    m.fit([rng.choice(h, 60) for _ in range(40)])
-    assert np.exp(m.log_share).sum() == pytest.approx(1)
-    texts = [m.look_up(rng.choice(h, n))[0] for n in (1, 5, 200, 33)]
-    together, alone = m.lift(texts), [m.lift([t])[0] for t in texts]
-    assert together == pytest.approx(alone, rel=1e-4, abs=1e-4)
-    state, total = np.zeros(recurrent_lm.HIDDEN), 0.0
-    for given, y in zip([recurrent_lm.CLASSES, *texts[2][:-1]], texts[2]):
+def lm_model(n=300, seed=3):
+    rng = np.random.default_rng(seed)
+    counts = -np.sort(-rng.integers(1, 50, n).astype(float))
+    m = recurrent_lm.RecurrentModel(counts, 4, int(counts.sum()) + 1000, n + 500)
+    m.fit([rng.integers(-1, n, 60).astype(np.int32) for _ in range(40)])
+    return m, rng
+
+
+def lm_states(m, ranks):
+    """The state before each token, one token after another."""
+    k, state, given = recurrent_lm.HIDDEN, np.zeros(recurrent_lm.HIDDEN), recurrent_lm.CLASSES
+    for rank in ranks:
         g, gh = m.wx[given].astype(float), state @ m.wh
-        k = recurrent_lm.HIDDEN
         z, r = (1 / (1 + np.exp(-(g[a : a + k] + gh[a : a + k]))) for a in (0, k))
         c = np.tanh(g[2 * k :] + r * gh[2 * k :])
         state = c + z * (state - c)
-        logits = state @ m.wo + m.bo
-        total += logits[y] - np.log(np.exp(logits).sum()) - m.log_share[y]
-    assert alone[2] == pytest.approx(total / math.log(10), rel=1e-3)
+        yield np.r_[state, 1.0]
+        given = int(m.codes[rank]) // recurrent_lm.CODE
+
+
+def lm_softmax(x):
+    return np.exp(x) / np.exp(x).sum()
+
+
+def test_lm_carries_its_state(monkeypatch):
+    monkeypatch.setattr(recurrent_lm, "NAMED", 3)
+    m, rng = lm_model()
+    assert np.exp(m.log_share).sum() == pytest.approx(1)
+    texts = [rng.integers(-1, 300, n) for n in (1, 5, 200, 33)]
+    together, alone = m.lift([m.codes[t] for t in texts]), [m.lift([m.codes[t]])[0] for t in texts]
+    assert together == pytest.approx(alone, rel=1e-4, abs=1e-4)
+    total, first, later = 0.0, recurrent_lm.ALONE + 1, 0
+    for rank, state in zip(texts[2], lm_states(m, texts[2])):
+        kind, slot = divmod(int(m.codes[rank]), recurrent_lm.CODE)
+        total += np.log(lm_softmax(state @ m.wo)[kind]) - m.log_share[kind]
+        if slot:
+            total += np.log(lm_softmax(state @ m.wi[kind - first])[slot - 1]) - m.log_inner[kind - first, slot - 1]
+            later += slot - 1 == recurrent_lm.NAMED
+    assert alone[2] == pytest.approx(total / math.log(10), rel=1e-3) and later
+
+
+def test_lm_words_add_up_to_one_in_any_state(monkeypatch):
+    """Over all known words and the rest, base share times what the state makes of it is a distribution; and the state chooses between words of one class."""
+    monkeypatch.setattr(recurrent_lm, "NAMED", 3)
+    m, rng = lm_model()
+    for state in list(lm_states(m, rng.integers(-1, 300, 50)))[::10]:
+        by_class, first = lm_softmax(state @ m.wo), recurrent_lm.ALONE + 1
+        total = 0.0
+        for rank in range(300):
+            kind, slot = divmod(int(m.codes[rank]), recurrent_lm.CODE)
+            p = (m.counts[rank] + 0.1) / m.total / np.exp(m.log_share[kind]) * by_class[kind]
+            if slot:
+                p *= lm_softmax(state @ m.wi[kind - first])[slot - 1] / np.exp(m.log_inner[kind - first, slot - 1])
+            total += p
+        assert total + by_class[-1] == pytest.approx(1, abs=1e-4)
+    assert np.abs(m.wi[:, :-1]).max() > 0.01
+
+
+def test_lm_takes_no_more_memory_than_its_tokens():
+    """One text far longer than the others is not laid out beside them."""
+    import tracemalloc
+
+    m, rng = lm_model()
+    texts = [m.codes[rng.integers(-1, 300, n)] for n in [100_000] + [20] * 500]
+    tracemalloc.start()
+    m.lift(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
+
+
+def test_lm_ranks_are_by_count():
+    from tidemark.llm.words import word_hashes as hashed
+
+    own = [b"b", b"a", b"c", b"b", b"a", b"b"]
+    h = np.concatenate([x for _, x in hashed([b" ".join(own)], SPACES)])
+    known, n = np.unique(h, return_counts=True)
+    v = recurrent_lm.Vocabulary(known, n)
+    assert v.ranks(h).tolist() == [0, 1, 2, 0, 1, 0] and v.counts.tolist() == [3, 2, 1] and v.end == -1
+    assert v.ranks(np.array([5], np.uint64)).tolist() == [-1]
+    assert recurrent_lm.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64)).ranks(h).tolist() == [-1] * 6
+
+
+def test_lm_tells_patterned_words_apart(spark):
+    """Two long words that a polynomial hash modulo a power of two can't part: a Thue-Morse word and its complement."""
+    s = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    t = s.translate(str.maketrans("ab", "ba"))
+    out = {r["doc_id"]: r["base_score"] for r in recurrent_lm.score_documents(documents(spark, [(1, s, "en", "a"), (2, s, "en", "a"), (3, t, "en", "a")])).collect()}
+    n, v = 6, 3
+    want = [sum(math.log10((c + 0.1) / (n + 0.1 * (v + 1))) for c in own) for own in ((2, 3), (2, 3), (1, 3))]
+    assert [out[1], out[2], out[3]] == pytest.approx(want)
 
 
 def test_lm_learns_from_all_texts(spark, monkeypatch):
@@ -413,13 +483,15 @@ def test_lm_learns_from_all_texts(spark, monkeypatch):
 def test_lm_contexts_are_of_all_tokens_however_dealt(spark):
     rows = [(i, " ".join(WORDS[(i * 7 + k * k) % len(WORDS)] for k in range(9000 if i == 0 else 20)), "en", "a") for i in range(50)]
     owner, h = recurrent_lm.token_hashes([t for _, t, _, _ in rows])
-    known, n = np.unique(h, return_counts=True)
-    m = recurrent_lm.RecurrentModel(known, n, len(h), len(known))
+    v = recurrent_lm.Vocabulary(*np.unique(h, return_counts=True))
+    rank = v.ranks(h)
+    m = recurrent_lm.RecurrentModel(v.counts, v.end, len(h), len(v.counts))
     whole = m.no_contexts()
-    m.add_contexts(owner, h, whole)
+    m.add_contexts(owner, rank, whole)
     shared = spark.sparkContext.broadcast(m)
+    texts = spark.createDataFrame([(bytes(rank[owner == n].tobytes()),) for n in range(50)], "ranks binary")
     for parts in (1, 5):
-        assert (recurrent_lm.context_sums(documents(spark, rows).repartition(parts, "doc_id"), "text", m, shared) == whole).all() and whole.any()
+        assert (recurrent_lm.context_sums(texts.repartition(parts), m, shared) == whole).all() and whole.any()
 
 
 def test_lm_empty(spark, empty):

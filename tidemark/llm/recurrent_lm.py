@@ -9,11 +9,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, written
+from .common import crc_mod, released, written
 from .words import SPACES, word_hashes
 
 FOLDS, HELD_OUT = 10, 0
@@ -22,8 +23,12 @@ SMOOTH = 0.1
 #: The commonest words, which have classes of their own kinds and whose counts go to every worker: 16 bytes each.
 TOP = 1 << 17
 #: Classes: the commonest words each alone, the end, clusters by context, words too rare to place, all other words.
-ALONE, CLUSTERS = 64, 60
+ALONE, CLUSTERS = 32, 60
 CLASSES = ALONE + CLUSTERS + 3
+#: Commonest words of a cluster among which the state chooses; the cluster's other words share one more slot by their counts.
+NAMED = 64
+#: A token's code: its class times CODE, plus its slot in a cluster counted from 1, or 0 where its class has no slots.
+CODE = 128
 HIDDEN = 24
 #: Texts from which the network's first weights come, before it learns from all, and tokens taken from each, from a place drawn by chance.
 SAMPLE, SPAN = 1000, 8192
@@ -33,9 +38,9 @@ SHARD_LANES, SHARD_RATE, STRETCH = 256, 0.003, 2048
 #: Commonest words that count as context, directions of a context's sum, words whose sums are sent on together.
 MARKS, DIMS, SUMS = 2000, 48, 128
 #: Sums of weights are added up in so many groups of partitions.
-SLOTS = 64
-#: Texts scored side by side, in steps of so many positions; bytes of text laid out at once.
-WIDE, STEPS, BYTES = 512, 32, 12 << 20
+SLOTS = 16
+#: Texts scored side by side, in steps of so many positions; characters, and tokens, taken up at once, more only where one text has more.
+WIDE, STEPS, BYTES, TOKENS = 512, 32, 12 << 20, 2 << 20
 #: Tokens counted before they are sent on.
 CHUNK = 1 << 22
 #: Hash that stands for the end of a text.
@@ -107,49 +112,82 @@ def least_common(counts: DataFrame) -> int:
     return (1 << 62) if least is None else math.ceil(2 ** (least / step) - 1e-9)
 
 
+class Vocabulary:
+    """The commonest words by rank: the most common one is 0."""
+
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
+        order = np.lexsort((hashes, -counts.astype(np.int64)))
+        self.counts = counts[order].astype(np.float64)
+        by_hash = np.argsort(hashes[order])
+        self.hashes, self.place = hashes[order][by_hash], by_hash.astype(np.int32)
+        end = np.flatnonzero(hashes[order] == END)
+        self.end = int(end[0]) if len(end) else -1
+        # Hashes are spread evenly, so their first bits lead to a few words each.
+        self.bits = max(1, len(hashes).bit_length() + 2)
+        self.first = np.searchsorted(self.hashes, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int32)
+        self.most = int(np.diff(np.r_[self.first, len(hashes)]).max(initial=0))
+
+    def ranks(self, h: np.ndarray) -> np.ndarray:
+        """The rank of each hash, -1 where it isn't among the commonest."""
+        out = np.full(len(h), -1, np.int32)
+        if not len(self.hashes):
+            return out
+        at = self.first[h >> np.uint64(64 - self.bits)]
+        for _ in range(self.most):
+            near = np.minimum(at, len(self.hashes) - 1)
+            hit = self.hashes[near] == h
+            out[hit] = self.place[near[hit]]
+            at = at + 1
+        return out
+
+
 class RecurrentModel:
-    """P(word | what came before) = P(class | state) * P(word | class); the state reads the classes of the words so far.
+    """P(word | what came before) = P(class | state) * P(word | class, state); the state reads the classes of the words so far.
 
-    P(word | class) is the share of the word's smoothed count in its class, so a text's score is its
-    unigram score plus what the state knows better than the classes' overall shares.
+    Both factors are softmaxes over the state. In a cluster the second chooses among its NAMED commonest words and one
+    slot for all its others, which share that slot by their smoothed counts, as do the words of classes too wide for a
+    softmax of their own. So a text's score is its unigram score plus what the state knows better than overall shares.
+    Words are ranks, and -1 is any word beyond the commonest. counts: of the commonest words, by rank. end: the rank of a text's end.
     """
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, distinct: int, seed: int = 5):
-        self.tokens, self.distinct = tokens, distinct
+    def __init__(self, counts: np.ndarray, end: int, tokens: int, distinct: int, seed: int = 5):
+        self.tokens, self.distinct, self.end = tokens, distinct, end
         self.total = tokens + SMOOTH * (distinct + 1)
-        order = np.argsort(hashes)
-        self.hashes, self.counts = hashes[order], counts[order].astype(np.float64)
-        self.known = bool(len(hashes))
-        self.classes = np.full(len(hashes), ALONE + CLUSTERS + 1, np.int16)
-        by_count = np.lexsort((self.hashes, -self.counts))
-        place = np.arange(len(hashes))
-        self.classes[by_count[place < ALONE]] = place[place < ALONE]
-        self.classes[self.hashes == END] = ALONE
-        self.rank = by_count
+        self.counts = counts
+        self.known = bool(len(counts))
+        self.classes, self.slots = np.full(len(counts), ALONE + CLUSTERS + 1, np.int16), np.zeros(len(counts), np.int16)
+        self.classes[:ALONE] = np.arange(min(ALONE, len(counts)))
+        if end >= 0:
+            self.classes[end] = ALONE
         rng = np.random.default_rng(seed)
         s = 1 / math.sqrt(HIDDEN)
         f = np.float32
         self.wx = (rng.normal(0, s, (CLASSES + 1, 3 * HIDDEN))).astype(f)
         self.wh = (rng.normal(0, s, (HIDDEN, 3 * HIDDEN))).astype(f)
-        self.wo = np.zeros((HIDDEN, CLASSES), f)
-        self.bo = np.zeros(CLASSES, f)
+        # Of the two softmaxes; the last row, for a state's last place that is always 1, is the bias.
+        self.wo = np.zeros((HIDDEN + 1, CLASSES), f)
+        self.wi = np.zeros((CLUSTERS, HIDDEN + 1, NAMED + 1), f)
         self._shares()
 
     def _shares(self) -> None:
         mass = np.bincount(self.classes, self.counts + SMOOTH, CLASSES)
         mass[CLASSES - 1] = (self.tokens - self.counts.sum()) + SMOOTH * (self.distinct - len(self.counts) + 1)
         self.log_share = np.log(np.maximum(mass, 1e-300) / self.total)
-
-    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(class, count) of each hash; count -1 where it isn't among the commonest."""
-        if not self.known:
-            return np.full(len(h), CLASSES - 1, np.int16), np.full(len(h), -1.0)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        hit = self.hashes[at] == h
-        return np.where(hit, self.classes[at], CLASSES - 1).astype(np.int16), np.where(hit, self.counts[at], -1.0)
+        # Slots of the clusters' words, commonest first, and the slots' shares of their clusters.
+        cluster = self.classes.astype(np.int64) - ALONE - 1
+        own = np.flatnonzero((cluster >= 0) & (cluster < CLUSTERS))
+        own = own[np.argsort(cluster[own], kind="stable")]
+        place = np.arange(len(own)) - np.searchsorted(cluster[own], cluster[own])
+        self.slots[:] = 0
+        self.slots[own] = np.minimum(place, NAMED) + 1
+        inner = np.zeros((CLUSTERS, NAMED + 1))
+        np.add.at(inner, (cluster[own], np.minimum(place, NAMED)), self.counts[own] + SMOOTH)
+        self.log_inner = np.log(np.maximum(inner, 1e-300) / np.maximum(mass[ALONE + 1 : ALONE + 1 + CLUSTERS, None], 1e-300))
+        #: By rank; the last one, at -1, is that of all other words.
+        self.codes = np.r_[self.classes * np.int16(CODE) + self.slots, np.int16((CLASSES - 1) * CODE)]
 
     def fit(self, texts: list[np.ndarray]) -> None:
-        """Learns classes and weights from the token hashes of some texts."""
+        """Learns classes and weights from the token ranks of some texts."""
         if not texts or not self.known:
             return
         sums = self.no_contexts()
@@ -158,43 +196,45 @@ class RecurrentModel:
         self.start(texts)
 
     def start(self, texts: list[np.ndarray]) -> None:
-        """The first weights, from the token hashes of some texts."""
+        """The first weights, from the token ranks of some texts."""
         if texts and self.known:
-            self._train([self.look_up(t)[0].astype(np.int64) for t in texts], LANES, [RATE if epoch == 0 else RATE * 0.3 for epoch in range(EPOCHS)], self.moments())
+            self._train([self.codes[t] for t in texts], LANES, [RATE if epoch == 0 else RATE * 0.3 for epoch in range(EPOCHS)], self.moments())
 
     def no_contexts(self) -> np.ndarray:
-        return np.zeros((len(self.hashes), DIMS), np.int64)
+        return np.zeros((len(self.counts), DIMS), np.int64)
 
-    def add_contexts(self, owner: np.ndarray, h: np.ndarray, sums: np.ndarray, rows: int = 1 << 15) -> None:
+    def add_contexts(self, owner: np.ndarray, rank: np.ndarray, sums: np.ndarray, rows: int = 1 << 15) -> None:
         """Adds to sums, by rank of the word, the random directions of the common words up to two places before and after
         each word in the same text. Directions are of -1 and 1, so sums are whole and the same in any order."""
         # One more than the directions, as bytes that are added eight at a time: four of at most 2 don't overflow.
         ways = np.random.default_rng(17).choice(np.array([0, 2], np.uint8), (4, MARKS + 1, DIMS))
         ways[:, MARKS] = 1
         ways = ways.view(np.uint64)
-        ranks = np.empty(len(self.hashes), np.int64)
-        ranks[self.rank] = np.arange(len(self.rank))
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        rank = np.where(self.hashes[at] == h, ranks[at], -1)
         near = np.where((rank >= 0) & (rank < MARKS), rank, MARKS)
-        for first in range(0, len(h), rows):
+        # What stands so many places away in the same text, and nothing where that is another's.
+        beside = []
+        for shift in (-2, -1, 1, 2):
+            x = np.full(len(rank), MARKS, np.int64)
+            a, b = max(0, -shift), min(len(rank), len(rank) - shift)
+            if a < b:
+                x[a:b] = np.where(owner[a:b] == owner[a + shift : b + shift], near[a + shift : b + shift], MARKS)
+            beside.append(x)
+        for first in range(0, len(rank), rows):
             own = first + np.flatnonzero(rank[first : first + rows] >= 0)
             own = own[np.argsort(rank[own], kind="stable")]
             if not len(own):
                 continue
-            x = np.zeros((len(own), DIMS // 8), np.uint64)
-            for way, shift in zip(ways, (-2, -1, 1, 2), strict=True):
-                beside = np.clip(own + shift, 0, len(h) - 1)
-                real = (beside == own + shift) & (owner[beside] == owner[own])
-                x += np.take(way, np.where(real, near[beside], MARKS), axis=0)
+            x = np.take(ways[0], beside[0][own], axis=0)
+            for way, other in zip(ways[1:], beside[1:], strict=True):
+                x += np.take(way, other[own], axis=0)
             edges = np.flatnonzero(np.diff(rank[own], prepend=-1))
             sums[rank[own[edges]]] += np.add.reduceat(x.view(np.uint8).astype(np.float32) - 4, edges, axis=0).astype(sums.dtype)
 
     def place(self, sums: np.ndarray, rounds: int = 8) -> None:
         """Words that stand beside the same common words share a class: k-means over the sums of add_contexts."""
         rng = np.random.default_rng(17)
-        n = self.counts[self.rank]
-        placed = np.flatnonzero((n >= 2) & (np.arange(len(n)) >= ALONE) & (self.hashes[self.rank] != END) & sums.any(axis=1))
+        n = self.counts
+        placed = np.flatnonzero((n >= 2) & (np.arange(len(n)) >= ALONE) & (np.arange(len(n)) != self.end) & sums.any(axis=1))
         if len(placed) >= CLUSTERS:
             x = sums[placed].astype(np.float32)
             x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
@@ -205,12 +245,16 @@ class RecurrentModel:
                 for d in range(DIMS):
                     centre[:, d] = np.bincount(own, x[:, d] * weight, CLUSTERS)
                 centre /= np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-9)
-            self.classes[self.rank[placed]] = ALONE + 1 + (x @ centre.T).argmax(axis=1)
+            self.classes[placed] = ALONE + 1 + (x @ centre.T).argmax(axis=1)
         self._shares()
-        self.bo = np.maximum(self.log_share, -20).astype(np.float32)
+        self.wo[-1] = np.maximum(self.log_share, -20)
+        self.wi[:, -1] = np.maximum(self.log_inner, -20)
 
     def weights(self) -> list[np.ndarray]:
-        return [self.wx, self.wh, self.wo, self.bo]
+        return [self.wx, self.wh, self.wo, self.wi]
+
+    def take(self, weights: list[np.ndarray]) -> None:
+        self.wx, self.wh, self.wo, self.wi = weights
 
     def moments(self) -> list:
         """Adam's state before the first step."""
@@ -219,56 +263,39 @@ class RecurrentModel:
     def own_copy(self) -> RecurrentModel:
         """The same with weights of its own: a broadcast model serves many tasks of a worker."""
         out = copy.copy(self)
-        out.wx, out.wh, out.wo, out.bo = (w.copy() for w in self.weights())
+        out.take([w.copy() for w in self.weights()])
         return out
 
-    def learn(self, owner: np.ndarray, h: np.ndarray, moments: list) -> None:
-        """Goes on learning from every token of the texts; in longer texts the state starts anew after every STRETCH tokens."""
-        kind = self.look_up(h)[0].astype(np.int64)
-        ends = np.r_[np.flatnonzero(np.diff(owner)) + 1, len(h)]
-        starts = np.r_[0, ends[:-1]]
-        pieces = [kind[a : min(a + STRETCH, to)] for at, to in zip(starts, ends, strict=True) for a in range(at, to, STRETCH)]
-        self._train(pieces, max(1, min(SHARD_LANES, len(h) // (4 * WINDOW))), [SHARD_RATE], moments)
-
-    def _lanes(self, texts: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Texts one after another in lanes of about equal length, longest lane first: (input, target, text) by position.
-        The input is the class before, or CLASSES at a text's start; target and text are -1 past a lane's end."""
-        load = [(0, i) for i in range(lanes)]
-        queue: list[list[int]] = [[] for _ in range(lanes)]
-        for n in sorted(range(len(texts)), key=lambda n: -len(texts[n])):
-            size, lane = heapq.heappop(load)
-            queue[lane].append(n)
-            heapq.heappush(load, (size + len(texts[n]), lane))
-        queue.sort(key=lambda own: -sum(len(texts[n]) for n in own))
-        longest = sum(len(texts[n]) for n in queue[0])
-        given, target, text = (np.full((longest, lanes), v, t) for v, t in ((CLASSES, np.int16), (-1, np.int16), (-1, np.int32)))
-        for lane, own in enumerate(queue):
-            at = 0
-            for n in own:
-                to = at + len(texts[n])
-                target[at:to, lane] = texts[n]
-                given[at + 1 : to, lane] = texts[n][:-1]
-                text[at:to, lane] = n
-                at = to
-        return given, target, text
+    def learn(self, texts: list[np.ndarray], moments: list) -> None:
+        """Goes on learning from every token of the texts' ranks; in longer texts the state starts anew after every STRETCH tokens."""
+        pieces = [self.codes[t[a : a + STRETCH]] for t in texts for a in range(0, len(t), STRETCH)]
+        self._train(pieces, max(1, min(SHARD_LANES, sum(map(len, pieces)) // (4 * WINDOW))), [SHARD_RATE], moments)
+
+    def _inner(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """(which tokens have slots, ordered by cluster, their slots, and for each cluster (cluster, from, to) in that order)."""
+        own = np.flatnonzero(codes & np.int16(CODE - 1))
+        cluster = codes[own] // np.int16(CODE) - np.int16(ALONE + 1)
+        order = np.argsort(cluster, kind="stable")
+        own, cluster = own[order], cluster[order]
+        edges = np.flatnonzero(np.diff(cluster, prepend=-1, append=CLUSTERS)).tolist()
+        return own, (codes[own] & np.int16(CODE - 1)).astype(np.int64) - 1, [(int(cluster[a]), a, b) for a, b in zip(edges, edges[1:])]
 
     def _train(self, texts: list[np.ndarray], lanes: int, rates: list[float], moments: list) -> None:
-        """Backpropagation through WINDOW steps, with the state carried from window to window; Adam, a pass for each rate."""
-        given, target, _ = self._lanes(texts, min(lanes, len(texts)))
+        """Backpropagation through WINDOW steps, with the state carried from window to window; Adam, a pass for each rate.
+        texts: codes of their tokens."""
+        run = Lanes(texts, min(lanes, len(texts)))
         f, hid = np.float32, HIDDEN
         weights = self.weights()
         first, second, _ = moments
-        ones = np.ones(CLASSES, f)
-        ends = (target >= 0).sum(axis=0)
+        ones, inner_ones = np.ones(CLASSES, f), np.ones(NAMED + 1, f)
         for rate in rates:
-            h = np.zeros((given.shape[1], hid), f)
-            for at in range(0, len(given), WINDOW):
-                lanes = int((ends > at).sum())
-                if not lanes:
-                    break
-                x, y = given[at : at + WINDOW, :lanes].astype(np.int64), target[at : at + WINDOW, :lanes].astype(np.int64)
+            h = np.zeros((run.lanes, hid), f)
+            for x, codes, _ in run.steps(WINDOW):
+                lanes = x.shape[1]
                 h = h[:lanes]
-                size = int((y >= 0).sum())
+                flat = codes.ravel()
+                real = np.flatnonzero(flat >= 0)
+                size = len(real)
                 kept, gxs = [], np.take(self.wx, x, axis=0)
                 carry = (x != CLASSES).astype(f)[:, :, None]
                 for t in range(len(x)):
@@ -285,40 +312,52 @@ class RecurrentModel:
                     np.tanh(c, out=c)
                     h = c + z * (before - c)
                     kept.append((before, z, r, c, gh[:, 2 * hid :], h))
-                hs = np.stack([k[5] for k in kept]).reshape(-1, hid)
+                hs = np.ones((len(flat), hid + 1), f)
+                np.concatenate([k[5] for k in kept], out=hs[:, :hid])
                 d = hs @ self.wo
-                d += self.bo
                 np.exp(d, out=d)
-                flat = y.ravel()
                 d *= ((flat >= 0) / (d @ ones * f(size))).astype(f)[:, None]
-                real = np.flatnonzero(flat >= 0)
-                d[real, flat[real]] -= f(1 / size)
+                d[real, flat[real] // CODE] -= f(1 / size)
+                dhs = d @ self.wo[:hid].T
+                own, slot, parts = self._inner(np.maximum(flat, 0))
+                g_wi = np.zeros_like(self.wi)
+                if parts:
+                    given, di, back_i = hs[own], np.empty((len(own), NAMED + 1), f), np.empty((len(own), hid), f)
+                    for k, a, b in parts:
+                        np.matmul(given[a:b], self.wi[k], out=di[a:b])
+                    np.exp(di, out=di)
+                    di *= (1 / (di @ inner_ones * f(size)))[:, None]
+                    di[np.arange(len(own)), slot] -= f(1 / size)
+                    for k, a, b in parts:
+                        np.matmul(given[a:b].T, di[a:b], out=g_wi[k])
+                        np.matmul(di[a:b], self.wi[k, :hid].T, out=back_i[a:b])
+                    dhs[own] += back_i
                 # What depends on no later step is worked out for the whole window: the derivatives by c, z and r.
                 before, z, r, c, ghc = (np.concatenate([k[i] for k in kept]).reshape(len(x), lanes, hid) for i in range(5))
                 by_c = (1 - z) * (1 - c * c)
                 by_z = (before - c) * z * (1 - z)
                 by_r = by_c * ghc * r * (1 - r)
-                dh_out, dh = (d @ self.wo.T).reshape(len(x), lanes, hid), np.zeros((lanes, hid), f)
+                dh_out, dh = dhs.reshape(len(x), lanes, hid), np.zeros((lanes, hid), f)
                 dgx, back = np.empty((len(x), lanes, 3 * hid), f), np.ascontiguousarray(self.wh.T)
                 dgh = np.empty_like(dgx)
                 by_c_r = by_c * r
                 for t in range(len(x) - 1, -1, -1):
                     dh += dh_out[t]
-                    own = dgh[t]
-                    np.multiply(dh, by_z[t], out=own[:, :hid])
-                    np.multiply(dh, by_r[t], out=own[:, hid : 2 * hid])
-                    np.multiply(dh, by_c_r[t], out=own[:, 2 * hid :])
+                    step_back = dgh[t]
+                    np.multiply(dh, by_z[t], out=step_back[:, :hid])
+                    np.multiply(dh, by_r[t], out=step_back[:, hid : 2 * hid])
+                    np.multiply(dh, by_c_r[t], out=step_back[:, 2 * hid :])
                     np.multiply(dh, by_c[t], out=dgx[t, :, 2 * hid :])
                     dh *= z[t]
-                    dh += own @ back
+                    dh += step_back @ back
                     dh *= carry[t]
                 dgx[:, :, : 2 * hid] = dgh[:, :, : 2 * hid]
-                order = np.argsort(x.ravel().astype(np.int16), kind="stable")
-                own = x.ravel()[order]
-                edges = np.flatnonzero(np.diff(own, prepend=-1))
-                grads = [np.zeros_like(self.wx), before.reshape(-1, hid).T @ dgh.reshape(-1, 3 * hid), hs.T @ d, d.sum(axis=0)]
-                grads[0][own[edges]] = np.add.reduceat(dgx.reshape(-1, 3 * hid)[order], edges, axis=0)
-                norm = math.sqrt(sum(float((g * g).sum()) for g in grads))
+                order = np.argsort(x.ravel(), kind="stable")
+                kinds = x.ravel()[order]
+                edges = np.flatnonzero(np.diff(kinds, prepend=-1))
+                grads = [np.zeros_like(self.wx), before.reshape(-1, hid).T @ dgh.reshape(-1, 3 * hid), hs.T @ d, g_wi]
+                grads[0][kinds[edges]] = np.add.reduceat(dgx.reshape(-1, 3 * hid)[order], edges, axis=0)
+                norm = math.sqrt(sum(float(np.vdot(g, g)) for g in grads))
                 moments[2] += 1
                 step = moments[2]
                 for w, g, m, v in zip(weights, grads, first, second, strict=True):
@@ -328,20 +367,18 @@ class RecurrentModel:
                     w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
 
     def lift(self, texts: list[np.ndarray]) -> np.ndarray:
-        """For each text of classes, log10 of how much likelier its classes are given the state than by their shares."""
+        """For each text of codes, log10 of how much likelier its classes and slots are given the state than by their shares."""
         out = np.zeros(len(texts))
         if not texts or not self.known:
             return out
-        total = sum(map(len, texts))
-        given, target, text = self._lanes(texts, max(1, min(WIDE, len(texts), total // STEPS)))
-        ends = (target >= 0).sum(axis=0)
+        run = Lanes(texts, max(1, min(WIDE, len(texts), sum(map(len, texts)) // STEPS)))
         hid, f = HIDDEN, np.float32
-        h = np.zeros((given.shape[1], hid), f)
-        for at in range(0, len(given), STEPS):
-            lanes = int((ends > at).sum())
-            x, y = given[at : at + STEPS, :lanes], target[at : at + STEPS, :lanes]
+        h = np.zeros((run.lanes, hid), f)
+        ones, inner_ones = np.ones(CLASSES, f), np.ones(NAMED + 1, f)
+        for x, codes, text in run.steps(STEPS):
+            lanes = x.shape[1]
             h = h[:lanes]
-            hs = np.empty((len(x), lanes, hid), f)
+            hs = np.ones((len(x), lanes, hid + 1), f)
             fresh = x == CLASSES
             for t in range(len(x)):
                 if fresh[t].any():
@@ -356,29 +393,90 @@ class RecurrentModel:
                 c += g[:, 2 * hid :]
                 np.tanh(c, out=c)
                 h = c + zr[:, :hid] * (h - c)
-                hs[t] = h
-            logits = hs.reshape(-1, hid) @ self.wo
-            logits += self.bo
-            flat = y.ravel().astype(np.int64)
+                hs[t, :, :hid] = h
+            hs = hs.reshape(-1, hid + 1)
+            flat = codes.ravel()
             real = np.flatnonzero(flat >= 0)
-            chosen = logits[real, flat[real]].astype(np.float64)
+            kind = flat[real] // np.int16(CODE)
+            logits = hs @ self.wo
+            more = logits[real, kind] - self.log_share[kind]
             np.exp(logits, out=logits)
-            all_ = np.log((logits @ np.ones(CLASSES, f))[real].astype(np.float64))
-            out += np.bincount(text[at : at + STEPS, :lanes].ravel()[real], chosen - all_ - self.log_share[flat[real]], len(texts))
+            more -= np.log((logits @ ones)[real].astype(np.float64))
+            won = np.zeros(len(flat))
+            won[real] = more
+            own, slot, parts = self._inner(np.maximum(flat, 0))
+            if parts:
+                given, inner = hs[own], np.empty((len(own), NAMED + 1), f)
+                shares = np.empty(len(own))
+                for k, a, b in parts:
+                    np.matmul(given[a:b], self.wi[k], out=inner[a:b])
+                    shares[a:b] = self.log_inner[k][slot[a:b]]
+                chosen = inner[np.arange(len(own)), slot] - shares
+                np.exp(inner, out=inner)
+                won[own] += chosen - np.log((inner @ inner_ones).astype(np.float64))
+            out += np.bincount(text.ravel()[real], won[real], len(texts))
         return out / math.log(10)
 
 
-def context_sums(docs: DataFrame, text_col: str, model: RecurrentModel, shared: Broadcast) -> np.ndarray:
-    """RecurrentModel.add_contexts over all texts. Every task sends its sums in blocks of words, in the fewest bytes that hold
-    them; they are added up by block in Spark, and one sum for each of the commonest words reaches the driver."""
+class Lanes:
+    """Texts one after another in lanes of about equal length, longest lane first. Only the tokens themselves are held, in the
+    order of the lanes; what steps() lays out side by side is a slice of all lanes that still go on."""
 
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def __init__(self, texts: list[np.ndarray], lanes: int):
+        self.lanes = lanes
+        load = [(0, i) for i in range(lanes)]
+        queue: list[list[int]] = [[] for _ in range(lanes)]
+        for n in sorted(range(len(texts)), key=lambda n: -len(texts[n])):
+            size, lane = heapq.heappop(load)
+            queue[lane].append(n)
+            heapq.heappush(load, (size + len(texts[n]), lane))
+        sizes = [sum(len(texts[n]) for n in own) for own in queue]
+        order = sorted(range(lanes), key=lambda i: -sizes[i])
+        texts_in_order = [n for i in order for n in queue[i]]
+        self.length = np.array([sizes[i] for i in order], np.int64)
+        self.offset = np.r_[0, np.cumsum(self.length)[:-1]]
+        # One spare token at the end for places past a lane's own.
+        self.code = np.concatenate([*(texts[n] for n in texts_in_order), np.array([-1], np.int16)])
+        self.text = np.repeat(np.array([*texts_in_order, -1], np.int32), [*(len(texts[n]) for n in texts_in_order), 1])
+        self.given = np.empty(len(self.code), np.int16)
+        self.given[1:] = self.code[:-1] // np.int16(CODE)
+        self.given[np.flatnonzero(np.diff(self.text, prepend=-2))] = CLASSES
+
+    def steps(self, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(input, code, text) of the next n places of every lane, by place and lane. The input is the class before, or CLASSES
+        at a text's start; code and text are -1 past a lane's end."""
+        spare = len(self.code) - 1
+        for at in range(0, int(self.length.max(initial=0)), n):
+            lanes = int((self.length > at).sum())
+            place = at + np.arange(min(n, int(self.length[0]) - at))[:, None]
+            index = np.where(place < self.length[:lanes], self.offset[:lanes] + place, spare)
+            yield self.given[index], self.code[index], self.text[index]
+
+
+def ranked_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The ranks of each text of Arrow batches of one binary column, about TOKENS at a time."""
+    held, size = [], 0
+    for batch in batches:
+        for x in batch.column(0):
+            held.append(np.frombuffer(x.as_buffer(), np.int32))
+            size += len(held[-1])
+            if size >= TOKENS:
+                yield held
+                held, size = [], 0
+        if held:  # what is held points into the batch
+            yield held
+            held, size = [], 0
+
+
+def context_sums(texts: DataFrame, model: RecurrentModel, shared: Broadcast) -> np.ndarray:
+    """RecurrentModel.add_contexts over all texts, rows of one column of ranks. Every task sends its sums in blocks of words, in the
+    fewest bytes that hold them; they are added up by block in Spark, and one sum for each of the commonest words reaches the driver."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         sums = own.no_contexts().astype(np.int32)
-        for batch in batches:
-            texts = list(batch["t"])
-            for a, b in parts(texts):
-                own.add_contexts(*token_hashes(texts[a:b]), sums)
+        for some in ranked_texts(batches):
+            own.add_contexts(np.repeat(np.arange(len(some)), [len(t) for t in some]), np.concatenate(some), sums)
         out = []
         for block in range(0, len(sums), SUMS):
             part = sums[block : block + SUMS]
@@ -386,42 +484,44 @@ def context_sums(docs: DataFrame, text_col: str, model: RecurrentModel, shared:
                 kind = next(k for k in (np.int8, np.int16, np.int32) if np.abs(part).max() <= np.iinfo(k).max)
                 out.append((block, np.dtype(kind).itemsize, part.astype(kind).tobytes()))
         if out:
-            yield pd.DataFrame(out, columns=["block", "size", "s"])
+            yield pa.RecordBatch.from_pydict({"block": pa.array([x[0] for x in out], pa.int32()), "size": pa.array([x[1] for x in out], pa.int32()), "s": pa.array([x[2] for x in out], pa.binary())})
+        del sums, out
+        released()
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(s, f"i{size}").astype(np.int64) for size, s in zip(group["size"], group["s"], strict=True))
         return pd.DataFrame({"block": group["block"][:1], "s": [total.tobytes()]})
 
-    sent = docs.select(F.col(text_col).alias("t")).mapInPandas(gather, "block int, size int, s binary")
+    sent = texts.mapInArrow(gather, "block int, size int, s binary")
     sums = model.no_contexts()
     for r in sent.groupBy("block").applyInPandas(add, "block int, s binary").collect():
         sums[r["block"] : r["block"] + SUMS] = np.frombuffer(r["s"], np.int64).reshape(-1, DIMS)
     return sums
 
 
-def learned(docs: DataFrame, text_col: str, shared: Broadcast) -> list[np.ndarray] | None:
-    """Weights learned from all texts: every task goes on from the shared model over its own texts, and the mean of
-    the tasks' weights by their numbers of tokens is taken, added up in Spark. None without texts."""
+def learned(texts: DataFrame, shared: Broadcast) -> list[np.ndarray] | None:
+    """Weights learned from all texts, rows of one column of ranks: every task goes on from the shared model over its own texts,
+    and the mean of the tasks' weights by their numbers of tokens is taken, added up in Spark. None without texts."""
 
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.own_copy()
         n, moments = 0, own.moments()
-        for batch in batches:
-            texts = list(batch["t"])
-            for a, b in parts(texts):
-                owner, h = token_hashes(texts[a:b])
-                own.learn(owner, h, moments)
-                n += len(h)
+        for some in ranked_texts(batches):
+            own.learn(some, moments)
+            n += sum(map(len, some))
         if n:
             part = TaskContext.get().partitionId()
-            yield pd.DataFrame({"slot": [part % SLOTS], "part": [part], "n": [n], "w": [np.concatenate([w.ravel() for w in own.weights()]).tobytes()]})
+            weights = np.concatenate([w.ravel() for w in own.weights()]).tobytes()
+            yield pa.RecordBatch.from_pydict({"slot": pa.array([part % SLOTS], pa.int32()), "part": pa.array([part], pa.int32()), "n": pa.array([n], pa.int64()), "w": pa.array([weights], pa.binary())})
+        del own, moments
+        released()
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("part")
         total = sum(n * np.frombuffer(w, np.float32).astype(np.float64) for n, w in zip(group["n"], group["w"], strict=True))
         return pd.DataFrame({"slot": group["slot"][:1], "n": [group["n"].sum()], "w": [total.tobytes()]})
 
-    sent = docs.select(F.col(text_col).alias("t")).mapInPandas(learn, "slot int, part int, n long, w binary")
+    sent = texts.mapInArrow(learn, "slot int, part int, n long, w binary")
     rows = sorted(sent.groupBy("slot").applyInPandas(add, "slot int, n long, w binary").collect(), key=lambda r: r["slot"])
     if not rows:
         return None
@@ -440,64 +540,71 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     averaged, so the last digits of score depend on how the input is dealt. Without learning texts both scores are those
     of unknown tokens. Repeated rows each return; a null id belongs to the learning part.
 
-    Words are told apart by 64-bit hashes. Counts of the commonest go to every worker; a text's other words
+    Words are told apart by 64-bit hashes. Counts of the commonest go to every worker, which writes each text as the
+    ranks of its words; learning and scoring read those. A text's other words
     meet their counts in a join, so common words never make a large key there.
     """
     spark = docs.sparkSession
     held = F.coalesce(crc_mod(id_col, FOLDS) == HELD_OUT, F.lit(False))
-    train = docs.where(~held)
-    counts = written(token_counts(train, text_col), "lm-counts")
+    counts = written(token_counts(docs.where(~held), text_col), "lm-counts")
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     top = counts.where(F.col("c") >= least_common(counts)).toPandas()
     n_train = (counts.where(F.col("h") == int(END)).first() or {"c": 0})["c"]
-    model = RecurrentModel(top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), tokens, distinct)
+    words = Vocabulary(top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64))
+    model = RecurrentModel(words.counts, words.end, tokens, distinct)
+    spelt, total = spark.sparkContext.broadcast(words), model.total
 
-    @F.pandas_udf("array<long>")
-    def some(texts: pd.Series) -> pd.Series:
-        out = []
-        for t in texts:
-            h = token_hashes([t])[1]
-            at = int(h[0] % np.uint64(max(1, len(h) - SPAN + 1)))
-            out.append(h[at : at + SPAN].view(np.int64))
-        return pd.Series(out)
-
-    digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
-    sample = train.where(draw < min(1.0, SAMPLE / max(1, n_train))).select(digest.alias("o"), some(F.col(text_col)).alias("h")).collect()
-    if model.known:
-        ranked = spark.sparkContext.broadcast(model)
-        model.place(context_sums(train, text_col, model, ranked))
-        ranked.unpersist()
-        model.start([np.array(r["h"], np.int64).view(np.uint64) for r in sorted(sample, key=lambda r: (r["o"], r["h"]))])
-        started = spark.sparkContext.broadcast(model)
-        model.wx, model.wh, model.wo, model.bo = learned(train, text_col, started) or model.weights()
-        started.unpersist()
-    shared = spark.sparkContext.broadcast(model)
-    total = model.total
-
-    @F.pandas_udf("n long, known long, base double, lift double, other array<long>")
+    @F.pandas_udf("n long, known long, base double, ranks binary, other array<long>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = shared.value
+        own = spelt.value
         for batch in batches:
             texts, out = list(batch), []
             for a, b in parts(texts):
                 owner, h = token_hashes(texts[a:b])
-                kind, c = own.look_up(h)
+                rank = own.ranks(h)
                 n = b - a
                 cut = np.searchsorted(owner, np.arange(1, n))
-                common = c >= 0
-                base = np.bincount(owner[common], np.log10((c[common] + SMOOTH) / own.total), n)
+                common = rank >= 0
+                base = np.bincount(owner[common], np.log10((own.counts[rank[common]] + SMOOTH) / total), n)
                 other = np.split(h[~common].view(np.int64), np.searchsorted(owner[~common], np.arange(1, n)))
-                out.append(pd.DataFrame({"n": np.bincount(owner, minlength=n), "known": np.bincount(owner[common], minlength=n), "base": base, "lift": own.lift(np.split(kind, cut)), "other": other}))
-                del owner, h, kind, c
-            yield pd.concat(out, ignore_index=True) if out else pd.DataFrame({"n": [], "known": [], "base": [], "lift": [], "other": []})
+                out.append(pd.DataFrame({"n": np.bincount(owner, minlength=n), "known": np.bincount(owner[common], minlength=n), "base": base, "ranks": [x.tobytes() for x in np.split(rank, cut)], "other": other}))
+                del owner, h, rank
+            yield pd.concat(out, ignore_index=True) if out else pd.DataFrame({"n": [], "known": [], "base": [], "ranks": [], "other": []})
+        released()
 
     judged = docs.select(F.col(id_col).alias("_id"), held.alias("held_out"), F.col(text_col).alias("_t")).withColumn("_uid", F.monotonically_increasing_id())
-    scored = written(judged.select("_uid", "_id", "held_out", judge("_t").alias("s")).select("_uid", "_id", "held_out", "s.*"), "lm-scored")
-    rest = scored.select("_uid", F.explode("other").alias("h")).join(counts, "h", "left")
+    read_ = written(judged.select("_uid", "_id", "held_out", judge("_t").alias("s")).select("_uid", "_id", "held_out", "s.*"), "lm-tokens")
+    learning = read_.where(~F.col("held_out")).select("ranks")
+    if model.known:
+        digest = F.md5(F.coalesce(F.col("_id").cast("string"), F.lit("")))
+        draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
+        place = F.pmod(F.xxhash64(digest), F.greatest(F.col("n") - SPAN, F.lit(0)) + 1)
+        some = F.substring(F.col("ranks"), (place * 4 + 1).cast("int"), F.lit(4 * SPAN))
+        sample = read_.where(~F.col("held_out") & (draw < min(1.0, SAMPLE / max(1, n_train)))).select(digest.alias("o"), some.alias("r")).collect()
+        shared = spark.sparkContext.broadcast(model)
+        model.place(context_sums(learning, model, shared))
+        shared.unpersist()
+        model.start([np.frombuffer(r["r"], np.int32) for r in sorted(sample, key=lambda r: (r["o"], r["r"]))])
+        shared = spark.sparkContext.broadcast(model)
+        model.take(learned(learning, shared) or model.weights())
+        shared.unpersist()
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def lift(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = shared.value
+        for batch in batches:
+            found = [np.zeros(0)]
+            for some in ranked_texts(iter([pa.RecordBatch.from_arrays([batch], ["r"])])):
+                found.append(own.lift([own.codes[t] for t in some]))
+            yield pa.array(np.concatenate(found))
+        released()
+
+    scored = read_.select("_uid", "_id", "held_out", "n", "known", "base", lift("ranks").alias("lift"))
+    rest = read_.select("_uid", F.explode("other").alias("h")).join(counts, "h", "left")
     terms = rest.groupBy("_uid").agg(F.sum(F.log10((F.coalesce("c", F.lit(0)) + F.lit(SMOOTH)) / F.lit(total))).alias("more"), F.count("c").alias("seen"))
     base = F.col("base") + F.coalesce("more", F.lit(0.0))
-    return scored.drop("other").join(terms, "_uid", "left").select(
+    return scored.join(terms, "_uid", "left").select(
         F.col("_id").alias(id_col),
         "held_out",
         F.col("n").alias("n_tokens"),

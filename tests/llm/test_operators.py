@@ -573,6 +573,55 @@ def test_license_scan(spark, empty):
     assert licenses.license_scan(empty, licenses.known_licenses(spark)).count() == 0
 
 
+def slow_canonical(text):
+    """Lines of words: lower case, without lines of copyright, spellings made one, letters and digits."""
+    out = []
+    for line in (text or "").lower().split("\n"):
+        bare = line.strip(" \t*#/-_")
+        if re.match(r"(portions )?copyright:? ?(\(c\)|©|[0-9]{4}|[<\[{]|by\b)", bare) or re.match(r"(\(c\)|©) ?[0-9]{4}", bare) or re.fullmatch(r"all rights reserved\W*", bare):
+            continue
+        words = " ".join(re.findall(r"[^\W_]+", line))
+        for a, b in sorted(licenses.SPELLINGS.items(), key=lambda x: -len(x[0])):
+            words = re.sub(rf"\b{a.replace('-', ' ')}\b", b, words)
+        if words:
+            out.append(words)
+    return out
+
+
+def test_license_scan_against_brute_force(spark):
+    """Mixtures of lines, known and not, in odd spellings and with copyright lines, against a plain canonical form and a plain look-up."""
+    rng = random.Random(11)
+    known = [("A", "You may copy this work under the licence"), ("B", "You may not favour the programme\nat all"), ("C", "one line of terms")]
+    odd_lines = ["Copyright (c) 2001 Someone", "© 1999 Else", "* All rights reserved.", "copyright on the work stays", "(c) third item", "", "--- ___", "Prose of no meaning", "ÉTÉ été"]
+    spell = lambda t: rng.choice([t, t.upper(), t.replace("licence", "license"), "  " + t.replace(" ", ",  ") + "!", "# " + t.replace("programme", "Program")])
+    rows = []
+    for i in range(300):
+        lines = [rng.choice(odd_lines) if rng.random() < 0.5 else "\n".join(map(spell, rng.choice(known)[1].split("\n"))) for _ in range(rng.choice([1, 1, 2, 4]))]
+        rows.append((i, "\n".join(lines), "en", "a"))
+    table = {" ".join(slow_canonical(t)): n for n, t in known}
+    out = {r["doc_id"]: r for r in licenses.license_scan(documents(spark, rows), licenses.licenses_of(spark.createDataFrame(known, "license string, text string"))).collect()}
+    for i, text, _, _ in rows:
+        lines = slow_canonical(text)
+        assert out[i]["license"] == table.get(" ".join(lines)) and out[i]["n_lines"] == len(lines), text
+        assert out[i]["line_licenses"] == ",".join(sorted({table[x] for x in lines if x in table})), text
+    assert sum(r["license"] is not None for r in out.values()) > 30
+
+
+def test_whole_license_texts_however_wrapped(spark):
+    """Each whole text is found in capitals, wrapped anew, with another holder; and not with a word changed."""
+    import textwrap
+
+    rows, want = [], {}
+    for n, (name, text) in enumerate(licenses.whole_texts()):
+        kept = "\n".join(x for x in text.split("\n") if not re.match(r"\s*copyright\s*(\(c\)|\[)", x.lower()))
+        rows.append((2 * n, "Copyright (C) 2024 Another Holder\n" + textwrap.fill(kept, 61 + n).upper(), "en", "a"))
+        rows.append((2 * n + 1, text.replace(" the ", " a ", 1), "en", "a"))
+        want[2 * n] = name
+    out = {r["doc_id"]: r["license"] for r in licenses.license_scan(documents(spark, rows), licenses.known_licenses(spark)).collect()}
+    assert {i: out[i] for i in want} == want and all(out[i] is None for i in out if i % 2)
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= set(want.values())
+
+
 def test_license_scan_with_a_large_table(spark, odd, monkeypatch):
     a = licenses.license_scan(odd, licenses.known_licenses(spark, [("OWN", "same text here")])).collect()
     monkeypatch.setattr(licenses, "MOST_SENT", 1)

@@ -5,11 +5,14 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from importlib.resources import files
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import released
+
 #: Known digests that may be sent to every task; a larger table is joined by a shuffle.
 MOST_SENT = 100_000
 
@@ -22,9 +25,13 @@ SPELLINGS = {
     "organise": "organize", "practise": "practice", "programme": "program", "realise": "realize", "recognise": "recognize", "signalling": "signaling", "utilisation": "utilization", "whilst": "while", "wilful": "willful",
     "copyright owner": "copyright holder", "copyright owners": "copyright holders", "per cent": "percent", "https": "http", "merchantibility": "merchantability",
 }
-_SPELT = re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, SPELLINGS), key=len, reverse=True)) + r")\b")
-_HINT = re.compile("|".join(sorted({re.escape(k[:5]) for k in SPELLINGS})))
-_COPYRIGHT = re.compile(r"^[\W_]*(?:(?:portions )?copyright\b(?! (?:holder|owner|notice|law|license))|\(c\)|©|all rights reserved\b).*$", re.M)
+_SPACED = {re.sub(r"\W+", " ", a): b for a, b in SPELLINGS.items()}
+_SPELT = re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, _SPACED), key=len, reverse=True)) + r")\b")
+_HINT = re.compile("|".join(sorted({re.escape(k[:5]) for k in _SPACED})))
+#: Lines that name who holds rights, and since when: not lines of a sentence that happens to break before "copyright" or "(c)".
+_HOLDER = r"(?:\(c\)|©|&copy;|[0-9]{4}|[<\[{]|year\b|by\b)"
+_COPYRIGHT = re.compile(rf"^[^\w\n(©]*(?:(?:portions )?copyright:?[ \t]*{_HOLDER}|(?:\(c\)|©)[ \t]*(?:copyright|[0-9]{{4}}|[<\[{{])|all rights reserved\W*$).*$", re.M)
+_TERMS_END = re.compile(r"end of (?:the )?terms and conditions\W*", re.I)
 _OTHER = re.compile(r"[^\w\n]+|_+")
 
 #: Notices and short licences, as their stewards publish them.
@@ -65,14 +72,16 @@ KNOWN_TEXTS: list[tuple[str, str]] = [
 ]
 
 
-def canonical(text: str) -> str:
-    """The text in lower case, lines of copyright left out, equal spellings made one, letters and digits only, lines kept."""
+def spelt(words: str) -> str:
+    return _SPELT.sub(lambda m: _SPACED[m.group()], words) if _HINT.search(words) else words
+
+
+def canonical(text: str) -> list[str]:
+    """The text's lines that have words: in lower case, letters and digits with one space between words, lines of copyright left out."""
     t = text.lower()
     if "copyright" in t or "(c)" in t or "©" in t or "all rights" in t:
         t = _COPYRIGHT.sub("", t)
-    if _HINT.search(t):
-        t = _SPELT.sub(lambda m: SPELLINGS[m.group()], t)
-    return _OTHER.sub(" ", t)
+    return [joined for line in _OTHER.sub(" ", t).split("\n") if (joined := " ".join(line.split()))]
 
 
 def digest(words: str) -> str:
@@ -80,19 +89,41 @@ def digest(words: str) -> str:
 
 
 def unit_digests(text: str | None) -> tuple[str | None, list[str]]:
-    """Digest of the whole canonical text, None where it has no words, and those of its lines that have words."""
-    lines = [joined for line in canonical(text or "").split("\n") if (joined := " ".join(line.split()))]
+    """Digest of the whole canonical text, None where it has no words, and those of its lines that have words. Equal spellings
+    are made one in the text as a whole, so that it doesn't matter where its lines break."""
+    lines = canonical(text or "")
     if not lines:
         return None, []
-    return digest(" ".join(lines)), [digest(x) for x in lines] if len(lines) > 1 else []
+    return digest(spelt(" ".join(lines))), [digest(spelt(x)) for x in lines] if len(lines) > 1 else []
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(license, text) of the files in license_texts, each whole and without the advice on its use that follows the terms."""
+    out = []
+    for file in sorted((f for f in files(__package__).joinpath("license_texts").iterdir() if f.name.endswith(".txt")), key=lambda f: f.name):
+        name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        out.append((name, text))
+        if cut := _TERMS_END.search(text):
+            out += [(name, text[: cut.end()]), (name, text[: cut.start()])]
+    return out
 
 
 def known_licenses(spark: SparkSession, more: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(digest, license) of the built-in texts and of more (license, text)."""
-    found = {unit_digests(text)[0]: name for name, text in [*KNOWN_TEXTS, *(more or [])]}
+    """(digest, license) of the built-in notices and whole texts, and of more (license, text)."""
+    found = {unit_digests(text)[0]: name for name, text in [*KNOWN_TEXTS, *whole_texts(), *(more or [])]}
     return spark.createDataFrame(sorted((d, n) for d, n in found.items() if d), "digest string, license string")
 
 
+def licenses_of(table: DataFrame, license_col: str = "license", text_col: str = "text") -> DataFrame:
+    """(digest, license) of a table of known texts of any size, for license_scan; texts that are null or without words are left out."""
+
+    @F.pandas_udf("string")
+    def whole(texts: pd.Series) -> pd.Series:
+        return pd.Series([unit_digests(t)[0] for t in texts], dtype=object)
+
+    return table.select(whole(F.col(text_col)).alias("digest"), F.col(license_col).cast("string").alias("license")).where("digest is not null")
+
+
 def license_scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, digest, license, n_lines, line_licenses.
 
@@ -107,6 +138,7 @@ def license_scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             yield pd.DataFrame([unit_digests(t) for t in texts], columns=["whole", "lines"])
+        released()
 
     table = known.where(F.col("digest").isNotNull()).groupBy(F.col("digest").alias("_k")).agg(F.min("license").alias("_license"))
     if table.limit(MOST_SENT + 1).count() <= MOST_SENT:

@@ -122,7 +122,13 @@ def period_mosaic(spark, sf):
     return tiles.mosaic(c, reg, [], "truth")
 
 
-@query("tile_id s, split_index l, split_name s")
+@query(
+    "tile_id s, split_index l, split_name s",
+    """WITH RECURSIVE o AS (SELECT s_name AS tile_id, abs(s_acctbal) AS a, row_number() OVER (ORDER BY abs(s_acctbal) DESC, s_name) AS k, avg(abs(s_acctbal)) OVER () AS m FROM supplier),
+    r AS (SELECT 0::BIGINT AS k, NULL::VARCHAR AS tile_id, 0::BIGINT AS i, [0, 0, 0, 0]::DOUBLE[] AS loads
+      UNION ALL SELECT o.k, o.tile_id, list_position(loads, list_min(loads)) - 1, [CASE WHEN j = list_position(loads, list_min(loads)) THEN loads[j] + 1 + a / m ELSE loads[j] END for j in [1, 2, 3, 4]] FROM r JOIN o ON o.k = r.k + 1)
+    SELECT tile_id, i AS split_index, 'split_' || i AS split_name FROM r WHERE k > 0""",
+)
 def lpt_assignment(spark, sf):
     s = table(spark, sf, "supplier").select(F.col("s_name").alias("tile_id"), F.abs("s_acctbal").alias("area_km2"))
     return tiles.assign_lpt(s, 4)
@@ -139,18 +145,11 @@ def tiles_of_split(spark, sf):
     return tiles.tiles_of_split(p.select("tile_id"), p.select("tile_id", F.pmod("p_size", F.lit(3)).alias("split_index")), 1)
 
 
-TARGET = "tg AS (SELECT tile, row, col, col * 7.0 + 3.0 AS x, -row * 7.0 - 3.0 AS y FROM cells WHERE row < 10)"
-
-
-WHOLE = "tg AS (SELECT tile, row, col, col * 7.0 + 3.0 AS x, -row * 7.0 - 3.0 AS y FROM cells)"
-
-
-def _whole(spark, sf):
-    return cells(spark, sf).select("tile", "row", "col", (F.col("col") * 7.0 + 3.0).alias("x"), (-F.col("row") * 7.0 - 3.0).alias("y"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(10.0).alias("res"))
+TARGET = "tg AS (SELECT tile, row, col, col * 7.0 + 3.0 AS x, -row * 7.0 - 3.0 AS y FROM cells)"
 
 
 def _target(spark, sf):
-    return _whole(spark, sf).where("row < 10")
+    return cells(spark, sf).select("tile", "row", "col", (F.col("col") * 7.0 + 3.0).alias("x"), (-F.col("row") * 7.0 - 3.0).alias("y"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(10.0).alias("res"))
 
 
 @query("tile l, row l, col l, truth l", f"WITH {CELLS}, {TARGET} SELECT tg.tile, tg.row, tg.col, c.truth FROM tg LEFT JOIN cells c ON c.tile = tg.tile AND c.row = floor(-y / 10) AND c.col = floor(x / 10)")
@@ -163,17 +162,32 @@ def resample_bilinear(spark, sf):
     return tiles.resample_bilinear(cells(spark, sf), _target(spark, sf), ["tile"], "z")
 
 
-@query("tile l, row l, col l, truth l", f"WITH {CELLS}, {WHOLE} SELECT tg.tile, tg.row, tg.col, c.truth FROM tg LEFT JOIN cells c ON c.tile = tg.tile AND c.row = floor(-y / 10) AND c.col = floor(x / 10)")
-def resample_nearest_whole(spark, sf):
-    return tiles.resample_nearest(cells(spark, sf), _whole(spark, sf), ["tile"], "truth")
-
-
-@query("tile l, row l, col l, z d", f"WITH {CELLS}, {WHOLE}, f AS (SELECT *, x / 10 - 0.5 AS fx, -y / 10 - 0.5 AS fy FROM tg), k AS (SELECT f.*, floor(fx) + j AS cc, floor(fy) + i AS rr, (1 - abs(fy - floor(fy) - i)) * (1 - abs(fx - floor(fx) - j)) AS w FROM f, range(2) t(i), range(2) u(j)) SELECT k.tile, k.row, k.col, sum(w * c.z) / sum(CASE WHEN c.z IS NOT NULL THEN w END) AS z FROM k LEFT JOIN cells c ON c.tile = k.tile AND c.row = rr AND c.col = cc GROUP BY k.tile, k.row, k.col")
-def resample_bilinear_whole(spark, sf):
-    return tiles.resample_bilinear(cells(spark, sf), _whole(spark, sf), ["tile"], "z")
-
-
-@query("tile l, row l, col l, event_type s, object_px l")
+def _patches(name: str, of: str, near: int = 1) -> str:
+    """Connected cells of a table (grp, row, col, id), as tables <name>_r (every cell with every cell that it reaches) and <name> (cell with its patch)."""
+    return f"""{name}_e AS (SELECT a.grp, a.id, b.id AS nb FROM {of} a JOIN {of} b ON a.grp = b.grp AND abs(a.row - b.row) <= {near} AND abs(a.col - b.col) <= {near}),
+    {name}_r AS (SELECT grp, id, id AS root FROM {of} UNION SELECT r.grp, e.nb, r.root FROM {name}_r r JOIN {name}_e e ON r.grp = e.grp AND r.id = e.id),
+    {name} AS (SELECT {of}.*, root, count(*) OVER (PARTITION BY grp, root) AS px FROM {of} JOIN (SELECT grp, id, min(root) AS root FROM {name}_r GROUP BY ALL) USING (grp, id))"""
+
+
+def _opened(name: str, of: str, k: int) -> str:
+    """Cells of a table (grp, row, col) that a square of k x k cells inside it covers."""
+    return f"""{name}_f AS (SELECT grp, r0, c0 FROM (SELECT DISTINCT grp, row - i AS r0, col - j AS c0, i, j FROM {of}, range({k}) t(i), range({k}) u(j)) GROUP BY ALL HAVING count(*) = {k * k}),
+    {name} AS (SELECT {of}.* FROM {of} WHERE EXISTS (SELECT 1 FROM {name}_f f WHERE f.grp = {of}.grp AND {of}.row BETWEEN r0 AND r0 + {k - 1} AND {of}.col BETWEEN c0 AND c0 + {k - 1}))"""
+
+
+@query(
+    "tile l, row l, col l, event_type s, object_px l",
+    f"""WITH RECURSIVE {CELLS}, ev AS (SELECT tile * 100 + truth AS grp, tile, row, col, row * 1000 + col AS id, CASE pred WHEN 0 THEN 'gain' WHEN 1 THEN 'cutblock' ELSE 'other_loss' END AS event_type, share AS burned, share / 2 AS dnbr FROM cells),
+    part AS (SELECT * FROM ev WHERE event_type <> 'gain'), {_patches("ob", "part")},
+    fi AS (SELECT *, px >= 20 AND (avg(burned) OVER w >= 0.10 OR (avg(dnbr) OVER w >= 0.45 AND avg(burned) OVER w >= 0.05)) AS fire FROM ob WINDOW w AS (PARTITION BY grp, root)),
+    lm AS (SELECT a.grp, a.id, avg(b.burned) AS near FROM part a JOIN part b ON a.grp = b.grp AND abs(a.row - b.row) <= 5 AND abs(a.col - b.col) <= 5 GROUP BY ALL),
+    af AS (SELECT fi.*, fire AND near >= 0.03 AS as_fire FROM fi JOIN lm USING (grp, id)),
+    rest AS (SELECT grp, row, col, id FROM af WHERE NOT as_fire), {_opened("wide", "rest", 2)}, thin AS (SELECT * FROM rest ANTI JOIN wide USING (grp, id)),
+    rch AS (SELECT DISTINCT grp, row + i AS row, col + j AS col, (row + i + 10) * 1000 + col + j + 10 AS id FROM thin, range(-1, 2) t(i), range(-1, 2) u(j)), {_patches("st", "rch")},
+    lo AS (SELECT grp, root FROM st GROUP BY ALL HAVING greatest(max(row) - min(row), max(col) - min(col)) + 1 - 2 >= 4),
+    li AS (SELECT thin.grp, thin.id FROM thin JOIN st ON st.grp = thin.grp AND st.row = thin.row AND st.col = thin.col SEMI JOIN lo ON lo.grp = st.grp AND lo.root = st.root)
+    SELECT ev.tile, ev.row, ev.col, CASE WHEN coalesce(as_fire, false) THEN 'fire' WHEN li.id IS NOT NULL THEN 'linear_feature' ELSE ev.event_type END AS event_type, coalesce(af.px, 0) AS object_px FROM ev LEFT JOIN af USING (grp, id) LEFT JOIN li ON li.grp = ev.grp AND li.id = ev.id""",
+)
 def object_refinement(spark, sf):
     e = cells(spark, sf).select("tile", "row", "col", F.make_date(F.lit(2000) + F.col("truth"), F.lit(7), F.lit(1)).alias("break_date"), F.when(F.col("pred") == 0, "gain").when(F.col("pred") == 1, "cutblock").otherwise("other_loss").alias("event_type"), F.col("share").alias("burned_fraction"), (F.col("share") / 2).alias("dnbr"))
     return events.refine_objects(e, ["tile"], "row", "col", r=events.Rules(object_px=20, line_extent=4, line_width=2, line_gap=1))
@@ -202,7 +216,7 @@ def event_terrain(spark, sf):
     return c.where("pred = 1").select("tile", "row", "col").join(terrain, ["tile", "row", "col"], "left")
 
 
-@query("tile l, row l, col l")
+@query("tile l, row l, col l", f"WITH RECURSIVE {CELLS}, fit AS (SELECT tile AS grp, row, col, row * 1000 + col AS id FROM cells WHERE truth >= 1), {_opened('wide', 'fit', 2)}, {_patches('pa', 'wide')} SELECT grp AS tile, row, col FROM pa WHERE px >= 3")
 def cropland_patches(spark, sf):
     """Cells whose stand-in series is open throughout, in wide patches."""
     import datetime

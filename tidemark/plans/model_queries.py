@@ -67,17 +67,23 @@ def threshold_model(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", models.threshold_class(F.col("embedding"), rules, 0).alias("cls"))
 
 
-@query("place l, way s, bound d, class l, miou d")
+@query(
+    "place l, way s, bound d, class l, miou d",
+    """WITH v AS (SELECT f - 1 AS place, embedding[f]::DOUBLE AS x, (label % 3)::INT AS truth FROM embeddings, range(1, 65) t(f)), e AS (SELECT place, quantile_cont(x, 0.05) AS lo, quantile_cont(x, 0.95) AS hi FROM v GROUP BY place),
+    p AS (SELECT place, place * 3 + n AS plan, lo + [0.25, 0.5, 0.75][n + 1] * (hi - lo) AS bound FROM e, range(3) g(n)), h AS (SELECT plan, truth, (x >= bound)::INT AS pred, count(*) AS n FROM p JOIN v USING (place) GROUP BY ALL),
+    c AS (SELECT plan, c, sum(CASE WHEN truth = c AND pred = c THEN n ELSE 0 END) / sum(n) AS iou FROM h, range(3) k(c) WHERE truth = c OR pred = c GROUP BY ALL), s AS (SELECT plan, avg(iou) AS miou FROM c GROUP BY plan)
+    SELECT place, '>=' AS way, bound, 1 AS class, miou FROM s JOIN p USING (plan) ORDER BY round(miou, 12) DESC, plan LIMIT 1""",
+)
 def threshold_search(spark, sf):
     e = table(spark, sf, "embeddings").withColumn("y", F.pmod("label", F.lit(3)))
-    rules, miou = models.search_thresholds(e, "embedding", "y", [0, 1, 2], 64, trials=30)
+    rules, miou = models.search_thresholds(e, "embedding", "y", [0, 1, 2], 64, grid=[0.25, 0.5, 0.75])
     return spark.createDataFrame([(*r, miou) for r in rules], "place int, way string, bound double, class int, miou double")
 
 
-@query("raw l, dense l, again l", "WITH d AS (SELECT unnest([%s]) AS r), n AS (SELECT r, row_number() OVER () - 1 AS d FROM d), p AS (SELECT DISTINCT p_size - 1 AS raw FROM part WHERE p_size <= 20) SELECT raw, n.d AS dense, n.r AS again FROM p LEFT JOIN n ON n.r = raw" % ", ".join(str(c[0]) for c in CLASSES))
+@query("raw l, dense l, again l", "WITH d AS (SELECT unnest([%s]) AS r), n AS (SELECT r, row_number() OVER () - 1 AS d FROM d), p AS (SELECT DISTINCT p_size - 1 AS raw FROM part) SELECT raw, n.d AS dense, n.r AS again FROM p LEFT JOIN n ON n.r = raw" % ", ".join(str(c[0]) for c in CLASSES))
 def raw_dense_remap(spark, sf):
     dim = class_dim(spark)
-    p = table(spark, sf, "part").where("p_size <= 20").select((F.col("p_size") - 1).alias("raw")).distinct()
+    p = table(spark, sf, "part").select((F.col("p_size") - 1).alias("raw")).distinct()
     d = models.to_dense(p.withColumn("dense", F.col("raw")), dim, "dense")
     return models.to_dense(d.withColumn("again", F.col("dense")), dim, "again", back=True)
 
@@ -145,13 +151,8 @@ def jm_separability(spark, sf):
     return quality.separability(table(spark, sf, "embeddings"), "label", "embedding", 64)
 
 
-@query("feature_a l, feature_b l, r d", "SELECT a - 1 AS feature_a, b - 1 AS feature_b, corr(embedding[a]::DOUBLE, embedding[b]::DOUBLE) AS r FROM embeddings, range(1, 9) t(a), range(1, 9) u(b) WHERE a < b GROUP BY a, b HAVING abs(corr(embedding[a]::DOUBLE, embedding[b]::DOUBLE)) >= 0.01")
-def feature_correlation(spark, sf):
-    return quality.feature_correlations(table(spark, sf, "embeddings"), "embedding", 8, 0.01)
-
-
 @query("feature_a l, feature_b l, r d", "SELECT a - 1 AS feature_a, b - 1 AS feature_b, corr(embedding[a]::DOUBLE, embedding[b]::DOUBLE) AS r FROM embeddings, range(1, 65) t(a), range(1, 65) u(b) WHERE a < b GROUP BY a, b HAVING abs(corr(embedding[a]::DOUBLE, embedding[b]::DOUBLE)) >= 0.01")
-def feature_correlation_whole(spark, sf):
+def feature_correlation(spark, sf):
     return quality.correlation_matrix(table(spark, sf, "embeddings"), "embedding", 64, 0.01)
 
 
@@ -196,13 +197,29 @@ def _parts(spark, sf):
     return c, split.split_tiles(c.select("blk", "col"), "blk", (0.5, 0.3, 0.2))
 
 
-@query("split s, class l, share d, target d, warning s")
+PARTS = CELLS + """, bl AS (SELECT *, tile || '-' || (row // 4) AS blk FROM cells), pt AS (SELECT blk, CASE WHEN count(*) <= 1 THEN 0 WHEN count(*) <= 4 THEN 1 ELSE 2 END AS st FROM bl GROUP BY blk),
+pr AS (SELECT *, row_number() OVER (PARTITION BY st ORDER BY md5('0|' || blk), blk) AS k, count(*) OVER (PARTITION BY st) AS m FROM pt), pv AS (SELECT *, least(floor(m * 0.3 + 0.5), m - 1) AS va FROM pr),
+parts AS (SELECT blk, CASE WHEN k <= va THEN 'val' WHEN k <= va + least(floor(m * 0.2 + 0.5), m - 1 - va) THEN 'test' ELSE 'train' END AS split FROM pv)"""
+
+
+@query(
+    "split s, class l, share d, target d, warning s",
+    f"""WITH {PARTS}, w AS (SELECT split, class, sum(n) AS n, max(n) AS most FROM (SELECT blk, truth AS class, count(*) AS n FROM bl GROUP BY ALL) JOIN parts USING (blk) GROUP BY ALL),
+    x AS (SELECT *, n / sum(n) OVER (PARTITION BY class) AS share, CASE split WHEN 'train' THEN 0.5::DOUBLE WHEN 'val' THEN 0.3 ELSE 0.2 END AS target FROM w),
+    y AS (SELECT *, CASE WHEN share > 1.02::DOUBLE * target THEN 'too much' WHEN share < 0.98::DOUBLE * target THEN 'too little' WHEN most > 0.5 * n THEN 'single tile' END AS warning FROM x) SELECT * FROM y WHERE warning IS NOT NULL""",
+)
 def split_share_warnings(spark, sf):
     c, parts = _parts(spark, sf)
     return split.share_warnings(parts, quality.class_counts(c, ["blk"], "truth"), "blk", {"train": 0.5, "val": 0.3, "test": 0.2}, high=1.02, low=0.98)
 
 
-@query("class l, split s, donor s")
+@query(
+    "class l, split s, donor s",
+    f"""WITH {PARTS}, ow AS (SELECT blk, split, class, n FROM (SELECT blk, floor(share * 50)::INT % 50 AS class, count(*) AS n FROM bl GROUP BY ALL) JOIN parts USING (blk)),
+    nn AS (SELECT class, split FROM (SELECT DISTINCT class FROM ow), (SELECT unnest(['train', 'val', 'test']) AS split) EXCEPT SELECT class, split FROM ow),
+    mo AS (SELECT class, split, max_by(blk, (n, blk)) AS d FROM ow GROUP BY ALL), dd AS (SELECT class, max(d) FILTER (split = 'train') AS a, max(d) FILTER (split = 'val') AS b, max(d) FILTER (split = 'test') AS c FROM mo GROUP BY class)
+    SELECT class, split, CASE WHEN split = 'train' THEN coalesce(b, c) ELSE a END AS donor FROM nn JOIN dd USING (class)""",
+)
 def split_missing_classes(spark, sf):
     c, parts = _parts(spark, sf)
     c = c.withColumn("rare", F.pmod(F.floor(F.col("share") * 50), F.lit(50)).cast("int"))
@@ -222,7 +239,13 @@ def random_forest_confusion(spark, sf):
     return quality.confusion(out.withColumn("prediction", F.col("prediction").cast("int")), "label", "prediction")
 
 
-@query("group s, base_miou d, miou d, importance d")
+@query(
+    "group s, base_miou d, miou d, importance d",
+    """WITH e AS (SELECT vec_id, (label % 2)::INT AS truth, embedding[1]::DOUBLE AS x, row_number() OVER (ORDER BY vec_id) AS k, row_number() OVER (ORDER BY md5('0|' || vec_id), vec_id) AS d FROM embeddings),
+    p AS (SELECT a.truth, unnest(['base', 'first', 'second']) AS grp, unnest([(a.x >= 0)::INT, (b.x >= 0)::INT, (a.x >= 0)::INT]) AS pred FROM e a JOIN e b ON a.k = b.d),
+    i AS (SELECT grp, c, sum((truth = c AND pred = c)::INT) / count(*) AS iou FROM p, range(2) k(c) WHERE truth = c OR pred = c GROUP BY ALL), m AS (SELECT grp, avg(iou) AS miou FROM i GROUP BY grp)
+    SELECT m.grp AS "group", b.miou AS base_miou, m.miou AS miou, b.miou - m.miou AS importance FROM m, (SELECT miou FROM m WHERE grp = 'base') b WHERE m.grp <> 'base'""",
+)
 def permutation_importance(spark, sf):
     e = table(spark, sf, "embeddings").withColumn("embedding", F.col("embedding").cast("array<double>")).withColumn("y", F.pmod("label", F.lit(2)).cast("int"))
     rule = lambda f: models.threshold_class(f, [(0, ">=", 0.0, 1)], 0)

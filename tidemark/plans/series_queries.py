@@ -331,27 +331,64 @@ def _seasons(spark, sf):
     return events.seasons_around(b, monthly_cls(spark, sf), MONTHS, 1, 2, 0, LADDER)
 
 
-@query("px l, break_date s, pre_forest b, cleared_seasons l, burned_fraction d, bare_fraction d, recovered_year l, last_year l")
+# The seasons of a break go one by one through a recursion that has the fold's state as its columns.
+SEASONS = MONTHLY_CLS + """, ss AS (SELECT px, year(month) AS y, avg((cls = 1)::INT) AS f, avg((cls = 2)::INT) AS b, avg((cls = 0)::INT) AS g FROM mc WHERE month(month) BETWEEN 5 AND 10 GROUP BY ALL HAVING count(*) >= 2),
+bk AS (SELECT px, obs_date AS break_date, max(red) AS drop_, max(green) AS rise FROM obs WHERE nir > 0.9 GROUP BY ALL),
+be AS (SELECT bk.px, break_date, f, row_number() OVER (PARTITION BY bk.px, break_date ORDER BY y DESC) AS k FROM bk JOIN ss ON ss.px = bk.px AND y < year(break_date)),
+pf AS (SELECT px, break_date, count(*) >= 2 AND sum(f) / 2 >= 0.35 AS pre_forest FROM be WHERE k <= 2 GROUP BY ALL),
+af AS (SELECT bk.px, break_date, y, f, b, g, row_number() OVER w AS k, lead(f) OVER w AS nf FROM bk JOIN ss ON ss.px = bk.px AND y >= year(break_date) + CASE WHEN month(break_date) < 5 THEN 0 ELSE 1 END WINDOW w AS (PARTITION BY bk.px, break_date ORDER BY y)),
+rc AS (SELECT px, break_date, 0::BIGINT AS k, 0 AS stage, 0 AS cleared, 0 AS gaps, 0.0::DOUBLE AS burned, 0.0::DOUBLE AS bare, NULL::BIGINT AS back, NULL::BIGINT AS last FROM bk
+  UNION ALL SELECT px, break_date, k, CASE WHEN clear THEN 0 WHEN again THEN 2 WHEN stage = 0 THEN 1 ELSE stage END, cleared + clear::INT, gaps + (clear AND noisy)::INT, burned + CASE WHEN clear AND cleared < 2 THEN b ELSE 0 END, bare + CASE WHEN clear THEN g ELSE 0 END, CASE WHEN again THEN y ELSE back END, CASE WHEN stage < 2 THEN y ELSE last END
+  FROM (SELECT *, stage < 2 AND NOT clear AND f >= 0.6 AS again FROM (SELECT *, stage = 0 AND (f <= 0.4 OR noisy) AS clear FROM (SELECT rc.* EXCLUDE (k), af.k, y, f, b, g, f > 0.4 AND f < 0.6 AND gaps < 1 AND cleared >= 1 AND coalesce(nf <= 0.4, false) AS noisy FROM rc JOIN af ON af.px = rc.px AND af.break_date = rc.break_date AND af.k = rc.k + 1)))),
+se AS (SELECT bk.*, coalesce(pre_forest, false) AS pre_forest, cleared AS cleared_seasons, burned / greatest(least(cleared, 2), 1) AS burned_fraction, bare / greatest(cleared, 1) AS bare_fraction, back AS recovered_year, last AS last_year, (SELECT max(year(month)) FROM mc WHERE mc.px = bk.px) AS stack_year
+  FROM bk JOIN (SELECT * FROM rc QUALIFY row_number() OVER (PARTITION BY px, break_date ORDER BY k DESC) = 1) USING (px, break_date) LEFT JOIN pf USING (px, break_date))"""
+LADDER_SQL = SEASONS + """, q0 AS (SELECT *, (coalesce(recovered_year, greatest(coalesce(last_year, year(break_date)), year(break_date))) - year(break_date)) * 12 AS duration_months, recovered_year IS NOT NULL AS recovered, drop_ >= 0.1 AS big, burned_fraction >= 0.3 AND month(break_date) BETWEEN 6 AND 8 AS burned FROM se),
+q1 AS (SELECT *, CASE WHEN big AND burned AND pre_forest AND cleared_seasons >= 1 THEN 'fire' WHEN big AND pre_forest AND cleared_seasons >= 2 AND NOT burned AND NOT recovered AND duration_months >= 96 AND bare_fraction >= 0.6 THEN 'permanent_clearing' WHEN big AND pre_forest AND cleared_seasons >= 2 AND NOT burned THEN 'cutblock'
+  WHEN big AND pre_forest AND NOT recovered AND cleared_seasons = 1 AND stack_year - year(break_date) <= 2 THEN 'recent_clearing' WHEN big AND pre_forest AND cleared_seasons = 0 THEN 'canopy_decline' WHEN big AND NOT pre_forest THEN 'open_land_disturbance' WHEN big THEN 'other_loss' WHEN rise >= 0.1 THEN 'gain' ELSE 'none' END AS kind FROM q0),
+ladder AS (SELECT * EXCLUDE (kind), CASE WHEN kind = 'open_land_disturbance' AND coalesce(sum((kind IN ('fire', 'cutblock', 'permanent_clearing', 'recent_clearing'))::INT) OVER (PARTITION BY px ORDER BY break_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) > 0 THEN 'regrowth_change' ELSE kind END AS event_type FROM q1)"""
+
+
+def _open_runs_sql(least: int) -> str:
+    """Open years one by one: the run that goes on, and the last long one before it."""
+    state = ("start", "last", "seen", "total", "open", "bare", "years")
+    return f"""os AS (SELECT px, year(month) AS y, avg((cls IN (0, 1))::INT) AS o, avg((cls = 0)::INT) AS g, count(*) AS n FROM mc WHERE month(month) BETWEEN 6 AND 9 GROUP BY ALL HAVING count(*) >= 2),
+    ok AS (SELECT *, row_number() OVER w AS k, lead(o) OVER w AS nxt FROM os WINDOW w AS (PARTITION BY px ORDER BY y)),
+    orun AS (SELECT px, 0::BIGINT AS k, {', '.join(f"NULL::DOUBLE AS n_{c}, NULL::DOUBLE AS b_{c}" for c in state)} FROM (SELECT DISTINCT px FROM os)
+      UNION ALL SELECT px, k, CASE WHEN on_ THEN coalesce(n_start, y) WHEN over_ THEN NULL ELSE n_start END, {_settled('start', least)}, CASE WHEN on_ THEN y WHEN over_ THEN NULL ELSE n_last END, {_settled('last', least)}, CASE WHEN on_ THEN coalesce(n_seen, 0) + 1 WHEN over_ THEN NULL ELSE n_seen END, {_settled('seen', least)},
+      CASE WHEN on_ THEN coalesce(n_total, 0) + n WHEN over_ THEN NULL ELSE n_total END, {_settled('total', least)}, CASE WHEN on_ THEN coalesce(n_open, 0) + o * n WHEN over_ THEN NULL ELSE n_open END, {_settled('open', least)}, CASE WHEN on_ THEN coalesce(n_bare, 0) + g * n WHEN over_ THEN NULL ELSE n_bare END, {_settled('bare', least)}, CASE WHEN on_ THEN coalesce(n_years, 0) + (g > 0)::INT WHEN over_ THEN NULL ELSE n_years END, {_settled('years', least)}
+      FROM (SELECT *, NOT on_ AND o < 0.5 AND NOT (n_seen IS NOT NULL AND coalesce(nxt >= 0.8, false)) AS over_ FROM (SELECT orun.* EXCLUDE (k), ok.k, y, o, g, n, nxt, o >= 0.5 AND (n_seen IS NOT NULL OR o >= 0.8) AS on_ FROM orun JOIN ok ON ok.px = orun.px AND ok.k = orun.k + 1))),
+    oend AS (SELECT * FROM orun QUALIFY row_number() OVER (PARTITION BY px ORDER BY k DESC) = 1),
+    runs AS (SELECT px, {', '.join(f"CASE WHEN coalesce(n_seen >= {least}, false) THEN n_{c} ELSE b_{c} END AS {c}" for c in state)} FROM oend WHERE coalesce(n_seen >= {least}, false) OR b_seen IS NOT NULL)"""
+
+
+def _settled(c: str, least: int) -> str:
+    return f"CASE WHEN over_ AND coalesce(n_seen >= {least}, false) THEN n_{c} ELSE b_{c} END"
+
+
+@query("px l, break_date s, pre_forest b, cleared_seasons l, burned_fraction d, bare_fraction d, recovered_year l, last_year l", f"WITH RECURSIVE {SEASONS} SELECT * FROM se")
 def seasons_around_breaks(spark, sf):
     return _seasons(spark, sf)
 
 
-@query("px l, break_date s, event_type s, duration_months l, recovered b")
+@query("px l, break_date s, event_type s, duration_months l, recovered b", f"WITH RECURSIVE {LADDER_SQL} SELECT * FROM ladder")
 def event_ladder(spark, sf):
     return events.name_events(_seasons(spark, sf), MONTHS, LADDER)
 
 
-@query("px l, event_type s, event_year l, cut_months l")
+@query(
+    "px l, event_type s, event_year l, cut_months l",
+    f"WITH RECURSIVE {LADDER_SQL} SELECT px, max_by(event_type, break_date) AS event_type, year(max(break_date)) AS event_year, max_by(duration_months, break_date) FILTER (event_type IN ('cutblock', 'permanent_clearing')) AS cut_months FROM ladder WHERE event_type <> 'none' GROUP BY px",
+)
 def latest_event(spark, sf):
     return events.latest_event(events.name_events(_seasons(spark, sf), MONTHS, LADDER), MONTHS)
 
 
-@query("px l, start_year l, end_year l, years l, closed_share d, bare_share d, bare_years l")
+@query("px l, start_year l, end_year l, years l, closed_share d, bare_share d, bare_years l", f"WITH RECURSIVE {MONTHLY_CLS}, {_open_runs_sql(3)} SELECT px, start AS start_year, last AS end_year, seen AS years, 1 - open / total AS closed_share, bare / total AS bare_share, years AS bare_years FROM runs")
 def open_land_runs(spark, sf):
     return events.open_runs(monthly_cls(spark, sf), MONTHS, 1, 0, r=events.Rules(crop_years=3))
 
 
-@query("px l, event_type s, break_date s")
+@query("px l, event_type s, break_date s", f"WITH RECURSIVE {LADDER_SQL}, {_open_runs_sql(5)} SELECT px, CASE WHEN event_type <> 'none' AND px IN (SELECT px FROM runs) THEN 'cropland_change' ELSE event_type END AS event_type, break_date FROM ladder")
 def cropland_membership(spark, sf):
     """Events of series with an open run, retyped."""
     named = events.name_events(_seasons(spark, sf), MONTHS, LADDER)

@@ -55,3 +55,28 @@ def utm_epsg(lon: Column, lat: Column) -> Column:
 def signature(*columns: str) -> Column:
     """SHA-1 of the columns as JSON, in alphabetical order of their names."""
     return F.sha1(F.to_json(F.struct(*sorted(columns))))
+
+
+#: What a name holds, and the unit that it stands for; the first that applies.
+UNITS = (("yyyymm", "YYYYMM"), ("year", "year"), ("duration_months", "months"), ("n_segments", "number of segments"), ("n_months", "number of months"), ("n_intervals", "number of intervals"), ("n_", "count"), ("month", "month"), ("dnbr", "dNBR"), ("ndvi", "NDVI"), ("slope", "slope"), ("elevation", "m"))
+
+
+def readable(name: Column) -> Column:
+    """`latest_event_type` as "Latest event type", `ndvi__2019` as "Ndvi - 2019"."""
+    parts = F.split(name, "__")
+    head = F.replace(F.get(parts, F.lit(0)), F.lit("_"), F.lit(" "))
+    head = F.concat(F.upper(F.substring(head, 1, 1)), F.substring(head, 2, 1 << 20))
+    return F.when(F.size(parts) == 1, head).otherwise(F.concat(head, F.lit(" - "), F.array_join(F.slice(parts, 2, 1 << 20), " ")))
+
+
+def unit_of(name: Column) -> Column:
+    out = F.lit("value")
+    for key, unit in reversed(UNITS):
+        out = F.when(F.contains(F.lower(name), F.lit(key)), unit).otherwise(out)
+    return out
+
+
+def product_of(path: Column) -> Column:
+    """The kind of product that a stored file is of, by its name."""
+    stem = F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
+    return F.when(stem.startswith("monthly_anomaly_"), "monthly_anomaly").when(stem.startswith("regrowth_severity"), "regrowth_severity").when(stem.startswith("block_"), "block").otherwise(stem)

@@ -98,3 +98,44 @@ def pseudo_labels(pixels: DataFrame, scene: list[str], confidence: str = "confid
     bar = F.when(F.col(label).isin(*(rare or [])), rare_least).otherwise(common_least) if rare else F.lit(common_least)
     own = pixels.withColumn("_ok", F.col(confidence) >= bar)
     return own.withColumn("_share", F.avg(F.col("_ok").cast("double")).over(W.partitionBy(*scene))).where(F.col("_ok") & (F.col("_share") >= least_share)).drop("_ok", "_share")
+
+
+def grid_check(headers: DataFrame, expected: DataFrame, keys: list[str] | None = None, tolerance: float = 1e-6) -> DataFrame:
+    """headers with problem: missing, crs, shape or transform, the first that applies; null where a grid is its tile's.
+
+    expected has a row for each tile: n_rows, n_cols, x0, y0, res and crs; headers the same columns for each stored array.
+    """
+    keys = keys or ["tile_id"]
+    grid = ("n_rows", "n_cols", "x0", "y0", "res", "crs")
+    own = headers.join(expected.select(*keys, *[F.col(c).alias(f"_{c}") for c in grid]), keys, "left")
+    off = F.lit(False)
+    for c in ("x0", "y0", "res"):
+        off = off | (F.abs(F.col(c) - F.col(f"_{c}")) > tolerance)
+    problem = F.when(F.col("_n_rows").isNull(), "missing").when(F.col("crs") != F.col("_crs"), "crs").when((F.col("n_rows") != F.col("_n_rows")) | (F.col("n_cols") != F.col("_n_cols")), "shape").when(off, "transform")
+    return own.withColumn("problem", problem).drop(*[f"_{c}" for c in grid])
+
+
+def counters(manifest: DataFrame, by: list[str], statuses: tuple[str, ...] = ("kept", "rejected")) -> DataFrame:
+    """by, total and the number of scenes of each status: counters of parts add up to those of the whole."""
+    return manifest.groupBy(*by).agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("status") == x).alias(x) for x in statuses])
+
+
+def discover(scenes: DataFrame, sensors: DataFrame, done: DataFrame, footprints: DataFrame, tiles: DataFrame, most_cloud: float = 20.0, least_cover: float = 50.0, most_a_month: int | None = None, reflectance: DataFrame | None = None, least_reflectance: float = 0.15) -> DataFrame:
+    """Manifest of a search: what needs the catalogue alone comes first, then coverage, then the budget, then reflectance.
+
+    scenes: the catalogue. footprints(scene keys, minx, miny, maxx, maxy) and tiles(tile_id and box) give the coverage of those that
+    are left; reflectance(scene keys, max_reflectance) the last check. Rejected scenes keep the reason of the step that turned them down.
+    """
+    cheap = cascade(admissible(scenes, sensors).drop("aoi_coverage_pct", "max_reflectance").withColumn("aoi_coverage_pct", F.lit(100.0)), done, most_cloud, 0.0)
+    left = cheap.where("status = 'kept'").drop("aoi_coverage_pct", "status", "reason")
+    box = lambda side: {c: F.col(f"{side}_{c}") for c in ("minx", "miny", "maxx", "maxy")}
+    feet = footprints.select(*SCENE, *[F.col(c).alias(f"f_{c}") for c in box("f")])
+    own = left.join(feet, SCENE, "left").join(tiles.select("tile_id", *[F.col(c).alias(f"t_{c}") for c in box("t")]), "tile_id", "left")
+    covered = own.withColumn("aoi_coverage_pct", coverage_pct(box("t"), box("f"))).drop(*[f"{x}_{c}" for x in "ft" for c in box(x)])
+    fitting = cascade(covered, None, most_cloud, least_cover, most_a_month=most_a_month)
+    if reflectance is not None:
+        top = reflectance.select(*SCENE, F.col("max_reflectance").alias("_top"))
+        dim = (F.col("status") == "kept") & (F.coalesce("_top", F.lit(0.0)) < least_reflectance)
+        fitting = fitting.join(top, SCENE, "left").withColumn("reason", F.when(dim, "reflectance").otherwise(F.col("reason"))).withColumn("status", F.when(dim, "rejected").otherwise(F.col("status"))).drop("_top")
+    columns = [*SCENE, "year", "month", "status", "reason", "cloud_pct"]
+    return cheap.where("status <> 'kept'").select(*columns).unionByName(fitting.select(*columns))

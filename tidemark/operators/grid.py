@@ -168,3 +168,15 @@ def overlap_mean(patches: DataFrame, by: list[str], place: str, size: int, value
     hann = lambda x: F.greatest(F.lit(1e-3), 0.5 - 0.5 * F.cos(2 * F.pi() * (x + 0.5) / size))
     w = hann(r) * hann(c)
     return patches.where(F.col(value).isNotNull()).groupBy(*by).agg((F.sum(F.col(value) * w) / F.sum(w)).alias(value), F.count(F.lit(1)).alias("n"))
+
+
+def clip_to_bounds(cells: DataFrame, x: str, y: str, minx: float, miny: float, maxx: float, maxy: float, value: str) -> DataFrame:
+    """cells whose value is null where the centre lies outside the bounds; every cell stays."""
+    inside = (F.col(x) >= minx) & (F.col(x) <= maxx) & (F.col(y) >= miny) & (F.col(y) <= maxy)
+    return cells.withColumn(value, F.when(inside, F.col(value)))
+
+
+def north_up(cells: DataFrame, by: list[str], rising: str, row: str = "row") -> DataFrame:
+    """Rows counted from the north: rows of the groups whose y rises with the row are turned round."""
+    last = F.max(row).over(W.partitionBy(*by))
+    return cells.withColumn(row, F.when(F.col(rising), last - F.col(row)).otherwise(F.col(row)).cast(dict(cells.dtypes)[row]))

@@ -158,5 +158,127 @@ def boosted_trees(df: DataFrame, features: str, label: str, rounds: int = 10, de
     return model, model.transform(own).drop("_x", "_y", "rawPrediction")
 
 
-#: Model kinds by name; networks need a library that isn't here and come as tables of probabilities.
-MODELS: dict[str, str] = {"threshold": "threshold_class", "random_forest": "random_forest", "boosted": "boosted_trees", "precomputed": "decide"}
+def total_penalty(probs: Column, truth: Column, penalties: list[tuple[int, int, float]]) -> Column:
+    """Sum of directional penalties (true class, predicted class, beta); those without a positive beta don't count."""
+    out = F.lit(0.0)
+    for true_class, predicted_class, beta in penalties:
+        if beta > 0:
+            out = out + directional_penalty(probs, truth, true_class, predicted_class, beta)
+    return out
+
+
+def deep_supervision(aux: list[Column], truth: Column, weights: list[float], weight: Column | float = 1.0) -> Column:
+    """Cross entropies of side outputs, each with its weight, added up."""
+    out = F.lit(0.0)
+    for probs, w in zip(aux, weights, strict=True):
+        out = out + w * cross_entropy(probs, truth, weight)
+    return out
+
+
+def moving_average(old: Column, new: Column, decay: float) -> Column:
+    """Arrays of weights: decay * old + (1 - decay) * new, place by place."""
+    return F.zip_with(old, new, lambda a, b: a * decay + b * (1.0 - decay))
+
+
+class Centroids:
+    """A class for each row by the nearest mean of the classes in some places of an array: one aggregation to fit, an expression to predict."""
+
+    def __init__(self, places: list[int]):
+        self.places, self.means = places, {}
+
+    def fit(self, df: DataFrame, features: str, label: str) -> Centroids:
+        rows = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("c")).agg(*[F.avg(F.get(features, F.lit(i)).cast("double")).alias(f"m{i}") for i in self.places]).collect()
+        self.means = {r["c"]: [r[f"m{i}"] for i in self.places] for r in sorted(rows, key=lambda r: r["c"])}
+        return self
+
+    def predict(self, features: Column) -> Column:
+        """The nearest class, the smallest on ties; null before there is any."""
+        away = [F.struct(sum((F.pow(F.get(features, F.lit(i)).cast("double") - F.lit(m), F.lit(2.0)) for i, m in zip(self.places, means, strict=True)), F.lit(0.0)).alias("d"), F.lit(c).alias("c")) for c, means in self.means.items()]
+        return F.array_min(F.array(*away))["c"] if away else F.lit(None).cast("int")
+
+
+def miou_of(df: DataFrame, truth: str, pred: Column) -> DataFrame:
+    return class_metrics(confusion(df.withColumn("_p", pred), truth, "_p")).agg(F.avg("iou").alias("miou"))
+
+
+def drop_column_importance(df: DataFrame, features: str, truth: str, groups: dict[str, list[int]], places: list[int], least: float = 0.0, kind: Callable[[list[int]], Centroids] = Centroids) -> DataFrame:
+    """group, base_miou, miou, importance, drop: a model fitted anew without each group of features; what loses no more than `least`
+    can be dropped."""
+    def score(used: list[int]) -> DataFrame:
+        return miou_of(df, truth, kind(used).fit(df, features, truth).predict(F.col(features)))
+
+    out, base = None, score(places).withColumnRenamed("miou", "base_miou")
+    for name, own in groups.items():
+        one = score([p for p in places if p not in own]).withColumn("group", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return base.join(out).select("group", "base_miou", "miou", (F.col("base_miou") - F.col("miou")).alias("importance"), (F.col("base_miou") - F.col("miou") <= least).alias("drop"))
+
+
+class Fitted:
+    """A model of any kind: fit(df) once, then predict(df) adds a column prediction."""
+
+    def __init__(self, kind: str, features: str, label: str, **options: object):
+        if kind not in KINDS:
+            raise ValueError(f"unknown kind of model {kind!r}; known: {sorted(KINDS)}")
+        self.kind, self.features, self.label, self.options, self.model = kind, features, label, options, None
+
+    def fit(self, df: DataFrame) -> Fitted:
+        self.model = KINDS[self.kind][0](df, self.features, self.label, **self.options)
+        return self
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        if self.model is None:
+            raise ValueError("the model isn't fitted")
+        return KINDS[self.kind][1](self.model, df, self.features)
+
+
+def _by_forest(model, df: DataFrame, features: str) -> DataFrame:
+    from pyspark.ml.functions import array_to_vector
+
+    out = model.transform(df.withColumn("_x", array_to_vector(F.col(features).cast("array<double>"))))
+    return out.drop("_x", "rawPrediction", "probability").withColumn("prediction", F.col("prediction").cast("int"))
+
+
+def _fit_thresholds(df: DataFrame, features: str, label: str, classes: list[int], n_features: int, **how: object) -> list[tuple[list, int]]:
+    return [(search_thresholds(df, features, label, classes, n_features, **how)[0], classes[0])]
+
+
+#: Kinds of models: how each is fitted and predicts. Networks need a library that isn't here; their probabilities are taken as a column.
+KINDS: dict[str, tuple[Callable, Callable]] = {
+    "threshold": (_fit_thresholds, lambda m, df, f: df.withColumn("prediction", threshold_class(F.col(f), *m[0]))),
+    "centroids": (lambda df, f, y, places: Centroids(places).fit(df, f, y), lambda m, df, f: df.withColumn("prediction", m.predict(F.col(f)))),
+    "random_forest": (lambda df, f, y, **how: random_forest(df, f, y, **how)[0], _by_forest),
+    "boosted": (lambda df, f, y, **how: boosted_trees(df, f, y, **how)[0], _by_forest),
+    "precomputed": (lambda df, f, y, priority=(), threshold=0.0: (list(priority), threshold), lambda m, df, f: df.withColumn("prediction", decide(F.col(f), *m))),
+}
+
+
+def train(df: DataFrame, kind: str, features: str, label: str, split: str, **options: object) -> tuple[Fitted, DataFrame]:
+    """A model fitted on the rows of split train, and a report: split, n, accuracy, miou_macro of every split."""
+    model = Fitted(kind, features, label, **options).fit(df.where(F.col(split) == "train"))
+    rows = model.predict(df.where(F.col(label).isNotNull()))
+    hits = confusion(rows, label, "prediction", [split])
+    sides = hits.select(split, F.inline(F.array(F.struct(F.col("truth").alias("c"), "n", (F.col("truth") == F.col("pred")).alias("hit"), F.lit(True).alias("own")), F.struct(F.col("pred").alias("c"), "n", (F.col("truth") == F.col("pred")).alias("hit"), F.lit(False).alias("own")))))
+    one = sides.groupBy(split, "c").agg(F.sum(F.when(F.col("hit") & F.col("own"), F.col("n")).otherwise(0)).alias("tp"), F.sum(F.when(~F.col("hit") | F.col("own"), F.col("n")).otherwise(0)).alias("any"), F.sum(F.when(F.col("own"), F.col("n")).otherwise(0)).alias("support"))
+    return model, one.groupBy(split).agg(F.sum("support").alias("n"), (F.sum("tp") / F.sum("support")).alias("accuracy"), F.avg(F.col("tp") / F.col("any")).alias("miou_macro"))
+
+
+def run_trials(df: DataFrame, features: str, label: str, fold: str, k: int, trials: list[tuple[str, dict]]) -> DataFrame:
+    """trial, kind, fold, n, miou: every trial (kind, options) fitted k times, each time scored on the fold that it didn't see."""
+    out = None
+    for t, (kind, options) in enumerate(trials):
+        for j in range(k):
+            model = Fitted(kind, features, label, **options).fit(df.where(F.col(fold) != j))
+            held = model.predict(df.where((F.col(fold) == j) & F.col(label).isNotNull()))
+            one = class_metrics(confusion(held, label, "prediction")).agg(F.sum("support").alias("n"), F.avg("iou").alias("miou")).select(F.lit(t).alias("trial"), F.lit(kind).alias("kind"), F.lit(j).alias("fold"), "n", "miou")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+def ensemble(members: list[Column], weights: list[float] | None = None) -> Column:
+    """Mean of the members' probability arrays, by weight."""
+    own = weights or [1.0] * len(members)
+    out = F.transform(members[0], lambda p: p * own[0])
+    for m, w in zip(members[1:], own[1:], strict=True):
+        out = F.zip_with(out, m, lambda a, b, w=w: a + b * w)
+    return F.transform(out, lambda p: p / sum(own))

@@ -214,3 +214,28 @@ def anneal(counts: list[tuple[str, int, int]], parts: dict[str, str], ratios: di
             if energy < best:
                 best, kept = energy, own.copy()
     return {t: names[k] for t, k in zip(tiles, kept)}
+
+
+def drawn(scenes: DataFrame, weight: str, key: list[str], n: int, seed: int = 0) -> DataFrame:
+    """draw, key: n scenes drawn with replacement by weight. Draw k goes to the scene in whose part of the summed weights the k-th
+    number falls; numbers come from digests of seed and k. Scenes are few, a row for each."""
+    order = W.orderBy(*key)
+    whole = W.partitionBy()
+    to = F.sum(weight).over(order.rowsBetween(W.unboundedPreceding, 0)) / F.sum(weight).over(whole)
+    parts = scenes.where(F.col(weight) > 0).withColumn("_to", to).withColumn("_from", F.coalesce(F.lag("_to").over(order), F.lit(0.0)))
+    picks = scenes.sparkSession.range(n).select(F.col("id").alias("draw"), (F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string"))), 1, 8), 16, 10).cast("double") / float(1 << 32)).alias("_u"))
+    cells = 64
+    wide = parts.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("_from") * cells), F.least(F.floor(F.col("_to") * cells), F.lit(cells - 1)))))
+    return picks.withColumn("_cell", F.floor(F.col("_u") * cells)).join(wide, "_cell").where("_u >= _from and _u < _to").select("draw", *key)
+
+
+def bootstrap(rows: DataFrame, key: list[str], rounds: int, seed: int = 0) -> DataFrame:
+    """rows with round and times: how often a row is in each of so many samples with replacement, as independent Poisson(1) counts
+    from digests; rows that a round leaves out are absent."""
+    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("round").cast("string"), *[F.col(k).cast("string") for k in key])), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    out = rows.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))).withColumn("_u", u)
+    total, term, times = 0.0, 0.36787944117144233, F.lit(0)
+    for k in range(1, 9):
+        total, term = total + term, term / k
+        times = F.when(F.col("_u") >= total, k).otherwise(times)
+    return out.withColumn("times", times).where("times > 0").drop("_u")

@@ -127,3 +127,31 @@ def resample_bilinear(cells: DataFrame, grid: DataFrame, by: list[str], value: s
 
 def bounding_registry(spark: SparkSession, boxes: list[tuple]) -> DataFrame:
     return spark.createDataFrame(boxes, "aoi_id string, minx double, miny double, maxx double, maxy double")
+
+
+def union_bounds(boxes: DataFrame, by: list[str]) -> DataFrame:
+    """by, minx, miny, maxx, maxy: the box around all boxes of each group."""
+    return boxes.groupBy(*by).agg(F.min("minx").alias("minx"), F.min("miny").alias("miny"), F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy"))
+
+
+def clip_boxes(boxes: DataFrame, minx: float, miny: float, maxx: float, maxy: float, required: bool = True) -> DataFrame:
+    """boxes cut to one box; those outside go. With required it is an error if none is left."""
+    cut = boxes.withColumns({"minx": F.greatest("minx", F.lit(minx)), "miny": F.greatest("miny", F.lit(miny)), "maxx": F.least("maxx", F.lit(maxx)), "maxy": F.least("maxy", F.lit(maxy))}).where("minx < maxx and miny < maxy")
+    if required and cut.isEmpty():
+        raise ValueError("the pilot box meets no area")
+    return cut
+
+
+def plan_moves(current: DataFrame, target: DataFrame) -> DataFrame:
+    """tile_id, from_split, to_split of tiles whose split changes; tiles without a target stay."""
+    own = current.select("tile_id", F.col("split_name").alias("from_split")).join(target.select("tile_id", F.col("split_name").alias("to_split")), "tile_id")
+    return own.where("from_split <> to_split")
+
+
+def resolve_splits(asked: str, n: int) -> list[int]:
+    """Split numbers from `all` or one number; out of range or no number is an error."""
+    if asked == "all":
+        return list(range(n))
+    if not asked.lstrip("-").isdigit() or not 0 <= int(asked) < n:
+        raise ValueError(f"a split is all or a number from 0 to {n - 1}, not {asked!r}")
+    return [int(asked)]

@@ -92,7 +92,7 @@ CLIM = MONTHLY + """, c0 AS (SELECT px, month(month) AS moy, v, median(v) OVER (
 cl AS (SELECT px, moy, any_value(centre) AS centre, greatest(coalesce(median(abs(v - centre)) * 1.4826, 0), 0.02) AS scale, count(v) AS n FROM c0 GROUP BY ALL HAVING count(v) >= 5)"""
 
 
-@query("px l, moy l, centre d, scale d, n l", f"WITH {CLIM} SELECT * FROM cl")
+@query("px l, moy l, centre f, scale f, n l", f"WITH {CLIM} SELECT * FROM cl")
 def climatology_mad(spark, sf):
     return series.climatology(monthly_nir(spark, sf), "v", MONTHS)
 

@@ -115,3 +115,50 @@ def recoveries(spark: SparkSession, root: str, forest: int = 0, masked: list[int
     curves = recovery.curves(yearly, own, "gs_mean", PIXEL)
     steps = recovery.succession(seq, list(PIXEL.keys), "class_id", forest)
     return write_product(curves.join(steps, list(PIXEL.keys), "left"), root, "recovery")
+
+
+def dem_products(base: DataFrame, other: DataFrame | None, root: str, res: float, by: tuple[str, ...] = ("tile_id",)) -> str:
+    """Elevation with gaps filled from a second source, slope and aspect of every tile, stored. base, other: by, row, col, elevation."""
+    from ..operators import grid
+
+    whole = grid.fill_gaps(base, other, list(by), "elevation") if other is not None else base
+    return write_product(grid.slope_aspect(whole, list(by), res), root, "dem")
+
+
+def process_scenes(spark: SparkSession, root: str, raw: DataFrame, headers: DataFrame, grids: DataFrame, sun: DataFrame | None = None, bands: tuple[str, ...] = ("blue", "green", "red", "nir", "swir1", "swir2")) -> DataFrame:
+    """tile_id, sensor, scene_id, status: every raw scene brought to the common bandpass, corrected for terrain and stored.
+
+    Scenes already stored are skipped and scenes whose grid isn't their tile's are errors, each with the reason; the others are ok. sun has the
+    sun's elevation and azimuth of each scene; with it, terrain comes from the stored dem. All scenes go through one plan.
+    """
+    from ..functions import radiometry
+    from ..operators import catalog
+    from ..sources.products import append_scenes
+
+    key = catalog.SCENE
+    checked = catalog.grid_check(headers, grids)
+    good = checked.where("problem is null").select(*key)
+    try:
+        known = read_product(spark, root, "observation", key).distinct()
+        known.limit(1).count()
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        known = headers.select(*key).limit(0)
+    own = radiometry.harmonize(raw.join(good, key, "left_semi").join(known, key, "left_anti"))
+    if sun is not None:
+        dem = read_product(spark, root, "dem").select("tile_id", "row", "col", "slope", "aspect")
+        lit = own.join(dem, ["tile_id", "row", "col"], "left").join(sun, key)
+        own = radiometry.scs_c(lit, key, list(bands)).drop("slope", "aspect", "sun_elevation", "sun_azimuth", "illumination", "scs_c", "scs_ratio")
+    before = known.withColumn("_known", F.lit(True))
+    status = F.when(F.col("_known"), "skip (already stored)").when(F.col("problem").isNotNull(), F.concat(F.lit("error (grid: "), "problem", F.lit(")"))).otherwise("ok")
+    out = checked.join(before, key, "left").select(*key, status.alias("status"))
+    rows = out.sparkSession.createDataFrame(out.collect(), out.schema)  # a row for each scene, taken before the scenes are stored
+    append_scenes(own.select(*read_columns()), root)
+    return rows
+
+
+def read_columns() -> list[str]:
+    from ..schema import SCHEMAS
+
+    return [c.strip().split(" ")[0] for c in SCHEMAS["observation"].split(",")]

@@ -33,7 +33,7 @@ def _tc(n: int) -> str:
     return "CASE sensor " + " ".join(f"WHEN '{k}' THEN " + " + ".join(f"({w[n][i]}) * {b}" for i, b in enumerate(indices.BANDS)) for k, w in indices.TASSELED_CAP.items()) + " END"
 
 
-@query(KEY + ", TC_BRIGHTNESS d, TC_GREENNESS d, TC_WETNESS d", f"WITH {OBS} SELECT ok, ln, {_tc(0)} AS TC_BRIGHTNESS, {_tc(1)} AS TC_GREENNESS, {_tc(2)} AS TC_WETNESS FROM obs")
+@query(KEY + ", TC_BRIGHTNESS f, TC_GREENNESS f, TC_WETNESS f", f"WITH {OBS} SELECT ok, ln, {_tc(0)} AS TC_BRIGHTNESS, {_tc(1)} AS TC_GREENNESS, {_tc(2)} AS TC_WETNESS FROM obs")
 def tasseled_cap(spark, sf):
     return indices.with_indices(sales(spark, sf), list(indices.TC_NAMES))
 

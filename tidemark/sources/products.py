@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import SCHEMAS
@@ -130,3 +132,56 @@ def palette(dim: DataFrame, name: str = "classes") -> DataFrame:
 def register_views(spark: SparkSession, root: str, products: list[str]) -> None:
     for p in products:
         read_product(spark, root, p).createOrReplaceTempView(p)
+
+
+def shared_root(spark: SparkSession) -> str:
+    """A new folder for products in the one that driver and executors share, spark.checkpoint.dir; a session in one process that sets
+    none has it beside its warehouse."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.checkpoint"
+    return f"{found.rstrip('/')}/tidemark-products/{uuid.uuid4().hex}"
+
+
+def stored(spark: SparkSession, root: str) -> DataFrame:
+    """product, partitions: the products under a root that have rows on storage, and how many folders their first partition column has."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    rows = []
+    for entry in fs.listStatus(path) if fs.exists(path) else []:
+        if entry.isDirectory():
+            inside = [x.getPath().getName() for x in fs.listStatus(entry.getPath())]
+            if any(x.endswith(".parquet") or "=" in x for x in inside):
+                rows.append((entry.getPath().getName(), sum("=" in x for x in inside)))
+    return spark.createDataFrame(sorted(rows), "product string, partitions int")
+
+
+def described(spark: SparkSession, root: str, product: str) -> DataFrame:
+    """column, type, n, n_missing of a stored product, in one pass."""
+    df = read_product(spark, root, product)
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(c)).alias(f"n_{i}") for i, c in enumerate(df.columns)])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("type"), F.col("_n").alias("n"), (F.col("_n") - F.col(f"n_{i}")).alias("n_missing")) for i, (c, t) in enumerate(df.dtypes)])))
+
+
+def labelled_rows(features: DataFrame, labels: DataFrame, key: list[str]) -> DataFrame:
+    """Annotated cells with their features: what a training table holds. Cells without label or with a missing feature are left out."""
+    own = features.join(labels.where(F.col("label").isNotNull()).select(*key, "label"), key)
+    return own.where(F.forall("features", lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))))
+
+
+def preview(df: DataFrame, order: list, n: int) -> DataFrame:
+    """The first n rows by an order."""
+    return df.orderBy(*order).limit(n)
+
+
+def pixel_major(classes: DataFrame, keys: list[str], time: str, value: str, months: list, missing: int | None = None) -> DataFrame:
+    """keys, values: each series as one array over the given months, `missing` where it has none."""
+    own = classes.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col(time).cast("string"), F.col(value)))).alias("_m"))
+    return own.select(*keys, F.transform(F.array(*[F.lit(str(m)) for m in months]), lambda m: F.coalesce(F.try_element_at("_m", m), F.lit(missing))).alias("values"))
+
+
+def rounded_doy(x: Column) -> Column:
+    """A day of the year as a short, 0 where missing."""
+    return F.coalesce(F.bround(F.nanvl(x.cast("double"), F.lit(None))).cast("short"), F.lit(0).cast("short"))

@@ -8,6 +8,7 @@ import os
 import re
 from collections import deque
 from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import pandas as pd
 import pyarrow as pa
@@ -19,8 +20,10 @@ from .common import released, slices
 
 #: Stands after a word's last character, where the vocabulary writes the word-end suffix.
 END = "\n"
-#: Words whose encoding is kept in each of two generations; when one is full, the older goes. Some 40 MB for each generation.
-CACHE = 120_000
+#: Words whose encoding is kept in each of two generations; when one is full, the older goes. Some 70 MB for each generation.
+CACHE = 200_000
+#: Of them, and of pieces and tested pairs, what an idle worker keeps from one task to the next: the first that it met, some 30 MB.
+IDLE = 50_000
 #: Characters of a text that are normalised at once.
 PIECE = 1 << 20
 #: The normaliser and splitter for which the short way below holds. Of any other file, every text goes whole to the library's.
@@ -118,10 +121,16 @@ class WordBpe:
             raise ValueError(f"tokenizer files with these settings aren't supported: {model.get('type')}, {', '.join(odd)}")
 
     def forget(self) -> None:
-        """Drops what was kept of the texts so far."""
+        """Drops most of what was kept of the texts so far; what is met first is what is common."""
+        words = dict(islice(chain(self.known.older.items(), self.known.items()), IDLE))
         self.known.clear()
         self.known.older = {}
-        self.pieces.clear()
+        self.known.update(words)
+        self.pieces = dict(islice(self.pieces.items(), IDLE))
+        if self.tested > 4 * IDLE:
+            self._forget_pairs()
+
+    def _forget_pairs(self) -> None:
         self.tested = 0
         for some in self.pairs:
             some.clear()
@@ -182,10 +191,8 @@ class WordBpe:
         if found is None:
             found = self.pairs[right][left] = self._apart(left, right)
             self.tested += 1
-            if self.tested > 8 * CACHE:
-                self.tested = 0
-                for some in self.pairs:
-                    some.clear()
+            if self.tested > 4 * CACHE:
+                self._forget_pairs()
         return found
 
     def _apart(self, left: int, right: int) -> bool:

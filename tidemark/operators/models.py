@@ -280,5 +280,9 @@ def ensemble(members: list[Column], weights: list[float] | None = None) -> Colum
     own = weights or [1.0] * len(members)
     out = F.transform(members[0], lambda p: p * own[0])
     for m, w in zip(members[1:], own[1:], strict=True):
-        out = F.zip_with(out, m, lambda a, b, w=w: a + b * w)
+        out = F.zip_with(out, F.transform(m, _times(w)), lambda a, b: a + b)
     return F.transform(out, lambda p: p / sum(own))
+
+
+def _times(w: float) -> Callable[[Column], Column]:
+    return lambda p: p * w

@@ -36,4 +36,4 @@ def query(columns: str, sql: str | None = None) -> Callable[[Query], Query]:
     return one
 
 
-from . import change_queries, grid_queries, model_queries, product_queries, series_queries, value_queries  # noqa: E402, F401
+from . import change_queries, grid_queries, model_queries, product_queries, series_queries, tool_queries, value_queries  # noqa: E402, F401

@@ -93,10 +93,7 @@ def binned_medians(obs: DataFrame, values: list[str], tile: list[str], s: Series
     plan = bin_plan(obs, tile, s, days)
     binned = obs.join(plan, [*tile, s.source, s.time])
     by = [*s.keys, s.source, "bin", "bin_date"]
-    per_class = binned.groupBy(*by, s.label).agg(F.count(F.lit(1)).alias("_n"))
-    mode = per_class.where(F.col(s.label).isNotNull()).groupBy(*by).agg(F.min_by(s.label, F.struct(-F.col("_n"), F.col(s.label))).alias(s.label))
-    medians = binned.groupBy(*by).agg(*[F.median(v).alias(v) for v in values], F.count(F.lit(1)).alias("n_obs"))
-    return medians.join(mode, by, "left")
+    return binned.groupBy(*by).agg(*[F.median(v).alias(v) for v in values], F.count(F.lit(1)).alias("n_obs"), F.mode(s.label, deterministic=True).alias(s.label))
 
 
 def reference_scene(scenes: DataFrame, by: list[str], s: Series, order: list[str], resolution: str | None = None) -> DataFrame:

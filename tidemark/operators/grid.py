@@ -36,14 +36,30 @@ def slope_aspect(dem: DataFrame, by: list[str], res: float, row: str = "row", co
 def box_sums(cells: DataFrame, by: list[str], row: str, col: str, values: list[str], reach: int) -> DataFrame:
     """cells with <value>_box: sums over the (2 reach + 1)^2 cells around, missing cells as 0, at the cells that exist.
 
-    By columns of the table only where cells exist in the row; for a full grid two windows would do. Here every cell is
-    spread along its row first, then summed down the column by a range window.
+    A tile at a time, which is of bounded size: its cells become an array, and running sums along rows, then along columns,
+    give all boxes at once; no cell is sent to those around it.
     """
-    wide = F.sequence(F.col(col) - reach, F.col(col) + reach)
-    spread = cells.select(*by, row, F.explode(wide).alias(col), *values).groupBy(*by, row, col).agg(*[F.sum(v).alias(v) for v in values])
-    down = W.partitionBy(*by, col).orderBy(row).rangeBetween(-reach, reach)
-    boxes = spread.select(*by, row, col, *[F.sum(v).over(down).alias(f"{v}_box") for v in values])
-    return cells.join(boxes, [*by, row, col])
+    schema = ", ".join(f"`{n}` {t}" for n, t in cells.dtypes) + "".join(f", `{v}_box` double" for v in values)
+
+    def swept(a: np.ndarray, axis: int) -> np.ndarray:
+        pad = [(0, 0), (0, 0)]
+        pad[axis] = (reach + 1, reach)
+        total = np.cumsum(np.pad(a, pad), axis=axis)
+        n = a.shape[axis]
+        return np.take(total, range(2 * reach + 1, 2 * reach + 1 + n), axis=axis) - np.take(total, range(n), axis=axis)
+
+    def one(part: pd.DataFrame) -> pd.DataFrame:
+        if not len(part):
+            return part.assign(**{f"{v}_box": np.zeros(0) for v in values})
+        r, c = (part[n].to_numpy() - part[n].min() for n in (row, col))
+        out = {}
+        for v in values:
+            land = np.zeros((int(r.max()) + 1, int(c.max()) + 1))
+            np.add.at(land, (r, c), part[v].to_numpy(float))
+            out[f"{v}_box"] = swept(swept(land, 0), 1)[r, c]
+        return part.assign(**out)
+
+    return cells.groupBy(*by).applyInPandas(one, schema)
 
 
 def local_mean(cells: DataFrame, by: list[str], row: str, col: str, value: str, reach: int = 5) -> DataFrame:
@@ -53,52 +69,40 @@ def local_mean(cells: DataFrame, by: list[str], row: str, col: str, value: str,
 
 
 def label_components(r: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Number of the 8-connected component of each cell, by its smallest cell in reading order."""
+    """Number of the 8-connected component of each cell, by its smallest cell in reading order.
+
+    Cells side by side are runs; runs of neighbouring rows that touch are linked, and every run takes the least of what it is linked to until
+    nothing changes, following links of links at each turn.
+    """
     order = np.lexsort((c, r))
-    place = {(int(a), int(b)): n for n, (a, b) in enumerate(zip(r[order], c[order]))}
-    up = np.arange(len(order))
-
-    def root(n: int) -> int:
-        while up[n] != n:
-            up[n] = up[up[n]]
-            n = up[n]
-        return n
-
-    for (a, b), n in place.items():
-        for da, db in ((-1, -1), (-1, 0), (-1, 1), (0, -1)):
-            m = place.get((a + da, b + db))
-            if m is not None:
-                x, y = root(n), root(m)
-                up[max(x, y)] = min(x, y)
+    r, c = r[order].astype(np.int64), c[order].astype(np.int64)
+    wide = int(c.max() - c.min()) + 3
+    place = (r - r.min()) * wide + c - c.min() + 1
+    first = np.flatnonzero(np.diff(place, prepend=-2) > 1)  # repeated cells belong to one run
+    last = np.r_[first[1:], len(place)] - 1
+    run = np.repeat(np.arange(len(first)), last - first + 1)
+    # Runs of the next row from one column before to one after: theirs end at or after the first and begin at or before the last.
+    low = np.searchsorted(place[last], place[first] + wide - 1)
+    high = np.searchsorted(place[first], place[last] + wide + 1, side="right")
+    n = np.maximum(high - low, 0)
+    a = np.repeat(np.arange(len(first)), n)
+    b = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    up = np.arange(len(first))
+    while True:
+        least = np.minimum(up[a], up[b])
+        new = up.copy()
+        np.minimum.at(new, up[a], least)
+        np.minimum.at(new, up[b], least)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, up):
+            break
+        up = new
     out = np.empty(len(order), np.int64)
-    out[order] = [root(n) for n in range(len(order))]
+    out[order] = first[up[run]]
     return out
 
 
-def _opened(mask: np.ndarray, k: int) -> np.ndarray:
-    """Opening by a k x k square: what remains of a mask when squares that fit nowhere are gone; outside counts as empty."""
-    lo, hi = (k - 1) // 2, k // 2
-
-    def swept(m: np.ndarray, f, a: int, b: int) -> np.ndarray:
-        for axis in (0, 1):
-            pad = [(0, 0), (0, 0)]
-            pad[axis] = (a, b)
-            wide = np.pad(m, pad)
-            n = m.shape[axis]
-            m = f.reduce([np.take(wide, range(i, i + n), axis=axis) for i in range(k)])
-        return m
-
-    return swept(swept(mask, np.logical_and, lo, hi), np.logical_or, hi, lo)
-
-
-def _dilated(mask: np.ndarray, times: int) -> np.ndarray:
-    for _ in range(times):
-        wide = np.pad(mask, 1)
-        h, w = mask.shape
-        mask = np.logical_or.reduce([wide[i : i + h, j : j + w] for i in range(3) for j in range(3)])
-    return mask
-
-
 def components(cells: DataFrame, by: list[str], row: str = "row", col: str = "col") -> DataFrame:
     """cells with component and component_px, 8-connected within each group (a tile and year, of bounded size)."""
     schema = ", ".join(f"`{n}` {t}" for n, t in cells.dtypes)
@@ -113,14 +117,20 @@ def components(cells: DataFrame, by: list[str], row: str = "row", col: str = "co
 
 
 def opening(cells: DataFrame, by: list[str], k: int, row: str = "row", col: str = "col") -> DataFrame:
-    """cells with wide: whether the cell stays when the set of cells is opened by a k x k square. Exact by counting: a square fits
-    where its sum is k * k; a cell stays if some fitting square covers it. Only joins and sums on cell numbers."""
-    one = cells.select(*by, row, col).distinct().withColumn("_n", F.lit(1))
-    steps = F.array(*[F.struct(F.lit(-i).alias("_r"), F.lit(-j).alias("_c")) for i in range(k) for j in range(k)])
-    fits = one.select(*by, row, col, F.inline(steps)).select(*by, (F.col(row) + F.col("_r")).alias("_r0"), (F.col(col) + F.col("_c")).alias("_c0")).groupBy(*by, "_r0", "_c0").count().where(F.col("count") == k * k)
-    grow = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j")) for i in range(k) for j in range(k)])
-    kept = fits.select(*by, "_r0", "_c0", F.inline(grow)).select(*by, (F.col("_r0") + F.col("_i")).alias(row), (F.col("_c0") + F.col("_j")).alias(col)).distinct().withColumn("wide", F.lit(True))
-    return cells.join(kept, [*by, row, col], "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
+    """cells with wide: whether the cell stays when the set of cells is opened by a k x k square.
+
+    A square fits where k cells in a row follow one another, k rows deep; a cell stays if a fitting square covers it. Both are
+    windows along rows, then along columns: every cell is one row throughout.
+    """
+    along, down = W.partitionBy(*by, row).orderBy(col), W.partitionBy(*by, col).orderBy(row)
+    one = cells.select(*by, row, col).distinct()
+    one = one.withColumn("_long", F.coalesce(F.lead(col, k - 1).over(along) == F.col(col) + (k - 1), F.lit(False)))
+    # Down a column, the last of k places counts the rows that are long; they follow one another if their row numbers do.
+    square = (F.sum(F.col("_long").cast("int")).over(down.rowsBetween(0, k - 1)) == k) & (F.lead(row, k - 1).over(down) == F.col(row) + (k - 1))
+    one = one.withColumn("_fits", F.coalesce(square, F.lit(False)))
+    one = one.withColumn("_some", F.max("_fits").over(along.rangeBetween(-(k - 1), 0)))
+    kept = one.withColumn("wide", F.max("_some").over(down.rangeBetween(-(k - 1), 0))).select(*by, row, col, "wide")
+    return cells.join(kept, [*by, row, col], "left")
 
 
 def cast_shadow(dem: DataFrame, by: list[str], res: float, sun_elevation: float, sun_azimuth: float, reach: float = 2500.0, row: str = "row", col: str = "col", z: str = "elevation") -> DataFrame:

@@ -93,11 +93,11 @@ class _Fit:
     def residual(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return y - x[..., self.columns] @ self.coef
 
-    def statistic(self, x: np.ndarray, y: np.ndarray) -> float:
-        """Squared residuals by the error of prediction, which grows with the leverage."""
-        own = x[self.columns]
+    def statistics(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Of each row, squared residuals by the error of prediction, which grows with the leverage."""
+        own = x[:, self.columns]
         z = (y - own @ self.coef) / self.rmse
-        return float(z @ z) / (1.0 + float(own @ self.inverse @ own))
+        return (z * z).sum(axis=1) / (1.0 + ((own @ self.inverse) * own).sum(axis=1))
 
 
 @dataclass
@@ -178,16 +178,12 @@ class Detector:
 
     def exceeding(self, model: _Fit, at: int) -> list[int] | None:
         """The run of exceedances from at on, if it's long enough in number and time."""
-        run = [at]
-        for q in range(at + 1, len(self.t)):
-            if len(run) >= self.p.conse and self.t[run[-1]] - self.t[at] >= self.p.break_span:
-                break
-            if self.dead[q]:
-                continue
-            if model.statistic(self.x[q], self.y[q]) <= self.chi:
-                break
-            run.append(q)
-        return run if len(run) >= self.p.conse and self.t[run[-1]] - self.t[at] >= self.p.break_span else None
+        live = at + np.flatnonzero(~self.dead[at:])
+        enough = np.flatnonzero((np.arange(len(live)) >= self.p.conse - 1) & (self.t[live] - self.t[at] >= self.p.break_span))
+        if not len(enough):
+            return None
+        run = live[: enough[0] + 1]
+        return run.tolist() if (model.statistics(self.x[run[1:]], self.y[run[1:]]) > self.chi).all() else None
 
     def believed(self, model: _Fit, rows: np.ndarray, run: list[int]) -> tuple[bool, bool, np.ndarray]:
         """(whether the run is a break, whether its persistence was seen, its median residual)."""
@@ -211,24 +207,33 @@ class Detector:
         while start < len(self.t) and n < self.p.most_segments and (found := self.window(start)):
             first, model = found
             rows, broke, seen, shift = list(first), None, False, None
-            waiting, q = 0, int(first[-1]) + 1
-            while q < len(self.t):
-                if not self.dead[q]:
-                    if model.statistic(self.x[q], self.y[q]) > self.chi:
-                        run = self.exceeding(model, q)
-                        if run is None:
-                            self.dead[q] = True
-                            q += 1
-                            continue
+            waiting, at = 0, 0
+            # Only rows ahead are looked at, and those that die lie behind: what is alive ahead stays as it is.
+            live = int(first[-1]) + 1 + np.flatnonzero(~self.dead[int(first[-1]) + 1 :])
+            while at < len(live):
+                # All observations up to the next fit meet the same model, so they are scored at once.
+                due = live[at : at + max(1, min(self.p.refit - waiting, 1 if len(rows) < 30 else self.p.refit))]
+                over = np.flatnonzero(model.statistics(self.x[due], self.y[due]) > self.chi)
+                if len(over):
+                    due = due[: over[0]]
+                rows += due.tolist()
+                waiting += len(due)
+                at += len(due)
+                if len(over):
+                    q = int(live[at])
+                    at += 1
+                    run = self.exceeding(model, q)
+                    if run is None:
+                        self.dead[q] = True
+                    else:
                         real, seen, shift = self.believed(model, np.array(rows), run)
                         if real:
                             broke = run
                             break
-                    rows.append(q)
-                    waiting += 1
-                    if waiting >= self.p.refit or len(rows) < 30:
-                        model, waiting = self.fit(np.array(rows)) or model, 0
-                q += 1
+                        rows.append(q)
+                        waiting += 1
+                if waiting and (waiting >= self.p.refit or len(rows) < 30):
+                    model, waiting = self.fit(np.array(rows)) or model, 0
             if waiting:
                 model = self.fit(np.array(rows)) or model
             yield self.record(n, np.array(rows), model, broke, seen, shift)

@@ -5,6 +5,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -268,7 +269,7 @@ P = segmentation.Params(features=("NBR", "NDVI"), season=None)
     ],
 )
 def test_segmentation(name, values, breaks):
-    found = segmentation.detect(observations(values), P, "d", "cls", "sensor")
+    found = [r for _, r in segmentation.detect(observations(values), P, [], "d", "cls", "sensor")]
     if breaks is None:
         assert found == []
     else:
@@ -278,7 +279,7 @@ def test_segmentation(name, values, breaks):
 
 def test_segmentation_learns_the_offset_of_a_sensor():
     values = [0.6 + (0.12 if i % 2 else 0.0) for i in range(200)]
-    assert all(r["t_break"] is None for r in segmentation.detect(observations(values, sensors=("l8", "s2")), P, "d", "cls", "sensor"))
+    assert all(r["t_break"] is None for _, r in segmentation.detect(observations(values, sensors=("l8", "s2")), P, [], "d", "cls", "sensor"))
 
 
 def test_segmentation_is_the_same_however_series_are_dealt(spark):
@@ -286,7 +287,7 @@ def test_segmentation_is_the_same_however_series_are_dealt(spark):
     df = spark.createDataFrame(pd.concat(frames).sample(frac=1, random_state=1))
     s = Series(keys=("px",), time="d", label="cls")
     out = segmentation.segment(df, s, P)
-    want = [(k, r["seg_index"], r["n_obs"]) for k, f in enumerate(frames) for r in segmentation.detect(f, P, "d", "cls", "sensor")]
+    want = [(k, r["seg_index"], r["n_obs"]) for k, f in enumerate(frames) for _, r in segmentation.detect(f, P, [], "d", "cls", "sensor")]
     assert sorted((r["px"], r["seg_index"], r["n_obs"]) for r in out.collect()) == want
     b = segmentation.breaks_of(out, s).collect()
     assert len(b) == 5 and all(r["drop"] > 0.3 and r["rise"] <= 0 for r in b)
@@ -396,3 +397,47 @@ def test_folds_spread_rare_classes_and_scenes(spark):
         assert set(fold) == set(size) and {fold[t] for t in rare} == {0, 1, 2, 3}
         loads = [sum(n for t, n in size.items() if fold[t] == k) for k in range(4)]
         assert max(loads) <= 11 and min(loads) >= 4
+
+
+def test_components_against_flooding():
+    """Random sets of cells, with repeats, rows apart and single columns, against a plain flood."""
+    from tidemark.operators.grid import label_components
+
+    rng = np.random.default_rng(4)
+    for n, side in ((1, 1), (5, 3), (60, 12), (300, 25), (200, 15)):
+        r, c = rng.integers(0, side, n), rng.integers(-3, side, n) if n != 5 else np.zeros(n, int)
+        lab = label_components(r, c)
+        cells = {(a, b) for a, b in zip(r.tolist(), c.tolist())}
+        of, patches = {}, 0
+        for start in sorted(cells):
+            if start in of:
+                continue
+            todo, patches = [start], patches + 1
+            while todo:
+                a, b = todo.pop()
+                if (a, b) in of or (a, b) not in cells:
+                    continue
+                of[a, b] = patches
+                todo += [(a + i, b + j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+        assert len({(of[a, b], x) for a, b, x in zip(r.tolist(), c.tolist(), lab.tolist())}) == patches == len(set(lab.tolist()))
+
+
+def test_opening_and_boxes_against_arrays(spark):
+    from tidemark.operators import grid
+
+    rng = np.random.default_rng(6)
+    for k in (1, 2, 3, 4):
+        mask = rng.random((17, 14)) < 0.75
+        cells = spark.createDataFrame([(0, int(a), int(b)) for a, b in np.argwhere(mask)], "t int, row int, col int")
+        want = np.zeros_like(mask)
+        for a in range(17 - k + 1):
+            for b in range(14 - k + 1):
+                if mask[a : a + k, b : b + k].all():
+                    want[a : a + k, b : b + k] = True
+        got = {(r["row"], r["col"]): r["wide"] for r in grid.opening(cells, ["t"], k).collect()}
+        assert got == {(int(a), int(b)): bool(want[a, b]) for a, b in np.argwhere(mask)}, k
+    values = spark.createDataFrame([(0, int(a) - 5, int(b) + 2, float(a * b)) for a, b in np.argwhere(mask)], "t int, row int, col int, v double")
+    for r in grid.local_mean(values, ["t"], "row", "col", "v", 2).collect():
+        a, b = r["row"] + 5, r["col"] - 2
+        near = [i * j for i, j in np.argwhere(mask) if abs(i - a) <= 2 and abs(j - b) <= 2]
+        assert r["local_mean"] == pytest.approx(np.mean(near))

@@ -6,6 +6,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,7 @@ MORE_HARMONICS = (18, 24)
 GROUP_ROWS = 200_000
 
 
+@lru_cache
 def chi2_quantile(p: float, dof: int) -> float:
     """Quantile of the chi-square distribution, by its finite sums and bisection."""
 
@@ -133,7 +135,7 @@ class Detector:
         columns = columns[columns < self.x.shape[1]]
         if n < size + 1:
             return None
-        x, y = self.x[np.ix_(rows, columns)], self.y[rows]
+        x, y = self.x[rows][:, columns], self.y[rows]
         a = x.T @ x + RIDGE * np.diag(np.r_[0.0, np.ones(len(columns) - 1)])
         try:
             np.linalg.cholesky(a)
@@ -263,20 +265,28 @@ FEAT = "array<struct<name: string, magnitude: double, level: double, slope: doub
 RECORD = f"seg_index int, t_start date, t_end date, t_break date, n_obs int, seg_class int, seg_class_frac double, break_class int, break_class_frac double, persist_flag boolean, feat {FEAT}"
 
 
-def detect(part: pd.DataFrame, p: Params, time: str, label: str, source: str) -> list[dict]:
-    """Segments of one series; observations with a missing feature don't count."""
-    part = part[part[list(p.features)].notna().all(axis=1)].sort_values([time, source], kind="stable")
+def detect(part: pd.DataFrame, p: Params, keys: list[str], time: str, label: str, source: str) -> Iterator[tuple[tuple, dict]]:
+    """(key, segment) of all series of a table; observations with a missing feature don't count. Columns become arrays once, in the
+    order of series, time and sensor; a series is a slice of them."""
+    part = part[part[list(p.features)].notna().all(axis=1)].sort_values([*keys, time, source], kind="stable")
     days = pd.to_datetime(part[time])
-    doy = days.dt.dayofyear.to_numpy()
-    harmonics = p.harmonics
-    if p.season:
-        inside = (doy >= p.season[0]) & (doy <= p.season[1])
-        if not inside.all():
-            part, days, doy, harmonics = part[inside], days[inside], doy[inside], 1
-    if len(part) < p.init_obs:
-        return []
-    t = (days - pd.Timestamp("1970-01-01")).dt.days.to_numpy().astype(float)
-    return list(Detector(p, t, part[list(p.features)].to_numpy(float), part[label].fillna(-1).to_numpy(int), part[source].astype(str).to_numpy(), doy.astype(float), harmonics).segments())
+    t, doy = (days - pd.Timestamp("1970-01-01")).dt.days.to_numpy().astype(float), days.dt.dayofyear.to_numpy()
+    y, cls, sensor = part[list(p.features)].to_numpy(float), part[label].fillna(-1).to_numpy(int), part[source].astype(str).to_numpy()
+    names = [part[k].to_numpy() for k in keys]
+    new = np.zeros(len(part), bool)
+    for own in names:
+        new[1:] |= own[1:] != own[:-1]
+    edges = [0, *np.flatnonzero(new).tolist(), len(part)]
+    for a, b in zip(edges, edges[1:]):
+        at, harmonics = np.arange(a, b), p.harmonics
+        if p.season:
+            inside = (doy[a:b] >= p.season[0]) & (doy[a:b] <= p.season[1])
+            if not inside.all():
+                at, harmonics = at[inside], 1
+        if len(at) >= p.init_obs:
+            key = tuple(own[a] for own in names)
+            for found in Detector(p, t[at], y[at], cls[at], sensor[at], doy[at].astype(float), harmonics).segments():
+                yield key, found
 
 
 def segment(obs: DataFrame, s: Series, p: Params | None = None) -> DataFrame:
@@ -295,14 +305,15 @@ def segment(obs: DataFrame, s: Series, p: Params | None = None) -> DataFrame:
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for key, series in part.groupby(list(s.keys), sort=True):
-            for r in detect(series, p, s.time, s.label, s.source):
-                r |= {k: day(r[k]) for k in ("t_start", "t_end", "t_break")}
-                rows.append([*(key if isinstance(key, tuple) else (key,)), *[r[n] for n in names]])
+        for key, r in detect(part, p, list(s.keys), s.time, s.label, s.source):
+            r |= {k: day(r[k]) for k in ("t_start", "t_end", "t_break")}
+            rows.append([*key, *[r[n] for n in names]])
         out = pd.DataFrame(rows, columns=[*s.keys, *names])
         return out.astype({"seg_class": "Int64", "break_class": "Int64"}) if len(out) else out
 
-    return own.withColumn("_g", F.pmod(F.xxhash64(*s.keys), F.lit(groups))).groupBy("_g").applyInPandas(lambda part: one(part), f"{keys}, {RECORD}")
+    # The number of partitions is given, or small tables would be coalesced to one task for all series.
+    dealt = own.withColumn("_g", F.pmod(F.xxhash64(*s.keys), F.lit(groups))).repartition(groups, "_g")
+    return dealt.groupBy("_g").applyInPandas(lambda part: one(part), f"{keys}, {RECORD}")
 
 
 def breaks_of(segments: DataFrame, s: Series, features: tuple[str, ...] = ("NBR", "NDVI")) -> DataFrame:

@@ -84,8 +84,8 @@ def schedule(targets: DataFrame, slots: int, block: int) -> DataFrame:
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS) -> DataFrame:
     """One row per input row: id, size, source, source_size, target, taken.
 
-    size counts the text's words; null has none. Each source's texts are shuffled by a digest of their ids, laid end to
-    end and cut into blocks of equal token counts, of which the last may be short. The schedule's slots take a source's
+    size counts the text's words; null has none. Each source's texts are shuffled by a digest of their ids, of the text where
+    the id is null, so that rows without id spread like others, laid end to end and cut into blocks of equal token counts, of which the last may be short. The schedule's slots take a source's
     blocks in turn, at most most_epochs times around. taken is what the slots take of a text, repeats counted: at most
     most_epochs times its size. Every source's sum is within a few blocks of its target. Repeated rows each return with words
     of their own. Null is a source of its own, the last. Empty tables give an empty table.
@@ -94,12 +94,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     a source that holds a third of all rows is spread like any other. The driver sees two numbers: rows and words.
     """
     spark = docs.sparkSession
-    sized = docs.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("source"), n_words(text_col).alias("size"))
+    sized = docs.select(F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("source"), n_words(text_col).alias("size"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit(""))).alias("_order"))
     rows, total = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     block = max(LEAST_BLOCK, min(MOST_BLOCK, total // BLOCKS))
     buckets = max(1, rows // BUCKET)
-    order = F.md5(F.coalesce(F.col("_id").cast("string"), F.lit("")))
-    drawn = sized.withColumn("_order", order).withColumn("_bucket", F.pmod(F.conv(F.substring("_order", 1, 8), 16, 10).cast("long"), F.lit(buckets)))
+    drawn = sized.withColumn("_bucket", F.pmod(F.conv(F.substring("_order", 1, 8), 16, 10).cast("long"), F.lit(buckets)))
     sums = drawn.groupBy("source", "_bucket").agg(F.sum("size").alias("_n"))
     offsets = sums.withColumn("_before", F.sum("_n").over(W.partitionBy("source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n"))
     goals = source_targets(sums.groupBy("source").agg(F.sum("_n").alias("source_size")), weights, most_epochs)
@@ -143,7 +142,7 @@ def repeat_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 ORACLE = rf"""
 WITH w AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, text, '')) AS ord FROM documents
 ), tot AS (
   SELECT sum(size)::BIGINT AS total, count(*) AS n, greatest({LEAST_BLOCK}, least({MOST_BLOCK}, sum(size)::BIGINT // {BLOCKS})) AS b,
     greatest(1, count(*) // {BUCKET}) AS buckets FROM w
@@ -159,8 +158,7 @@ WITH w AS (
 ), p AS (SELECT i AS slot, (((i % {POINTS}) * {GOLD}) % {POINTS}) AS point FROM tot, range(0, (total + b - 1) // b) r(i)
 ), r AS (SELECT e.source, ceil(e.source_size / b)::BIGINT AS blocks, row_number() OVER (PARTITION BY e.source ORDER BY slot) - 1 AS rank FROM p JOIN e ON point >= since AND point < upto, tot
 ), u AS (SELECT source, rank % blocks AS blk, count(*) AS uses FROM r WHERE rank < blocks * {MOST_EPOCHS} GROUP BY ALL
-), o AS (SELECT *, md5(coalesce(doc_id::VARCHAR, '')) AS ord FROM w
-), l AS (SELECT o.*, sum(size) OVER (PARTITION BY source ORDER BY ('0x' || substr(ord, 1, 8))::BIGINT % buckets, ord, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS since FROM o, tot
+), l AS (SELECT o.*, sum(size) OVER (PARTITION BY source ORDER BY ('0x' || substr(ord, 1, 8))::BIGINT % buckets, ord, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS since FROM w AS o, tot
 ), x AS (SELECT l.doc_id, any_value(l.size) AS size, any_value(l.source) AS source, sum(greatest(0, least(l.since + size, (blk + 1) * b) - greatest(l.since, blk * b)) * uses) AS taken
   FROM l, tot, u WHERE l.source IS NOT DISTINCT FROM u.source AND blk BETWEEN l.since // b AND (l.since + greatest(size, 1) - 1) // b GROUP BY l.doc_id)
 SELECT w.doc_id, w.size, w.source, t.source_size, t.target, coalesce(x.taken, 0)::BIGINT AS taken

@@ -892,6 +892,57 @@ def test_whole_documents_stay_near_the_targets(spark):
         assert abs(got[source] - target) <= 0.05 * target, source
 
 
+def slow_language(text, model):
+    """The prediction by plain loops: n-grams of letters with one space around each run of others, hashed, weighed, summed."""
+    chars, seen = " ", False
+    for c in (text or "").lower():
+        if c.isalpha():
+            chars, seen = chars + c, True
+        elif chars[-1] != " ":
+            chars += " "
+    if not seen:
+        return "und", 0.0
+    chars += "" if chars[-1] == " " else " "
+    low = (1 << 32) - 1
+    one = [ord(c) * 0x9E3779B1 & low for c in chars]
+    two = [(a * 31 + b + 7) & low for a, b in zip(one, one[1:])]
+    three = [(a * 31 + b + 13) & low for a, b in zip(two, one[2:])]
+    counts = Counter((x * 0x85EBCA6B & low) >> 19 for x in one + two + three)
+    x = {f: math.log1p(n) * float(model.idf[f]) for f, n in counts.items()}
+    size = math.sqrt(sum(v * v for v in x.values()))
+    logits = [sum(v / size * float(model.weights[f, k]) for f, v in x.items()) / model.temperature for k in range(len(model.langs))]
+    p = [math.exp(v - max(logits)) for v in logits]
+    return model.langs[p.index(max(p))], max(p) / sum(p)
+
+
+def test_langid_against_plain_loops(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit(docs)
+    texts = [r[0] for r in docs.select("text").limit(60).collect()] + ["", None, "12 34", "Ünï  cödé, 9 x", "a", "ß" * 50 + " Σ"]
+    for text in texts:
+        want, score = slow_language(text, model)
+        got = model.predict(text)
+        assert got[0] == want and got[1] == pytest.approx(score, rel=1e-3), (text or "")[:40]
+
+
+def test_toxicity_against_plain_loops(spark):
+    """Scores by the definition: bias, weights, and products of the factors of every pair of a text's distinct terms."""
+    rows, labels = toxic_rows(400)
+    model = toxicity.fit(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    place = {int(t): n for n, t in enumerate(model.terms)}
+
+    def term(word):
+        return int(next(word_hashes([word], toxicity.NON_LETTERS))[1][0] >> np.uint64(44))
+
+    for _, text, _, _ in rows[:60] + [(0, "", "en", "a"), (0, "Dolt dolt MARTIANS, x9dolt!", "en", "a"), (0, "zzz", "en", "a")]:
+        words = re.findall(r"[a-z\u0080-\U0010ffff]+", text.lower())
+        terms = {term(x) for w in words for x in [w.encode(), *(w.encode()[:n] for n in toxicity.PREFIXES if len(w.encode()) > n)]}
+        own = sorted(place[t] for t in terms if t in place)
+        total = model.bias + sum(model.weights[i] for i in own) + sum(model.factors[i] @ model.factors[j] for n, i in enumerate(own) for j in own[n + 1 :])
+        assert model.scores([text])[0] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, total)))), rel=1e-9)
+    assert len(place) > 5
+
+
 def test_every_language_is_learned(spark, monkeypatch):
     """Of more languages than whole samples, each has its part."""
     monkeypatch.setattr(langid, "SAMPLE_ALL", 60)

@@ -20,10 +20,10 @@ from .common import released, slices
 
 #: Stands after a word's last character, where the vocabulary writes the word-end suffix.
 END = "\n"
-#: Words whose encoding is kept in each of two generations; when one is full, the older goes. Some 70 MB for each generation.
-CACHE = 200_000
-#: Of them, and of pieces and tested pairs, what an idle worker keeps from one task to the next: the first that it met, some 30 MB.
-IDLE = 50_000
+#: Words whose encoding is kept in each of two generations; when one is full, the older goes. Some 100 MB for each generation.
+CACHE = 300_000
+#: Of them, and of pieces and tested pairs, what an idle worker keeps from one task to the next: the first that it met, some 40 MB.
+IDLE = 100_000
 #: Characters of a text that are normalised at once.
 PIECE = 1 << 20
 #: The normaliser and splitter for which the short way below holds. Of any other file, every text goes whole to the library's.

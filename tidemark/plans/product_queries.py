@@ -275,3 +275,38 @@ def scene_processing_status(spark, sf):
 def scene_processing(spark, sf):
     """What was stored before stays as it was; scenes that came through are on the common bandpass; scenes off the grid are absent."""
     return products.read_product(spark, _processed(spark, sf)[0], "observation").groupBy("scene_id").agg(F.count(F.lit(1)).alias("n"), F.sum("nir").alias("nir"))
+
+
+@query(
+    "px l, t_break s, n_obs l",
+    f"""WITH {MONTHLY}, o AS (SELECT px, month AS d, pow((v - 0.5) / 0.1, 2) > 2.0 AS over FROM mon), g AS (SELECT *, sum((NOT over)::INT) OVER (PARTITION BY px ORDER BY d) AS run FROM o),
+    r AS (SELECT px, run, d, row_number() OVER w AS n, min(d) OVER w AS first FROM g WHERE over WINDOW w AS (PARTITION BY px, run ORDER BY d))
+    SELECT px, first AS t_break, n AS n_obs FROM r WHERE n >= 3 AND d - first >= 45 QUALIFY row_number() OVER (PARTITION BY px, run ORDER BY d) = 1""",
+)
+def stream_alerts(spark, sf):
+    """Months arrive as a stream and meet a constant model: runs of exceedances are told once, when they are long enough."""
+    from ..keys import Series
+    from ..streaming import monitor
+
+    root = products.shared_root(spark)
+    months = monthly_nir(spark, sf).select("px", F.col("month").alias("d"), "v")
+    months.coalesce(1).write.parquet(f"{root}/months")
+    models = months.select("px").distinct().select("px", F.to_date(F.lit("1990-01-01")).alias("t_start"), F.lit(0.5).alias("level"), *[F.lit(0.0).alias(c) for c in ("slope", "amplitude", "peak_doy")], F.lit(0.1).alias("rmse"))
+    stream = spark.readStream.schema("px long, d date, v double").parquet(f"{root}/months")
+    found = monitor.alerts(stream, models, Series(keys=("px",), time="d"), "v", threshold=2.0, conse=3)
+    found.writeStream.foreachBatch(lambda batch, _: batch.write.mode("append").parquet(f"{root}/alerts")).outputMode("append").option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("px long, t_break date, n_obs int").parquet(f"{root}/alerts")
+
+
+@query("sensor s, scenes l, n_obs l, red d", f"WITH {OBS} SELECT sensor, count(DISTINCT scene_id) AS scenes, count(*) AS n_obs, sum(red) AS red FROM obs GROUP BY sensor")
+def stream_ingest(spark, sf):
+    """Scenes arrive in two deliveries of which the second repeats the first: each is stored once."""
+    from ..streaming import ingest
+
+    root = products.shared_root(spark)
+    obs = _observations(spark, sf)
+    for part in (obs.where(F.pmod(F.xxhash64("scene_id"), F.lit(3)) == 0), obs):
+        part.write.mode("append").parquet(f"{root}/inbox")
+        ingest.ingest(ingest.observations(spark, f"{root}/inbox"), f"{root}/store", f"{root}/progress").awaitTermination()
+    back = products.read_product(spark, f"{root}/store", "observation")
+    return back.groupBy("sensor").agg(F.countDistinct("scene_id").alias("scenes"), F.count(F.lit(1)).alias("n_obs"), F.sum("red").alias("red"))

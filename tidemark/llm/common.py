@@ -54,9 +54,11 @@ def cleaned(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def released() -> None:
-    """Gives the memory that a Python worker has freed back to the system: workers are reused, and idle ones still count."""
-    gc.collect()
+def released(cycles: bool = True) -> None:
+    """Gives the memory that a Python worker has freed back to the system: workers are reused, and idle ones still count.
+    cycles: also look for objects that hold each other, which takes some 30 ms."""
+    if cycles:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

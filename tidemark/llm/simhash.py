@@ -21,9 +21,9 @@ SEED = 42
 BITS = 64
 RADIUS = 4
 #: Variants of fingerprints that one bucket is meant to hold; the number of buckets follows from it and the input.
-BUCKET_VARIANTS = 1 << 21
-#: Variants that a bucket holds in memory at once, some 60 MB with their order; a fuller one is worked through in passes over slices of the keys.
-PASS_VARIANTS = 1 << 21
+BUCKET_VARIANTS = 1 << 20
+#: Variants that a bucket holds in memory at once, some 30 MB with their order; a fuller one is worked through in passes over slices of the keys.
+PASS_VARIANTS = 1 << 20
 MOST_GROUPS = 24
 BLOCK = 1 << 16
 
@@ -188,7 +188,7 @@ def near_links(classes: DataFrame, n: int) -> DataFrame:
 
     def link(part: pd.DataFrame) -> pd.DataFrame:
         a, b = bucket_links(part["fp"].to_numpy().view(np.uint64), part["rep"].to_numpy(), part["far"].to_numpy(), flips_of(groups))
-        released()
+        released(cycles=False)
         return pd.DataFrame({"a": a, "b": b})
 
     dealt = classes.select("fp", "rep").mapInPandas(deal, "bucket long, far long, fp long, rep long")

@@ -50,21 +50,20 @@ def write_product(df: DataFrame, root: str, product: str, mode: str = "overwrite
 
 
 def append_scenes(df: DataFrame, root: str, product: str = "observation", key: tuple[str, ...] = ("tile_id", "sensor", "scene_id")) -> int:
-    """Append the scenes that aren't stored yet; returns how many. Storing a scene again changes nothing."""
+    """Append the scenes that aren't stored yet; returns how many. Storing a scene again changes nothing.
+
+    Scenes are told by their keys alone, which are read first; the rows are read once, to be written.
+    """
     spark = df.sparkSession
+    new = df.select(*key).distinct()
     try:
-        stored = read_product(spark, root, product, list(key)).distinct()
-        df = df.join(stored, list(key), "left_anti")
+        new = new.join(read_product(spark, root, product, list(key)).distinct(), list(key), "left_anti")
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-    df = df.cache()
-    try:
-        n = df.select(*key).distinct().count()
-        if n:
-            write_product(df, root, product, "append")
-    finally:
-        df.unpersist()
+    n = new.count()
+    if n:
+        write_product(df.join(new, list(key), "left_semi").select(*df.columns), root, product, "append")
     return n
 
 

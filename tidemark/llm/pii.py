@@ -46,7 +46,7 @@ def loose(names: list[str]) -> str:
         r"|[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}"
         rf"|{KEY_FORMS}"
         r"|[A-Za-z0-9_-]{32,}+"
-        rf"|(?<=[=:\x20\"'])(?<={ASSIGNED})[A-Za-z0-9_!@#$%^&*+/=~-]{{6,}}+"
+        rf"|(?<=[=:]\x20?[\"']?)(?<={ASSIGNED})[A-Za-z0-9_!@#$%^&*+/=~-]{{6,}}+"
         rf"|(?=[A-Z\u00c0-\u00de])(?:{TITLES}{_CAPITAL}(?:\x20{_CAPITAL})?|(?<={GREETED}){_CAPITAL}(?:\x20{_CAPITAL})?|(?:{'|'.join(names)})\x20{_CAPITAL})"
         r")(?![0-9A-Za-z])"
     )

@@ -34,7 +34,7 @@ HIDDEN = 24
 SAMPLE, SPAN = 1000, 8192
 EPOCHS, LANES, WINDOW, RATE = 2, 64, 24, 0.01
 #: When all texts are learned from: texts side by side, the rate, and tokens through which the state is carried at most.
-SHARD_LANES, SHARD_RATE, STRETCH = 512, 0.005, 2048
+SHARD_LANES, SHARD_RATE, STRETCH = 256, 0.003, 2048
 #: Commonest words that count as context, directions of a context's sum, words whose sums are sent on together.
 MARKS, DIMS, SUMS = 2000, 48, 128
 #: Sums of weights are added up in so many groups of partitions.
@@ -280,34 +280,6 @@ class RecurrentModel:
         edges = np.flatnonzero(np.diff(cluster, prepend=-1, append=CLUSTERS)).tolist()
         return own, (codes[own] & np.int16(CODE - 1)).astype(np.int64) - 1, [(int(cluster[a]), a, b) for a, b in zip(edges, edges[1:])]
 
-    def _gates(self, x: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """What the inputs give to each gate at every place, negated for the two that go through a sigmoid, and the gates' matrices; each in
-        memory of its own, as slices of one array cost several times as much to work on."""
-        signs = (np.float32(-1), np.float32(-1), np.float32(1))
-        cut = [slice(n * HIDDEN, (n + 1) * HIDDEN) for n in range(3)]
-        at = x.astype(np.intp)
-        given = [np.take(self.wx[:, own] * sign, at, axis=0) for own, sign in zip(cut, signs, strict=True)]
-        return given, np.stack([self.wh[:, own] * -1 for own in cut[:2]]), np.ascontiguousarray(self.wh[:, cut[2]])
-
-    @staticmethod
-    def _step(before: np.ndarray, gates: tuple[list[np.ndarray], np.ndarray, np.ndarray], t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Update and reset gate, candidate, what the state gives to the candidate, and the new state."""
-        (gz, gr, gc), wh_zr, wh_c = gates
-        zr = np.matmul(before, wh_zr)
-        zr[0] += gz[t]
-        zr[1] += gr[t]
-        np.exp(zr, out=zr)
-        zr += 1
-        np.reciprocal(zr, out=zr)
-        ghc = before @ wh_c
-        c = zr[1] * ghc
-        c += gc[t]
-        np.tanh(c, out=c)
-        h = before - c
-        h *= zr[0]
-        h += c
-        return zr, c, ghc, h
-
     def _train(self, texts: list[np.ndarray], lanes: int, rates: list[float], moments: list) -> None:
         """Backpropagation through WINDOW steps, with the state carried from window to window; Adam, a pass for each rate.
         texts: codes of their tokens."""
@@ -324,12 +296,22 @@ class RecurrentModel:
                 flat = codes.ravel()
                 real = np.flatnonzero(flat >= 0)
                 size = len(real)
-                kept, gates = [], self._gates(x)
+                kept, gxs = [], np.take(self.wx, x, axis=0)
                 carry = (x != CLASSES).astype(f)[:, :, None]
                 for t in range(len(x)):
                     before = h * carry[t]
-                    zr, c, ghc, h = self._step(before, gates, t)
-                    kept.append((before, zr[0], zr[1], c, ghc, h))
+                    gx, gh = gxs[t], before @ self.wh
+                    zr = gx[:, : 2 * hid] + gh[:, : 2 * hid]
+                    np.negative(zr, out=zr)
+                    np.exp(zr, out=zr)
+                    zr += 1
+                    np.reciprocal(zr, out=zr)
+                    z, r = zr[:, :hid], zr[:, hid:]
+                    c = r * gh[:, 2 * hid :]
+                    c += gx[:, 2 * hid :]
+                    np.tanh(c, out=c)
+                    h = c + z * (before - c)
+                    kept.append((before, z, r, c, gh[:, 2 * hid :], h))
                 hs = np.ones((len(flat), hid + 1), f)
                 np.concatenate([k[5] for k in kept], out=hs[:, :hid])
                 d = hs @ self.wo
@@ -397,11 +379,20 @@ class RecurrentModel:
             lanes = x.shape[1]
             h = h[:lanes]
             hs = np.ones((len(x), lanes, hid + 1), f)
-            fresh, gates = x == CLASSES, self._gates(x)
+            fresh = x == CLASSES
             for t in range(len(x)):
                 if fresh[t].any():
                     h = h * ~fresh[t][:, None]
-                h = self._step(h, gates, t)[3]
+                g, gh = self.wx[x[t]], h @ self.wh
+                zr = g[:, : 2 * hid] + gh[:, : 2 * hid]
+                np.negative(zr, out=zr)
+                np.exp(zr, out=zr)
+                zr += 1
+                np.reciprocal(zr, out=zr)
+                c = gh[:, 2 * hid :] * zr[:, hid:]
+                c += g[:, 2 * hid :]
+                np.tanh(c, out=c)
+                h = c + zr[:, :hid] * (h - c)
                 hs[t, :, :hid] = h
             hs = hs.reshape(-1, hid + 1)
             flat = codes.ravel()

@@ -203,11 +203,11 @@ class RecurrentModel:
     def no_contexts(self) -> np.ndarray:
         return np.zeros((len(self.counts), DIMS), np.int64)
 
-    def add_contexts(self, owner: np.ndarray, rank: np.ndarray, sums: np.ndarray, rows: int = 1 << 15) -> None:
+    def add_contexts(self, owner: np.ndarray, rank: np.ndarray, sums: np.ndarray, rows: int = 8191) -> None:
         """Adds to sums, by rank of the word, the random directions of the common words up to two places before and after
         each word in the same text. Directions are of -1 and 1, so sums are whole and the same in any order."""
-        # One more than the directions, as bytes that are added eight at a time: four of at most 2 don't overflow.
-        ways = np.random.default_rng(17).choice(np.array([0, 2], np.uint8), (4, MARKS + 1, DIMS))
+        # One more than the directions, in 16 bits each, which are added four at a time: four of at most 2, of so many rows, don't overflow.
+        ways = np.random.default_rng(17).choice(np.array([0, 2], np.uint8), (4, MARKS + 1, DIMS)).astype(np.uint16)
         ways[:, MARKS] = 1
         ways = ways.view(np.uint64)
         near = np.where((rank >= 0) & (rank < MARKS), rank, MARKS)
@@ -228,7 +228,8 @@ class RecurrentModel:
             for way, other in zip(ways[1:], beside[1:], strict=True):
                 x += np.take(way, other[own], axis=0)
             edges = np.flatnonzero(np.diff(rank[own], prepend=-1))
-            sums[rank[own[edges]]] += np.add.reduceat(x.view(np.uint8).astype(np.float32) - 4, edges, axis=0).astype(sums.dtype)
+            total = np.add.reduceat(x, edges, axis=0).view(np.uint16).astype(sums.dtype)
+            sums[rank[own[edges]]] += total - 4 * np.diff(edges, append=len(own))[:, None].astype(sums.dtype)
 
     def place(self, sums: np.ndarray, rounds: int = 8) -> None:
         """Words that stand beside the same common words share a class: k-means over the sums of add_contexts."""

@@ -1,5 +1,6 @@
 """Every query against its SQL, or against what is known of its result where SQL can't say it."""
 
+import math
 import os
 from collections import Counter
 
@@ -160,3 +161,24 @@ def test_resampling_takes_every_row(spark):
 def test_correlation_has_all_pairs(spark, con):
     got, want = both(con, catalogue.QUERIES["feature_correlation"](spark, SF), catalogue.ORACLES["feature_correlation"])
     assert got == want and max(r[1] for r in got) == 63
+
+
+def test_bootstrap_counts_end_where_the_sql_ends(spark, tmp_path):
+    """Keys that a round draws eight times or more: the query counts them as its SQL does, the operator in full."""
+    import hashlib
+    import shutil
+
+    from tidemark.operators import split
+
+    u = lambda r, k: int(hashlib.md5(f"1|{r}|{k}".encode()).hexdigest()[:8], 16) / 2**32
+    often = [k for k in range(60_000) if max(u(r, k) for r in range(4)) >= 0.99999]
+    assert often
+    shutil.copytree(SF, tmp_path, dirs_exist_ok=True)
+    os.remove(tmp_path / "supplier.parquet")
+    own = spark.createDataFrame([(k,) for k in [*often, 1, 2, 3]], "s_suppkey long")
+    own.write.parquet(str(tmp_path / "supplier.parquet"))
+    got, want = both(connect(str(tmp_path)), catalogue.QUERIES["bootstrap_samples"](spark, str(tmp_path)), catalogue.ORACLES["bootstrap_samples"])
+    assert got == want
+    below = lambda x: next(k for k in range(20) if x < sum(np.exp(-1) / math.factorial(i) for i in range(k + 1)))
+    full = {(r["round"], r["s_suppkey"]): r["times"] for r in split.bootstrap(own, ["s_suppkey"], 4, 1).collect()}
+    assert max(full.values()) >= 8 and full == {(r, k): below(u(r, k)) for r in range(4) for k in [*often, 1, 2, 3] if below(u(r, k))}

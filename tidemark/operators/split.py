@@ -236,13 +236,13 @@ def drawn(scenes: DataFrame, weight: str, key: list[str], n: int, seed: int = 0)
     return picks.withColumn("_cell", F.floor(F.col("_u") * cells)).join(wide, "_cell").where("_u >= _from and _u < _to").select("draw", *key)
 
 
-def bootstrap(rows: DataFrame, key: list[str], rounds: int, seed: int = 0) -> DataFrame:
+def bootstrap(rows: DataFrame, key: list[str], rounds: int, seed: int = 0, most: int = 12) -> DataFrame:
     """rows with round and times: how often a row is in each of so many samples with replacement, as independent Poisson(1) counts
-    from digests; rows that a round leaves out are absent."""
+    from digests; rows that a round leaves out are absent. Counts above `most` are given as `most`; none of the digests' 32 bits is above 12."""
     u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("round").cast("string"), *[F.col(k).cast("string") for k in key])), 1, 8), 16, 10).cast("double") / float(1 << 32)
     out = rows.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))).withColumn("_u", u)
     total, term, times = 0.0, 0.36787944117144233, F.lit(0)
-    for k in range(1, 9):
+    for k in range(1, most + 1):
         total, term = total + term, term / k
         times = F.when(F.col("_u") >= total, k).otherwise(times)
     return out.withColumn("times", times).where("times > 0").drop("_u")

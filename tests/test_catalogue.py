@@ -182,3 +182,19 @@ def test_bootstrap_counts_end_where_the_sql_ends(spark, tmp_path):
     below = lambda x: next(k for k in range(20) if x < sum(np.exp(-1) / math.factorial(i) for i in range(k + 1)))
     full = {(r["round"], r["s_suppkey"]): r["times"] for r in split.bootstrap(own, ["s_suppkey"], 4, 1).collect()}
     assert max(full.values()) >= 8 and full == {(r, k): below(u(r, k)) for r in range(4) for k in [*often, 1, 2, 3] if below(u(r, k))}
+
+
+def test_pixel_arrays_of_numbers_beyond_a_short(spark, tmp_path):
+    """Days are held whole whatever their size; what is no number is 0."""
+    import shutil
+
+    from tidemark.sources import products
+
+    shutil.copytree(SF, tmp_path, dirs_exist_ok=True)
+    os.remove(tmp_path / "lineitem.parquet")
+    l = spark.read.parquet(f"{SF}/lineitem.parquet")
+    l.withColumn("l_suppkey", F.col("l_suppkey") * 3_000_000_001 + 32_770).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got, want = both(connect(str(tmp_path)), catalogue.QUERIES["pixel_arrays"](spark, str(tmp_path)), catalogue.ORACLES["pixel_arrays"])
+    assert got == want and max(r[3] for r in got) > 2**31
+    odd = spark.createDataFrame([(1, 2.5), (2, 3.5), (3, float("nan")), (4, float("inf")), (5, None), (6, -1.2)], "id int, x double")
+    assert {r[0]: r[1] for r in odd.select("id", products.rounded_doy(F.col("x"))).collect()} == {1: 2, 2: 4, 3: 0, 4: 0, 5: 0, 6: -1}

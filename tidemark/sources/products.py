@@ -182,5 +182,5 @@ def pixel_major(classes: DataFrame, keys: list[str], time: str, value: str, mont
 
 
 def rounded_doy(x: Column) -> Column:
-    """A day of the year as a short, 0 where missing."""
-    return F.coalesce(F.bround(F.nanvl(x.cast("double"), F.lit(None))).cast("short"), F.lit(0).cast("short"))
+    """A day of the year, or of a longer count, as a long; 0 where missing or not finite."""
+    return F.coalesce(F.bround(x.cast("double")).try_cast("long"), F.lit(0).cast("long"))

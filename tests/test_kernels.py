@@ -441,3 +441,29 @@ def test_opening_and_boxes_against_arrays(spark):
         a, b = r["row"] + 5, r["col"] - 2
         near = [i * j for i, j in np.argwhere(mask) if abs(i - a) <= 2 and abs(j - b) <= 2]
         assert r["local_mean"] == pytest.approx(np.mean(near))
+
+
+def grid_with_gaps(spark, path, n=260):
+    """Cells of a grid with gaps, some without class and some twice, stored: the planner knows that they are few."""
+    rng = np.random.default_rng(8)
+    rows = [(int(t), int(a), int(b), None if rng.random() < 0.1 else int(c), None if rng.random() < 0.1 else int(p)) for t, a, b, c, p in zip(rng.integers(0, 2, n), rng.integers(-2, 12, n), rng.integers(0, 12, n), rng.integers(0, 3, n), rng.integers(0, 3, n))]
+    spark.createDataFrame(rows, "t int, row int, col int, truth int, pred int").write.parquet(path)
+    return rows, spark.read.parquet(path)
+
+
+def sends_whole(df):
+    return "BroadcastExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_boundaries_against_loops_and_never_sent_whole(spark, tmp_path):
+    from tidemark.operators import quality
+
+    rows, df = grid_with_gaps(spark, str(tmp_path / "cells"))
+    known = [r for r in rows if r[3] is not None]
+    close = lambda r, q, k: r[0] == q[0] and abs(r[1] - q[1]) <= k and abs(r[2] - q[2]) <= k
+    edges = {r[:3] for r in known if any(close(r, q, 1) and q[3] != r[3] for q in known)}
+    for width in (1, 2, 3):
+        out = quality.boundary(df, ["t"], "row", "col", "truth", width)
+        assert not sends_whole(out)
+        want = Counter((*r, any(close(r, q, width - 1) for q in edges)) for r in rows)
+        assert Counter(tuple(r) for r in out.select("t", "row", "col", "truth", "pred", "on_boundary").collect()) == want, width

@@ -467,3 +467,16 @@ def test_boundaries_against_loops_and_never_sent_whole(spark, tmp_path):
         assert not sends_whole(out)
         want = Counter((*r, any(close(r, q, width - 1) for q in edges)) for r in rows)
         assert Counter(tuple(r) for r in out.select("t", "row", "col", "truth", "pred", "on_boundary").collect()) == want, width
+
+
+def test_tolerant_hits_against_loops_and_never_sent_whole(spark, tmp_path):
+    from tidemark.operators import quality
+
+    rows, df = grid_with_gaps(spark, str(tmp_path / "cells"))
+    known = [r for r in rows if r[3] is not None]
+    for reach in (1, 2):
+        out = quality.tolerant_hits(df, ["t"], "row", "col", "truth", "pred", reach)
+        assert not sends_whole(out)
+        near = lambda r: {q[3] for q in known if q[0] == r[0] and abs(r[1] - q[1]) <= reach and abs(r[2] - q[2]) <= reach}  # noqa: E731, B023
+        want = Counter((r[3], r[3] if r[4] in near(r) else r[4]) for r in set(known))
+        assert {(r["truth"], r["pred"]): r["n"] for r in out.collect()} == want, reach

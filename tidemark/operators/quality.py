@@ -89,10 +89,14 @@ def boundary(labels: DataFrame, by: list[str], row: str, col: str, label: str, w
 
 
 def tolerant_hits(df: DataFrame, by: list[str], row: str, col: str, truth: str, pred: str, reach: int = 1) -> DataFrame:
-    """truth, pred, n where a prediction counts as right if its class is the truth of some cell within `reach`."""
-    near = neighbours(df.where(F.col(truth).isNotNull()), by, row, col, reach, truth)
-    own = df.where(F.col(truth).isNotNull()).join(near, [*by, row, col]).groupBy(*by, row, col, truth, pred).agg(F.max((F.col("_nv") == F.col(pred)).cast("int")).alias("_ok"))
-    return own.groupBy(F.col(truth).alias("truth"), F.when(F.col("_ok") == 1, F.col(truth)).otherwise(F.col(pred)).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
+    """truth, pred, n where a prediction counts as right if its class is the truth of some cell within `reach`.
+
+    Each class near a place goes there once and meets the predictions of it, by merging for the reason given in boundary().
+    """
+    own = df.where(F.col(truth).isNotNull()).select(*by, row, col, truth, pred)
+    near = neighbours(own, by, row, col, reach, truth).distinct().withColumnRenamed("_nv", pred).withColumn("_ok", F.lit(True))
+    cells = own.join(near.hint("merge"), [*by, row, col, pred], "left").groupBy(*by, row, col, truth, pred).agg(F.max("_ok").alias("_ok"))
+    return cells.groupBy(F.col(truth).alias("truth"), F.when(F.col("_ok"), F.col(truth)).otherwise(F.col(pred)).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def feature_moments(df: DataFrame, features: str) -> DataFrame:

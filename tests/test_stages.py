@@ -92,3 +92,14 @@ def test_mask_labels(spark):
     mask = spark.createDataFrame([(34, 94, 42, 255), (34, 94, 42, 0), (1, 2, 3, 255)], "r int, g int, b int, a int")
     out = {(r["r"], r["a"]): r["label"] for r in mask_labels(mask, class_dim(spark)).collect()}
     assert out == {(34, 255): 0, (34, 0): None, (1, 255): None}
+
+
+def test_change_map_sends_no_series_whole(spark, tmp_path, monkeypatch):
+    """Of all joins only that with the tiles' months, a row a month, may be by broadcast, however small the stored series are."""
+    months = [(f"t{i % 2}", i, 0, dt.date(2000 + m // 12, m % 12 + 1, 1), (i + m // 7) % 3) for i in range(6) for m in range(30)]
+    write_product(spark.createDataFrame(months, SCHEMAS["monthly_class"]), str(tmp_path), "monthly_class")
+    write_product(spark.createDataFrame([], SCHEMAS["segment"]), str(tmp_path), "segment")
+    monkeypatch.setattr(stages, "write_product", lambda df, root, product: df)
+    out = stages.change_map(spark, str(tmp_path), follow=2)
+    assert out._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") <= 1
+    assert out.count() == sum((i + m // 7) % 3 != (i + (m + 12) // 7) % 3 for i in range(6) for m in range(18))

@@ -1,4 +1,7 @@
-"""Changes of class between months, their confirmation, and breaks."""
+"""Changes of class between months, their confirmation, and breaks.
+
+Changes meet months, breaks and one another by merging: stored series are packed so small that the planner would send them whole.
+"""
 
 from __future__ import annotations
 
@@ -19,7 +22,7 @@ def month_changes(classes: DataFrame, s: Series, step: int = 12, eligible: list
         own = own.where(F.col(s.label).isin(*eligible))
     a = own.select(*s.keys, F.col(s.time).alias("from_month"), F.add_months(F.col(s.time), step).alias("to_month"), F.col(s.label).alias("from_class"))
     b = own.select(*s.keys, F.col(s.time).alias("to_month"), F.col(s.label).alias("to_class"))
-    return a.join(b, s.by("to_month")).select(*s.keys, "from_month", "to_month", "from_class", "to_class", (F.col("from_class") != F.col("to_class")).alias("changed"))
+    return a.join(b.hint("merge"), s.by("to_month")).select(*s.keys, "from_month", "to_month", "from_class", "to_class", (F.col("from_class") != F.col("to_class")).alias("changed"))
 
 
 def confirmed_changes(changes: DataFrame, classes: DataFrame, tile: list[str], s: Series, follow: int = 1) -> DataFrame:
@@ -31,16 +34,16 @@ def confirmed_changes(changes: DataFrame, classes: DataFrame, tile: list[str], s
     order = W.partitionBy(*tile).orderBy("to_month")
     ahead = months.withColumn("_next", F.array(*[F.lead("to_month", n).over(order) for n in range(1, follow + 1)])).select(*tile, "to_month", F.explode("_next").alias("next_month"))
     held = classes.select(*s.keys, F.col(s.time).alias("next_month"), F.col(s.label).alias("_then"))
-    checks = changes.where("changed").join(ahead, [*tile, "to_month"]).join(held, s.by("next_month"), "left")
+    checks = changes.where("changed").join(ahead, [*tile, "to_month"]).join(held.hint("merge"), s.by("next_month"), "left")
     agreed = checks.groupBy(*s.keys, "from_month", "to_month").agg((F.count_if(F.col("_then") == F.col("to_class")) == follow).alias("persistent"))
-    return changes.where("changed").join(agreed, s.by("from_month", "to_month"), "left").withColumn("persistent", F.coalesce("persistent", F.lit(False)))
+    return changes.where("changed").join(agreed.hint("merge"), s.by("from_month", "to_month"), "left").withColumn("persistent", F.coalesce("persistent", F.lit(False)))
 
 
 def corroborated_changes(changes: DataFrame, breaks: DataFrame, s: Series, days: int = 45, break_time: str = "t_break") -> DataFrame:
     """The changes with a break of their series within so many days of the new month's first day."""
     c, b = changes.alias("c"), breaks.where(F.col(break_time).isNotNull()).alias("b")
     same = [F.col(f"c.{k}") == F.col(f"b.{k}") for k in s.keys]
-    return c.where("changed").join(b, [*same, F.abs(F.datediff(F.col(f"b.{break_time}"), F.col("c.to_month"))) <= days], "left_semi")
+    return c.where("changed").join(b.hint("merge"), [*same, F.abs(F.datediff(F.col(f"b.{break_time}"), F.col("c.to_month"))) <= days], "left_semi")
 
 
 def latest_breaks(breaks: DataFrame, s: Series, carry: list[str], break_time: str = "t_break") -> DataFrame:

@@ -77,7 +77,7 @@ def change_map(spark: SparkSession, root: str, step: int = 12, eligible: list[in
     raw = changes.month_changes(monthly, MONTH, step, eligible)
     lasting = changes.confirmed_changes(raw, monthly, ["tile_id"], MONTH, follow)
     seen = changes.corroborated_changes(raw, breaks, PIXEL, days).select(*PIXEL.keys, "from_month", "to_month").withColumn("corroborated", F.lit(True))
-    return write_product(lasting.join(seen, [*PIXEL.keys, "from_month", "to_month"], "left").withColumn("corroborated", F.coalesce("corroborated", F.lit(False))), root, f"change_{step}")
+    return write_product(lasting.join(seen.hint("merge"), [*PIXEL.keys, "from_month", "to_month"], "left").withColumn("corroborated", F.coalesce("corroborated", F.lit(False))), root, f"change_{step}")
 
 
 def break_severity(spark: SparkSession, root: str) -> str:

@@ -480,3 +480,33 @@ def test_tolerant_hits_against_loops_and_never_sent_whole(spark, tmp_path):
         near = lambda r: {q[3] for q in known if q[0] == r[0] and abs(r[1] - q[1]) <= reach and abs(r[2] - q[2]) <= reach}  # noqa: E731, B023
         want = Counter((r[3], r[3] if r[4] in near(r) else r[4]) for r in set(known))
         assert {(r["truth"], r["pred"]): r["n"] for r in out.collect()} == want, reach
+
+
+def test_balanced_folds_against_a_plain_loop_in_little_memory(spark):
+    """Keys of scenes and classes by chance, of which some have no class and some no scene; the driver's Python takes under 300 bytes for a key."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, k = 4000, 5
+    rng = np.random.default_rng(12)
+    size = {f"k{i}": int(x) for i, x in enumerate(rng.integers(1, 9, n))}
+    table = {key: rng.poisson([2, 1, 0.3, 0.02]) for key in size if key[-1] != "7"}
+    scenes = spark.createDataFrame([(key, m) for key, m in size.items()], "key string, m int").select("key", F.explode(F.sequence(F.lit(1), "m")))
+    counts = spark.createDataFrame([(key, "abcd"[c], int(x)) for key, own in table.items() for c, x in enumerate(own) if x] + [("k1", None, 5)], "key string, class string, n long").cache()
+    split.balanced_folds(scenes, counts, "key", k, 2).count()
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    out = split.balanced_folds(scenes, counts, "key", k, 2)
+    most = tracemalloc.get_traced_memory()[1] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert most < 300 * n
+    order = [r[0] for r in scenes.select("key").distinct().withColumn("o", split.draw(2, "key")).orderBy("o", "key").select("key").collect()]
+    total = sum(table.values()) + 1e-9
+    share = {key: table.get(key, np.zeros(4)) / total for key in order}
+    rarity = 1 / (total / total.sum() + 1e-6)
+    loads, held, want = np.zeros((k, 4)), np.zeros(k), {}
+    for key in sorted(order, key=lambda key: -float((share[key] * rarity).sum())):
+        to = int((((loads + share[key]) ** 2).sum(axis=1) + 0.05 * ((held + size[key]) / (sum(size.values()) / k)) ** 2).argmin())
+        want[key], loads[to], held[to] = to, loads[to] + share[key], held[to] + size[key]
+    assert {r["key"]: r["fold"] for r in out.collect()} == want

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Groups whose shares of classes are weighed at once.
+BLOCK = 1 << 16
 STRATA = ((1, 1), (2, 4), (5, None))
 
 
@@ -135,36 +139,51 @@ def folds(scenes: DataFrame, key: str, k: int, seed: int = 0) -> DataFrame:
     return own.withColumn("_p", place).join(before, "_b").select(key, F.pmod(F.col("_p") + F.col("_before"), F.lit(k)).alias("fold"))
 
 
-def dealt_by_rarity(groups: dict, counts: list[tuple], k: int) -> dict:
+def dealt_by_rarity(sizes: np.ndarray, table: np.ndarray, k: int) -> np.ndarray:
     """Fold of each group: groups of most rare-class content first, each to the fold whose class shares and scene counts it
-    unbalances least, the first on ties. groups: scenes of each group, in the order that holds on ties; counts: (group, class, n)."""
-    import numpy as np
-
-    k = max(2, min(k, len(groups)))
-    classes = {c: i for i, c in enumerate(sorted({c for _, c, _ in counts}))}
-    table = {g: np.zeros(len(classes)) for g in groups}
-    for g, c, n in counts:
-        table[g][classes[c]] += n
-    total = sum(table.values(), np.zeros(len(classes))) + 1e-9
-    share = {g: x / total for g, x in table.items()}
+    unbalances least, the first on ties. sizes: scenes of each group, in the order that holds on ties; table: group by class,
+    which becomes the classes' shares."""
+    k = max(2, min(k, len(sizes)))
+    total = table.sum(axis=0) + 1e-9
     rarity = 1.0 / (total / total.sum() + 1e-6)
-    loads, sizes, out = np.zeros((k, len(classes))), np.zeros(k), {}
-    target = sum(groups.values()) / k
-    for g in sorted(groups, key=lambda g: -float((share[g] * rarity).sum())):
-        cost = ((loads + share[g]) ** 2).sum(axis=1) + 0.05 * ((sizes + groups[g]) / target) ** 2
-        out[g] = int(cost.argmin())
-        loads[out[g]] += share[g]
-        sizes[out[g]] += groups[g]
+    share = np.divide(table, total, out=table)
+    score = np.concatenate([np.zeros(0), *[(share[a : a + BLOCK] * rarity).sum(axis=1) for a in range(0, len(share), BLOCK)]])
+    order = np.argsort(-score, kind="stable")
+    del score
+    loads, held, out = np.zeros((k, table.shape[1])), np.zeros(k), np.zeros(len(sizes), np.int32)
+    target = sizes.sum() / k
+    for g in order:
+        cost = ((loads + share[g]) ** 2).sum(axis=1) + 0.05 * ((held + sizes[g]) / target) ** 2
+        to = cost.argmin()
+        out[g] = to
+        loads[to] += share[g]
+        held[to] += sizes[g]
     return out
 
 
 def balanced_folds(scenes: DataFrame, counts: DataFrame, key: str, k: int, seed: int = 0) -> DataFrame:
-    """key, fold by dealt_by_rarity; digest order on ties. scenes: a row for each scene; counts: key, class, n, an aggregate
-    that goes to the driver, as the choice is greedy."""
-    own = scenes.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).withColumn("_o", draw(seed, key)).collect()
-    groups = {r[key]: r["_n"] for r in sorted(own, key=lambda r: (r["_o"], r[key]))}
-    seen = [tuple(r) for r in counts.where(F.col("class").isNotNull()).join(scenes.select(key).distinct(), key).select(key, "class", "n").collect()]
-    return scenes.sparkSession.createDataFrame(sorted(dealt_by_rarity(groups, seen, k).items()), f"{key} {dict(scenes.dtypes)[key]}, fold int")
+    """key, fold by dealt_by_rarity; digest order on ties. scenes: a row for each scene; counts: key, class, n, an aggregate.
+
+    The choice is greedy and so is made on the driver, over flat arrays: a key, its size and fold, and a number for each class.
+    """
+    spark, kind = scenes.sparkSession, dict(scenes.dtypes)[key]
+    seen = counts.where(F.col("class").isNotNull())
+    classes = sorted(r[0] for r in seen.select("class").distinct().collect())
+    at = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("class")) if classes else F.lit(0)
+    size = scenes.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).select(key, "_n", F.lit(None).cast("int").alias("_c"), F.lit(None).cast("double").alias("_x"))
+    both = size.unionAll(seen.select(F.col(key).cast(kind), F.lit(None).cast("long"), (at - 1).cast("int"), F.col("n").cast("double")))
+    own = both.groupBy(key).agg(F.sum("_n").alias("_n"), F.collect_list("_c").alias("_c"), F.collect_list("_x").alias("_x")).where(F.col("_n").isNotNull())
+    rows = own.orderBy(draw(seed, key), key).toArrow()
+    keys, sizes, table = rows[key], rows["_n"].to_numpy().astype(np.float64), np.zeros((rows.num_rows, len(classes)))
+    group = 0
+    for batch in rows.select(["_c", "_x"]).to_batches():
+        c, x = batch.columns
+        owner = group + np.repeat(np.arange(len(c)), np.diff(c.offsets.to_numpy()))
+        np.add.at(table, (owner, c.flatten().to_numpy()), x.flatten().to_numpy())
+        group += len(c)
+    del rows
+    fold = dealt_by_rarity(sizes, table, k)
+    return spark.createDataFrame(pa.table({key: keys, "fold": fold})).select(F.col(key).cast(kind), "fold")
 
 
 def sample_per_scene(pixels: DataFrame, scene: list[str], cell: list[str], n: int, seed: int = 0) -> DataFrame:
@@ -192,8 +211,6 @@ def anneal(counts: list[tuple[str, int, int]], parts: dict[str, str], ratios: di
     counts: (tile, class, n), an aggregate with a row for each tile and class, on the driver. Sizes of splits stay.
     The energy is the sum over classes and splits of squared distance of shares; a swap changes two columns of it.
     """
-    import numpy as np
-
     rng = np.random.default_rng(seed)
     tiles, classes, names = sorted(parts), sorted({c for _, c, _ in counts}), list(ratios)
     at = {t: i for i, t in enumerate(tiles)}

@@ -1004,3 +1004,24 @@ def test_pipeline_on_odd_and_empty_tables(spark, tmp_path, rows):
     documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and (out.count() > 0) == bool(rows)
+
+
+def test_softmaxes_in_blocks_learn_and_score_alike(monkeypatch):
+    """Few states at once or all of them: the same weights and scores, up to rounding."""
+    import numpy as np
+
+    from tidemark.llm import recurrent_lm
+
+    rng = np.random.default_rng(3)
+    texts = [np.r_[np.minimum(rng.zipf(1.3, n) - 1, 399), 400].astype(np.int32) for n in rng.integers(0, 90, 60)]
+    counts = np.bincount(np.concatenate(texts), minlength=401).astype(float)
+    found = []
+    for rows in (7, 1 << 20):
+        monkeypatch.setattr(recurrent_lm, "ROWS", rows)
+        model = recurrent_lm.RecurrentModel(counts, 400, int(counts.sum()), 401)
+        model.fit(texts)
+        model.learn(texts, model.moments())
+        found.append((model.weights(), model.lift([model.codes[t] for t in texts])))
+    for a, b in zip(found[0][0], found[1][0], strict=True):
+        assert np.allclose(a, b, atol=1e-3)
+    assert np.allclose(found[0][1], found[1][1], atol=1e-2) and found[0][1].sum() > 0

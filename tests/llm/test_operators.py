@@ -433,6 +433,29 @@ def test_lm_words_add_up_to_one_in_any_state(monkeypatch):
     assert np.abs(m.wi[:, :-1]).max() > 0.01
 
 
+def test_lm_works_clusters_out_together(monkeypatch):
+    """One exp() serves the clusters of some thousand tokens, where each took its own; scores and weights don't depend on how many it serves."""
+    m, rng = lm_model()
+    ranks, calls, exp = [rng.integers(-1, 300, 40) for _ in range(50)], [], np.exp
+    monkeypatch.setattr(np, "exp", lambda *a, **k: calls.append(1) or exp(*a, **k))
+    found = []
+    for rows in (2048, 16):
+        monkeypatch.setattr(recurrent_lm, "ROWS", rows)
+        own = m.own_copy()
+        calls.clear()
+        lift = own.lift([m.codes[t] for t in ranks])
+        scoring = len(calls)
+        calls.clear()
+        own.learn(ranks, own.moments())
+        found.append((lift, own.weights(), scoring, len(calls)))
+    (lift, weights, scoring, learning), (lift_16, weights_16, *_) = found
+    # 40 steps, in two windows, and two softmaxes of each; learning has lanes of at most 120 tokens, so 120 steps in five windows.
+    assert scoring == 40 + 2 * 2 and learning == 120 + 5 * 2
+    assert lift_16 == pytest.approx(lift, rel=1e-4, abs=1e-4) and np.abs(m.wi - weights[3]).max() > 1e-3
+    for a, b in zip(weights, weights_16):
+        assert a == pytest.approx(b, abs=1e-4)
+
+
 def test_lm_takes_no_more_memory_than_its_tokens():
     """One text far longer than the others is not laid out beside them."""
     import tracemalloc

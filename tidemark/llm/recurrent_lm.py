@@ -134,12 +134,14 @@ class Vocabulary:
         out = np.full(len(h), -1, np.int32)
         if not len(self.hashes):
             return out
-        at = self.first[h >> np.uint64(64 - self.bits)]
+        at, left = self.first[h >> np.uint64(64 - self.bits)], np.arange(len(h))
         for _ in range(self.most):
             near = np.minimum(at, len(self.hashes) - 1)
             hit = self.hashes[near] == h
-            out[hit] = self.place[near[hit]]
-            at = at + 1
+            out[left[hit]] = self.place[near[hit]]
+            # Most are found at once; only the others go on.
+            rest = np.flatnonzero(~hit)
+            left, h, at = left[rest], h[rest], at[rest] + 1
         return out
 
 
@@ -208,8 +210,8 @@ class RecurrentModel:
     def add_contexts(self, owner: np.ndarray, rank: np.ndarray, sums: np.ndarray, rows: int = 8191) -> None:
         """Adds to sums, by rank of the word, the random directions of the common words up to two places before and after
         each word in the same text. Directions are of -1 and 1, so sums are whole and the same in any order."""
-        # One more than the directions, in 16 bits each, which are added four at a time: four of at most 2, of so many rows, don't overflow.
-        ways = np.random.default_rng(17).choice(np.array([0, 2], np.uint8), (4, MARKS + 1, DIMS)).astype(np.uint16)
+        # One more than the directions, in 8 bits each, which are added eight at a time: four of at most 2 fit, and so many rows of them fit in 16 bits.
+        ways = np.random.default_rng(17).choice(np.array([0, 2], np.uint8), (4, MARKS + 1, DIMS))
         ways[:, MARKS] = 1
         ways = ways.view(np.uint64)
         near = np.where((rank >= 0) & (rank < MARKS), rank, MARKS)
@@ -223,14 +225,14 @@ class RecurrentModel:
             beside.append(x)
         for first in range(0, len(rank), rows):
             own = first + np.flatnonzero(rank[first : first + rows] >= 0)
-            own = own[np.argsort(rank[own], kind="stable")]
+            own = own[np.argsort(rank[own])]
             if not len(own):
                 continue
             x = np.take(ways[0], beside[0][own], axis=0)
             for way, other in zip(ways[1:], beside[1:], strict=True):
                 x += np.take(way, other[own], axis=0)
             edges = np.flatnonzero(np.diff(rank[own], prepend=-1))
-            total = np.add.reduceat(x, edges, axis=0).view(np.uint16).astype(sums.dtype)
+            total = np.add.reduceat(x.view(np.uint8).astype(np.uint16).view(np.uint64), edges, axis=0).view(np.uint16).astype(sums.dtype)
             sums[rank[own[edges]]] += total - 4 * np.diff(edges, append=len(own))[:, None].astype(sums.dtype)
 
     def place(self, sums: np.ndarray, rounds: int = 8) -> None:
@@ -274,6 +276,13 @@ class RecurrentModel:
         pieces = [self.codes[t[a : a + STRETCH]] for t in texts for a in range(0, len(t), STRETCH)]
         self._train(pieces, max(1, min(SHARD_LANES, sum(map(len, pieces)) // (4 * WINDOW))), [SHARD_RATE], moments)
 
+    def _gates(self) -> tuple[np.ndarray, np.ndarray]:
+        """wx and wh with z, r and c apart: (gate, input or place of the state, place). Those of z and r are negative, as exp() takes them."""
+        out = tuple(np.ascontiguousarray(w.reshape(len(w), 3, HIDDEN).swapaxes(0, 1)) for w in (self.wx, self.wh))
+        for w in out:
+            np.negative(w[:2], out=w[:2])
+        return out
+
     def _inner(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
         """(which tokens have slots, ordered by cluster, their slots, and for each cluster (cluster, from, to) in that order)."""
         own = np.flatnonzero(codes & np.int16(CODE - 1))
@@ -298,25 +307,27 @@ class RecurrentModel:
                 h = h[:lanes]
                 flat = codes.ravel()
                 size = np.count_nonzero(flat >= 0)
-                gxs = np.take(self.wx, x, axis=0)
-                carry = (x != CLASSES).astype(f)[:, :, None]
-                before, c, apart, states = (np.empty((len(x), lanes, hid), f) for _ in range(4))
-                z, r, ghs = np.empty_like(c), np.empty_like(c), np.empty((len(x), lanes, 3 * hid), f)
+                # Each gate has arrays of its own, so that what is worked out element by element lies in one piece.
+                by_x, by_h = self._gates()
+                gx = np.take(by_x, x, axis=1)
+                fresh = [np.flatnonzero(row) for row in x == CLASSES]
+                before, c, apart, states, ghs = (np.empty((len(x), lanes, hid), f) for _ in range(5))
+                zr = np.empty((2, len(x), lanes, hid), f)
+                z, r = zr
                 for t in range(len(x)):
-                    np.multiply(h, carry[t], out=before[t])
-                    gx, gh = gxs[t], np.matmul(before[t], self.wh, out=ghs[t])
-                    zr = gx[:, : 2 * hid] + gh[:, : 2 * hid]
-                    np.negative(zr, out=zr)
-                    np.exp(zr, out=zr)
-                    zr += 1
-                    np.reciprocal(zr[:, :hid], out=z[t])
-                    np.reciprocal(zr[:, hid:], out=r[t])
-                    np.multiply(r[t], gh[:, 2 * hid :], out=c[t])
-                    c[t] += gx[:, 2 * hid :]
-                    np.tanh(c[t], out=c[t])
-                    np.subtract(before[t], c[t], out=apart[t])
-                    h = np.multiply(z[t], apart[t], out=states[t])
-                    h += c[t]
+                    held, gates, ct = before[t], zr[:, t], c[t]
+                    held[...] = h
+                    held[fresh[t]] = 0
+                    np.matmul(held, by_h[:2], out=gates)
+                    gates += gx[:2, t]
+                    np.exp(gates, out=gates)
+                    gates += 1
+                    np.reciprocal(gates, out=gates)
+                    np.multiply(r[t], np.matmul(held, by_h[2], out=ghs[t]), out=ct)
+                    ct += gx[2, t]
+                    np.tanh(ct, out=ct)
+                    h = np.multiply(z[t], np.subtract(held, ct, out=apart[t]), out=states[t])
+                    h += ct
                 hs = np.ones((len(flat), hid + 1), f)
                 hs[:, :hid] = states.reshape(-1, hid)
                 dhs, g_wo, back_o = np.empty((len(flat), hid), f), np.zeros_like(self.wo), np.ascontiguousarray(self.wo[:hid].T)
@@ -332,41 +343,52 @@ class RecurrentModel:
                 own, slot, parts = self._inner(np.maximum(flat, 0))
                 g_wi = np.zeros_like(self.wi)
                 if parts:
-                    given, back_i, place = hs[own], np.empty((len(own), hid), f), np.arange(len(own))
-                    for k, a, b in parts:
-                        di = given[a:b] @ self.wi[k]
-                        np.exp(di, out=di)
-                        di *= (1 / (di @ inner_ones * f(size)))[:, None]
-                        di[place[: b - a], slot[a:b]] -= f(1 / size)
-                        np.matmul(given[a:b].T, di, out=g_wi[k])
-                        np.matmul(di, self.wi[k, :hid].T, out=back_i[a:b])
+                    given, back_i = hs[own], np.empty((len(own), hid), f)
+                    back_w = np.ascontiguousarray(self.wi[:, :hid].swapaxes(1, 2))
+                    for some in batched(parts):
+                        start, stop = some[0][1], some[-1][2]
+                        d = np.empty((stop - start, NAMED + 1), f)
+                        for k, a, b in some:
+                            np.matmul(given[a:b], self.wi[k], out=d[a - start : b - start])
+                        np.exp(d, out=d)
+                        d *= (1 / (d @ inner_ones * f(size)))[:, None]
+                        d[np.arange(stop - start), slot[start:stop]] -= f(1 / size)
+                        for k, a, b in some:
+                            part = d[a - start : b - start]
+                            np.matmul(given[a:b].T, part, out=g_wi[k])
+                            np.matmul(part, back_w[k], out=back_i[a:b])
                     dhs[own] += back_i
-                # What depends on no later step is worked out for the whole window: the derivatives by c, z and r.
-                by_c, by_gate = 1 - c * c, np.empty((len(x), lanes, 3, hid), f)
-                rest = 1 - z
-                by_c *= rest
+                # What depends on no later step is worked out for the whole window: the derivatives by c as the state gives it, z, r, and c as the input gives it.
+                by_gate = np.empty((4, len(x), lanes, hid), f)
+                by_ch, by_z, by_r, by_cx = by_gate
+                rest = np.subtract(1, z)
+                np.multiply(c, c, out=by_cx)
+                np.subtract(1, by_cx, out=by_cx)
+                by_cx *= rest
                 rest *= z
-                np.multiply(apart, rest, out=by_gate[:, :, 0])
-                np.multiply(by_c, r, out=by_gate[:, :, 2])
+                np.multiply(apart, rest, out=by_z)
+                np.multiply(by_cx, r, out=by_ch)
                 np.subtract(1, r, out=rest)
-                rest *= ghs[:, :, 2 * hid :]
-                np.multiply(by_gate[:, :, 2], rest, out=by_gate[:, :, 1])
+                rest *= ghs
+                np.multiply(by_ch, rest, out=by_r)
                 dh_out, dh = dhs.reshape(len(x), lanes, hid), np.zeros((lanes, hid), f)
-                dgx, back = np.empty((len(x), lanes, 3 * hid), f), np.ascontiguousarray(self.wh.T)
-                dgh = by_gate.reshape(len(x), lanes, 3 * hid)
+                back = np.ascontiguousarray(self.wh.reshape(hid, 3, hid)[:, [2, 0, 1]].transpose(1, 2, 0))
+                parts = np.empty((3, lanes, hid), f)
                 for t in range(len(x) - 1, -1, -1):
                     dh += dh_out[t]
-                    by_gate[t] *= dh[:, None]
-                    np.multiply(dh, by_c[t], out=dgx[t, :, 2 * hid :])
+                    gates = by_gate[:, t]
+                    gates *= dh
                     dh *= z[t]
-                    dh += dgh[t] @ back
-                    dh *= carry[t]
-                dgx[:, :, : 2 * hid] = dgh[:, :, : 2 * hid]
+                    for part in np.matmul(gates[:3], back, out=parts):
+                        dh += part
+                    dh[fresh[t]] = 0
                 order = np.argsort(x.ravel(), kind="stable")
                 kinds = x.ravel()[order]
                 edges = np.flatnonzero(np.diff(kinds, prepend=-1))
-                grads = [np.zeros_like(self.wx), before.reshape(-1, hid).T @ dgh.reshape(-1, 3 * hid), g_wo, g_wi]
-                grads[0][kinds[edges]] = np.add.reduceat(dgx.reshape(-1, 3 * hid)[order], edges, axis=0)
+                by_gate = by_gate.reshape(4, -1, hid)
+                g_wh = np.matmul(before.reshape(-1, hid).T, by_gate[:3])[[1, 2, 0]].swapaxes(0, 1).reshape(hid, 3 * hid)
+                grads = [np.zeros_like(self.wx), g_wh, g_wo, g_wi]
+                grads[0][kinds[edges]] = np.add.reduceat(np.take(by_gate[1:], order, axis=1), edges, axis=1).swapaxes(0, 1).reshape(-1, 3 * hid)
                 norm = math.sqrt(sum(float(np.vdot(g, g)) for g in grads))
                 moments[2] += 1
                 step = moments[2]
@@ -394,24 +416,26 @@ class RecurrentModel:
         hid, f = HIDDEN, np.float32
         h = np.zeros((run.lanes, hid), f)
         ones, inner_ones = np.ones(CLASSES, f), np.ones(NAMED + 1, f)
-        for x, codes, text in run.steps(STEPS):
+        by_x, by_h = self._gates()
+        for x, codes, index in run.steps(STEPS):
             lanes = x.shape[1]
             h = h[:lanes]
-            hs = np.ones((len(x), lanes, hid + 1), f)
-            fresh = x == CLASSES
-            for t in range(len(x)):
-                if fresh[t].any():
-                    h = h * ~fresh[t][:, None]
-                g, gh = self.wx[x[t]], h @ self.wh
-                zr = g[:, : 2 * hid] + gh[:, : 2 * hid]
-                np.negative(zr, out=zr)
+            hs, ct, apart = np.ones((len(x), lanes, hid + 1), f), np.empty((lanes, hid), f), np.empty((lanes, hid), f)
+            zr = np.empty((2, lanes, hid), f)
+            for t, row in enumerate(x):
+                h[np.flatnonzero(row == CLASSES)] = 0
+                gx = np.take(by_x, row, axis=1)
+                np.matmul(h, by_h[:2], out=zr)
+                zr += gx[:2]
                 np.exp(zr, out=zr)
                 zr += 1
                 np.reciprocal(zr, out=zr)
-                c = gh[:, 2 * hid :] * zr[:, hid:]
-                c += g[:, 2 * hid :]
-                np.tanh(c, out=c)
-                h = c + zr[:, :hid] * (h - c)
+                np.matmul(h, by_h[2], out=ct)
+                ct *= zr[1]
+                ct += gx[2]
+                np.tanh(ct, out=ct)
+                h = np.multiply(zr[0], np.subtract(h, ct, out=apart), out=h)
+                h += ct
                 hs[t, :, :hid] = h
             hs = hs.reshape(-1, hid + 1)
             flat = codes.ravel()
@@ -428,19 +452,31 @@ class RecurrentModel:
             won[real] = likely - self.log_share[kind] - np.log(whole[real].astype(np.float64))
             own, slot, parts = self._inner(np.maximum(flat, 0))
             if parts:
-                given, place = hs[own], np.arange(len(own))
+                given = hs[own]
                 chosen, whole, shares = np.empty(len(own), f), np.empty(len(own), f), np.empty(len(own))
-                for k, a, b in parts:
-                    inner = given[a:b] @ self.wi[k]
-                    chosen[a:b] = inner[place[: b - a], slot[a:b]]
-                    np.exp(inner, out=inner)
-                    np.matmul(inner, inner_ones, out=whole[a:b])
-                    shares[a:b] = self.log_inner[k][slot[a:b]]
+                for some in batched(parts):
+                    start, stop = some[0][1], some[-1][2]
+                    logits = np.empty((stop - start, NAMED + 1), f)
+                    for k, a, b in some:
+                        np.matmul(given[a:b], self.wi[k], out=logits[a - start : b - start])
+                        shares[a:b] = self.log_inner[k][slot[a:b]]
+                    chosen[start:stop] = logits[np.arange(stop - start), slot[start:stop]]
+                    np.exp(logits, out=logits)
+                    np.matmul(logits, inner_ones, out=whole[start:stop])
                 won[own] += chosen - shares - np.log(whole.astype(np.float64))
-            out += np.bincount(text.ravel()[real], won[real], len(texts))
+            out += np.bincount(run.text[index.ravel()[real]], won[real], len(texts))
         return out / math.log(10)
 
 
+def batched(parts: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
+    """RecurrentModel._inner's clusters, as many at once as have about ROWS tokens together."""
+    first = 0
+    for n, (_, _, b) in enumerate(parts):
+        if n + 1 == len(parts) or b - parts[first][1] >= ROWS:
+            yield parts[first : n + 1]
+            first = n + 1
+
+
 class Lanes:
     """Texts one after another in lanes of about equal length, longest lane first. Only the tokens themselves are held, in the
     order of the lanes; what steps() lays out side by side is a slice of all lanes that still go on."""
@@ -466,14 +502,16 @@ class Lanes:
         self.given[np.flatnonzero(np.diff(self.text, prepend=-2))] = CLASSES
 
     def steps(self, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(input, code, text) of the next n places of every lane, by place and lane. The input is the class before, or CLASSES
-        at a text's start; code and text are -1 past a lane's end."""
+        """(input, code, place) of the next n places of every lane, by place and lane. The input is the class before, or CLASSES
+        at a text's start; place is that in code and text, which are -1 past a lane's end."""
         spare = len(self.code) - 1
         for at in range(0, int(self.length.max(initial=0)), n):
             lanes = int((self.length > at).sum())
             place = at + np.arange(min(n, int(self.length[0]) - at))[:, None]
-            index = np.where(place < self.length[:lanes], self.offset[:lanes] + place, spare)
-            yield self.given[index], self.code[index], self.text[index]
+            index = self.offset[:lanes] + place
+            if int(self.length[lanes - 1]) <= at + n:
+                index = np.where(place < self.length[:lanes], index, spare)
+            yield np.take(self.given, index), np.take(self.code, index), index
 
 
 def ranked_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -580,6 +618,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     @F.pandas_udf("n long, known long, base double, ranks binary, other array<long>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = spelt.value
+        shares = np.log10((own.counts + SMOOTH) / total)
         for batch in batches:
             texts, out = list(batch), []
             for a, b in parts(texts):
@@ -588,7 +627,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 n = b - a
                 cut = np.searchsorted(owner, np.arange(1, n))
                 common = rank >= 0
-                base = np.bincount(owner[common], np.log10((own.counts[rank[common]] + SMOOTH) / total), n)
+                base = np.bincount(owner[common], shares[rank[common]], n)
                 other = np.split(h[~common].view(np.int64), np.searchsorted(owner[~common], np.arange(1, n)))
                 out.append(pd.DataFrame({"n": np.bincount(owner, minlength=n), "known": np.bincount(owner[common], minlength=n), "base": base, "ranks": [x.tobytes() for x in np.split(rank, cut)], "other": other}))
                 del owner, h, rank

@@ -337,13 +337,13 @@ class RecurrentModel:
                     np.exp(d, out=d)
                     d *= ((codes >= 0) / (d @ ones * f(size))).astype(f)[:, None]
                     here = np.flatnonzero(codes >= 0)
-                    d[here, codes[here] // CODE] -= f(1 / size)
+                    d.reshape(-1)[here * CLASSES + codes[here] // CODE] -= f(1 / size)
                     np.matmul(d, back_o, out=dhs[a : a + ROWS])
                     g_wo += some.T @ d
                 own, slot, parts = self._inner(np.maximum(flat, 0))
                 g_wi = np.zeros_like(self.wi)
                 if parts:
-                    given, back_i = hs[own], np.empty((len(own), hid), f)
+                    given, back_i = np.take(hs, own, axis=0), np.empty((len(own), hid), f)
                     back_w = np.ascontiguousarray(self.wi[:, :hid].swapaxes(1, 2))
                     for some in batched(parts):
                         start, stop = some[0][1], some[-1][2]
@@ -352,12 +352,13 @@ class RecurrentModel:
                             np.matmul(given[a:b], self.wi[k], out=d[a - start : b - start])
                         np.exp(d, out=d)
                         d *= (1 / (d @ inner_ones * f(size)))[:, None]
-                        d[np.arange(stop - start), slot[start:stop]] -= f(1 / size)
+                        d.reshape(-1)[np.arange(stop - start) * (NAMED + 1) + slot[start:stop]] -= f(1 / size)
                         for k, a, b in some:
                             part = d[a - start : b - start]
                             np.matmul(given[a:b].T, part, out=g_wi[k])
                             np.matmul(part, back_w[k], out=back_i[a:b])
-                    dhs[own] += back_i
+                    back_i += np.take(dhs, own, axis=0)
+                    dhs[own] = back_i
                 # What depends on no later step is worked out for the whole window: the derivatives by c as the state gives it, z, r, and c as the input gives it.
                 by_gate = np.empty((4, len(x), lanes, hid), f)
                 by_ch, by_z, by_r, by_cx = by_gate
@@ -384,28 +385,29 @@ class RecurrentModel:
                     dh[fresh[t]] = 0
                 order = np.argsort(x.ravel(), kind="stable")
                 kinds = x.ravel()[order]
-                edges = np.flatnonzero(np.diff(kinds, prepend=-1))
+                edges = np.flatnonzero(np.diff(kinds, prepend=-1, append=CLASSES + 1)).tolist()
                 by_gate = by_gate.reshape(4, -1, hid)
                 g_wh = np.matmul(before.reshape(-1, hid).T, by_gate[:3])[[1, 2, 0]].swapaxes(0, 1).reshape(hid, 3 * hid)
                 grads = [np.zeros_like(self.wx), g_wh, g_wo, g_wi]
-                grads[0][kinds[edges]] = np.add.reduceat(np.take(by_gate[1:], order, axis=1), edges, axis=1).swapaxes(0, 1).reshape(-1, 3 * hid)
+                by_kind, all_ones = np.take(by_gate[1:], order, axis=1), np.ones(len(order), f)
+                for a, b in zip(edges, edges[1:]):
+                    np.matmul(all_ones[: b - a], by_kind[:, a:b], out=grads[0][kinds[a]].reshape(3, hid))
                 norm = math.sqrt(sum(float(np.vdot(g, g)) for g in grads))
                 moments[2] += 1
                 step = moments[2]
                 for w, g, m, v in zip(weights, grads, first, second, strict=True):
-                    g *= min(1.0, 1.0 / max(norm, 1e-9))
+                    # 0.1 times the clipped gradient, whose square is 0.01 times the gradient's.
+                    g *= 0.1 * min(1.0, 1.0 / max(norm, 1e-9))
                     m *= 0.9
-                    m += np.multiply(g, 0.1, out=(part := np.empty_like(g)))
+                    m += g
                     g *= g
-                    g *= 0.01
                     v *= 0.99
                     v += g
-                    np.multiply(v, 1 / (1 - 0.99**step), out=g)
-                    np.sqrt(g, out=g)
-                    g += 1e-8
-                    np.divide(m, g, out=part)
-                    part *= rate / (1 - 0.9**step)
-                    w -= part
+                    np.sqrt(v, out=g)
+                    g += 1e-8 * math.sqrt(1 - 0.99**step)
+                    np.divide(m, g, out=g)
+                    g *= rate * math.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+                    w -= g
 
     def lift(self, texts: list[np.ndarray]) -> np.ndarray:
         """For each text of codes, log10 of how much likelier its classes and slots are given the state than by their shares."""
@@ -445,14 +447,14 @@ class RecurrentModel:
             bounds = np.searchsorted(real, np.arange(0, len(flat) + ROWS, ROWS))
             for a, i, j in zip(range(0, len(flat), ROWS), bounds, bounds[1:]):
                 logits = hs[a : a + ROWS] @ self.wo
-                likely[i:j] = logits[real[i:j] - a, kind[i:j]]
+                likely[i:j] = logits.reshape(-1)[(real[i:j] - a) * CLASSES + kind[i:j]]
                 np.exp(logits, out=logits)
                 np.matmul(logits, ones, out=whole[a : a + ROWS])
             won = np.zeros(len(flat))
             won[real] = likely - self.log_share[kind] - np.log(whole[real].astype(np.float64))
             own, slot, parts = self._inner(np.maximum(flat, 0))
             if parts:
-                given = hs[own]
+                given = np.take(hs, own, axis=0)
                 chosen, whole, shares = np.empty(len(own), f), np.empty(len(own), f), np.empty(len(own))
                 for some in batched(parts):
                     start, stop = some[0][1], some[-1][2]
@@ -460,7 +462,7 @@ class RecurrentModel:
                     for k, a, b in some:
                         np.matmul(given[a:b], self.wi[k], out=logits[a - start : b - start])
                         shares[a:b] = self.log_inner[k][slot[a:b]]
-                    chosen[start:stop] = logits[np.arange(stop - start), slot[start:stop]]
+                    chosen[start:stop] = logits.reshape(-1)[np.arange(stop - start) * (NAMED + 1) + slot[start:stop]]
                     np.exp(logits, out=logits)
                     np.matmul(logits, inner_ones, out=whole[start:stop])
                 won[own] += chosen - shares - np.log(whole.astype(np.float64))

@@ -43,6 +43,8 @@ SLOTS = 16
 WIDE, STEPS, BYTES, TOKENS = 512, 32, 12 << 20, 2 << 20
 #: States whose softmax is worked out at once, so that it stays in a core's cache.
 ROWS = 2048
+#: Of these, rows whose products are added up by one call: more take longer each.
+PRODUCT = 256
 #: Tokens counted before they are sent on.
 CHUNK = 1 << 22
 #: Hash that stands for the end of a text.
@@ -214,11 +216,11 @@ class RecurrentModel:
         ways = np.random.default_rng(17).choice(np.array([0, 2], np.uint8), (4, MARKS + 1, DIMS))
         ways[:, MARKS] = 1
         ways = ways.view(np.uint64)
-        near = np.where((rank >= 0) & (rank < MARKS), rank, MARKS)
+        near = np.where((rank >= 0) & (rank < MARKS), rank, MARKS).astype(np.int16)
         # What stands so many places away in the same text, and nothing where that is another's.
         beside = []
         for shift in (-2, -1, 1, 2):
-            x = np.full(len(rank), MARKS, np.int64)
+            x = np.full(len(rank), MARKS, np.int16)
             a, b = max(0, -shift), min(len(rank), len(rank) - shift)
             if a < b:
                 x[a:b] = np.where(owner[a:b] == owner[a + shift : b + shift], near[a + shift : b + shift], MARKS)
@@ -339,7 +341,8 @@ class RecurrentModel:
                     here = np.flatnonzero(codes >= 0)
                     d.reshape(-1)[here * CLASSES + codes[here] // CODE] -= f(1 / size)
                     np.matmul(d, back_o, out=dhs[a : a + ROWS])
-                    g_wo += some.T @ d
+                    for b in range(0, len(d), PRODUCT):
+                        g_wo += some[b : b + PRODUCT].T @ d[b : b + PRODUCT]
                 own, slot, parts = self._inner(np.maximum(flat, 0))
                 g_wi = np.zeros_like(self.wi)
                 if parts:
@@ -386,8 +389,8 @@ class RecurrentModel:
                 order = np.argsort(x.ravel(), kind="stable")
                 kinds = x.ravel()[order]
                 edges = np.flatnonzero(np.diff(kinds, prepend=-1, append=CLASSES + 1)).tolist()
+                g_wh = np.matmul(before.swapaxes(1, 2), by_gate[:3]).sum(axis=1)[[1, 2, 0]].swapaxes(0, 1).reshape(hid, 3 * hid)
                 by_gate = by_gate.reshape(4, -1, hid)
-                g_wh = np.matmul(before.reshape(-1, hid).T, by_gate[:3])[[1, 2, 0]].swapaxes(0, 1).reshape(hid, 3 * hid)
                 grads = [np.zeros_like(self.wx), g_wh, g_wo, g_wi]
                 by_kind, all_ones = np.take(by_gate[1:], order, axis=1), np.ones(len(order), f)
                 for a, b in zip(edges, edges[1:]):
